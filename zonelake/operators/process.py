@@ -47,14 +47,19 @@ def canonicalize(raw: DataFrame, processing_time=None, hash_mode: str = "sha256"
 
     ``data`` that is JSON null counts as missing (the reference's reader
     turns it into NULL)."""
-    df = raw.select(
+    # Filter on the VARIANT (cheap null tests) before serialising, so the
+    # optimizer does not copy the canonical-text expression into the filter.
+    kept = raw.filter(
+        F.col("data").isNotNull() & ~F.is_variant_null("data")
+        & F.col("source").isNotNull() & F.col("ingestion_timestamp").isNotNull()
+    )
+    df = kept.select(
         F.col("ingestion_timestamp").cast("string").alias("ingestion_timestamp"),
         F.col("source").cast("string").alias("source"),
         canonical_json("metadata").alias("metadata"),
-        canonical_json("data").alias("data"),
+        F.to_json("data").alias("data"),
         _processing_time(raw, processing_time).alias("processing_timestamp"),
     )
-    df = df.filter(F.col("data").isNotNull() & F.col("source").isNotNull() & F.col("ingestion_timestamp").isNotNull())
     return df.withColumn("record_hash", fingerprint("data", hash_mode))
 
 

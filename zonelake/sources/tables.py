@@ -13,8 +13,30 @@ from pyspark.sql import functions as F
 from zonelake.functions.time import iso_text, raw_partition_values
 
 
+# Unique key of each driver table, used to spread a small unsplittable input.
+TABLE_KEYS = {"events": "event_id", "documents": "doc_id", "pages": "page_id"}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one driver table.
+
+    A table stored as one Parquet row group is read by a single task, so all
+    the per-row JSON work before the first shuffle would run on one core.
+    When the scan has fewer partitions than the cluster has cores, rows are
+    hash-partitioned on the table's unique key to spread that work (a
+    deterministic exchange, so a retried task sees the same rows). At scale
+    the scan already has far more splits than cores and nothing is added."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small_input(df, TABLE_KEYS.get(name))
+
+
+def spread_small_input(df: DataFrame, key: str | None) -> DataFrame:
+    if key is None or key not in df.columns:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
 
 
 def _events_metadata_text(events: DataFrame) -> Column:
