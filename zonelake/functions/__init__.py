@@ -9,6 +9,7 @@ from zonelake.functions.json import (  # noqa: F401
     kind,
     py_repr,
     py_type_name,
+    py_type_name_of_kind,
     strict_json,
     variant_string,
 )

@@ -108,22 +108,25 @@ PY_TYPE_NAMES = {
 }
 
 
+def py_type_name_of_kind(k) -> Column:
+    """Name of the Python type ``json.loads`` gives a value of JSON kind
+    ``k`` (see ``kind``)."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in PY_TYPE_NAMES.items() for x in kv]), as_col(k))
+
+
 def py_type_name(v) -> Column:
     """Name of the Python type ``json.loads`` would give this value."""
-    k = kind(v)
-    expr = F.lit(None).cast("string")
-    for kname, pname in PY_TYPE_NAMES.items():
-        expr = F.when(k == kname, F.lit(pname)).otherwise(expr)
-    return expr
+    return py_type_name_of_kind(kind(v))
 
 
-def py_repr(v) -> Column:
+def py_repr(v, k=None) -> Column:
     """Approximate Python ``repr`` of the decoded JSON value, for error text.
 
     Exact for null, booleans, integers and plain strings; containers and
-    reals fall back to their canonical JSON text."""
+    reals fall back to their canonical JSON text. ``k``: the value's kind
+    when already computed."""
     c = as_col(v)
-    k = kind(c)
+    k = kind(c) if k is None else as_col(k)
     s = F.try_variant_get(c, "$", "string")
     return (
         F.when(k == "VOID", F.lit("None"))

@@ -1,3 +1,196 @@
-"""Oracle SQL for the queries in ``registry_extra``."""
+"""Oracle SQL for the queries in ``registry_extra``.
 
-ORACLE_SQL: dict[str, str] = {}
+The request bodies and landed documents are rebuilt from ``events`` with the
+same templates as ``sources.tables``; classification and validation are then
+done with DuckDB's own JSON functions (``json_valid``, ``json_type``,
+``json_keys``), independently of the Spark expressions.
+"""
+
+from __future__ import annotations
+
+REQUESTS_CTE = """
+req AS (
+  SELECT CAST(event_id AS VARCHAR) AS request_id, CAST(ts AS TIMESTAMP) AS ts,
+    CASE event_id % 12
+      WHEN 0 THEN '{"source":' || to_json(event_type) || ',"data":' || props || ',"metadata":{"user_id":' || user_id || '}}'
+      WHEN 1 THEN '{"source":' || to_json(event_type) || ',"data":' || props || '}'
+      WHEN 2 THEN '{"data":' || props || '}'
+      WHEN 3 THEN '{"source":' || to_json(event_type) || ',"data":' || props
+      WHEN 4 THEN '{"source":' || to_json(event_type) || ',"data":' || props || '} trailing'
+      WHEN 5 THEN '[' || props || ']'
+      WHEN 6 THEN CAST(user_id AS VARCHAR)
+      WHEN 7 THEN 'null'
+      WHEN 8 THEN '{"source":null,"data":' || props || '}'
+      WHEN 9 THEN '{"source":' || user_id || ',"data":' || props || '}'
+      WHEN 10 THEN '{"source":"","data":' || props || '}'
+      ELSE '{"source":' || to_json(event_type) || ',"data":null}'
+    END AS body
+  FROM events
+),
+req_k AS (
+  SELECT request_id, ts, body, json_valid(body) AS ok,
+         CASE WHEN json_valid(body) THEN json_type(body) END AS bkind
+  FROM req
+),
+req_c AS (
+  SELECT *,
+    CASE WHEN bkind = 'OBJECT' THEN list_contains(json_keys(body), 'source') AND list_contains(json_keys(body), 'data') END AS has_both,
+    CASE WHEN bkind = 'OBJECT' THEN json_type(body, '$.source') END AS skind,
+    CASE WHEN bkind = 'OBJECT' AND json_type(body, '$.source') = 'VARCHAR' THEN body ->> '$.source' END AS src,
+    CASE WHEN bkind = 'ARRAY' THEN list_contains(json_extract_string(body, '$[*]'), 'source')
+                               AND list_contains(json_extract_string(body, '$[*]'), 'data') END AS arr_both,
+    CASE WHEN bkind = 'VARCHAR' THEN contains(body ->> '$', 'source') AND contains(body ->> '$', 'data') END AS str_both
+  FROM req_k
+),
+outcomes AS (
+  SELECT request_id, ts, src,
+    CASE WHEN NOT ok THEN 400
+         WHEN bkind = 'OBJECT' AND NOT has_both THEN 400
+         WHEN bkind = 'OBJECT' AND skind IS DISTINCT FROM 'VARCHAR' THEN 500
+         WHEN bkind = 'OBJECT' AND src = '' THEN 400
+         WHEN bkind = 'OBJECT' THEN 200
+         WHEN bkind = 'ARRAY' THEN CASE WHEN arr_both THEN 500 ELSE 400 END
+         WHEN bkind = 'VARCHAR' THEN CASE WHEN str_both THEN 500 ELSE 400 END
+         ELSE 500 END AS status_code
+  FROM req_c
+)"""
+
+VALIDATION_CTE = """
+docs AS (
+  SELECT 'source=' || event_type || strftime(CAST(ts AS TIMESTAMP), '/year=%Y/month=%m/day=%d/%Y%m%d_%H%M%S_%f')
+           || '_' || CAST(event_id AS VARCHAR) || '.json' AS key,
+    CASE event_id % 10
+      WHEN 0 THEN '{"ingestion_timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '","source":"iot_sensor"'
+                  || ',"data":{"device_id":"dev-' || user_id || '","timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')
+                  || '","readings":{"temperature":' || CAST(value AS VARCHAR) || ',"humidity":' || (event_id % 100) || '}}}'
+      WHEN 1 THEN '{"ingestion_timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '","source":"iot_sensor"'
+                  || ',"data":{"timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '","readings":{"humidity":' || (event_id % 100) || '}}}'
+      WHEN 2 THEN '{"ingestion_timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '","source":"iot_sensor"'
+                  || ',"data":{"device_id":"dev-' || user_id || '","timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')
+                  || '","readings":{"temperature":"warm"}}}'
+      WHEN 3 THEN '{"ingestion_timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '","source":"api_events"'
+                  || ',"data":{"event_type":"' || event_type || '","user_id":"' || user_id || '","timestamp":"'
+                  || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '"}}'
+      WHEN 4 THEN '{"ingestion_timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '","source":"api_events"'
+                  || ',"data":{"event_type":"' || event_type || '","user_id":' || user_id || ',"timestamp":"'
+                  || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '"}}'
+      WHEN 5 THEN '{"ingestion_timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '","source":"' || event_type
+                  || '","data":' || props || '}'
+      WHEN 6 THEN '{"ingestion_timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '","source":"' || event_type || '"}'
+      WHEN 7 THEN '{"ingestion_timestamp":"' || strftime(ts, '%d/%m/%Y %H:%M') || '","source":"' || event_type
+                  || '","data":' || props || '}'
+      WHEN 8 THEN '{"ingestion_timestamp":' || CAST(event_id AS VARCHAR) || ',"source":"' || event_type
+                  || '","data":' || props || '}'
+      ELSE '[' || props || ']'
+    END AS text
+  FROM events
+),
+d1 AS (
+  SELECT key, text, json_valid(text) AS ok, CASE WHEN json_valid(text) THEN json_type(text) END AS dkind
+  FROM docs
+),
+d2 AS (
+  SELECT *,
+    CASE WHEN dkind = 'OBJECT' THEN list_contains(json_keys(text), 'data') END AS has_data,
+    CASE WHEN dkind = 'OBJECT' THEN json_type(text, '$.source') END AS skind,
+    CASE WHEN dkind = 'OBJECT' THEN text ->> '$.source' END AS src,
+    CASE WHEN dkind = 'OBJECT' THEN json_type(text, '$.ingestion_timestamp') END AS tkind,
+    CASE WHEN dkind = 'OBJECT' THEN text ->> '$.ingestion_timestamp' END AS ts_text,
+    CASE WHEN dkind = 'OBJECT' THEN json_type(text, '$.data') END AS pkind,
+    CASE WHEN dkind = 'OBJECT' AND json_type(text, '$.data') = 'OBJECT' THEN json_keys(text, '$.data') END AS pkeys
+  FROM d1
+),
+d3 AS (
+  SELECT *,
+    -- best schema error: shallowest instance path, then keyword order
+    CASE
+      WHEN src = 'iot_sensor' AND skind = 'VARCHAR' THEN CASE
+        WHEN pkind <> 'OBJECT' THEN (text -> '$.data') || ' is not of type ''object'''
+        WHEN NOT list_contains(pkeys, 'device_id') THEN '''device_id'' is a required property'
+        WHEN NOT list_contains(pkeys, 'timestamp') THEN '''timestamp'' is a required property'
+        WHEN NOT list_contains(pkeys, 'readings') THEN '''readings'' is a required property'
+        WHEN json_type(text, '$.data.device_id') <> 'VARCHAR' THEN (text -> '$.data.device_id') || ' is not of type ''string'''
+        WHEN json_type(text, '$.data.timestamp') <> 'VARCHAR' THEN (text -> '$.data.timestamp') || ' is not of type ''string'''
+        WHEN json_type(text, '$.data.readings') <> 'OBJECT' THEN (text -> '$.data.readings') || ' is not of type ''object'''
+        WHEN json_type(text, '$.data.readings.temperature') NOT IN ('UBIGINT', 'BIGINT', 'DOUBLE')
+          THEN '''' || (text ->> '$.data.readings.temperature') || ''' is not of type ''number'''
+        WHEN json_type(text, '$.data.readings.humidity') NOT IN ('UBIGINT', 'BIGINT', 'DOUBLE')
+          THEN '''' || (text ->> '$.data.readings.humidity') || ''' is not of type ''number'''
+      END
+      WHEN src = 'api_events' AND skind = 'VARCHAR' THEN CASE
+        WHEN pkind <> 'OBJECT' THEN (text -> '$.data') || ' is not of type ''object'''
+        WHEN NOT list_contains(pkeys, 'event_type') THEN '''event_type'' is a required property'
+        WHEN NOT list_contains(pkeys, 'user_id') THEN '''user_id'' is a required property'
+        WHEN NOT list_contains(pkeys, 'timestamp') THEN '''timestamp'' is a required property'
+        WHEN json_type(text, '$.data.event_type') <> 'VARCHAR' THEN (text -> '$.data.event_type') || ' is not of type ''string'''
+        WHEN json_type(text, '$.data.user_id') <> 'VARCHAR' THEN (text -> '$.data.user_id') || ' is not of type ''string'''
+        WHEN json_type(text, '$.data.timestamp') <> 'VARCHAR' THEN (text -> '$.data.timestamp') || ' is not of type ''string'''
+      END
+    END AS schema_msg
+  FROM d2
+),
+d4 AS (
+  SELECT *,
+    CASE WHEN NOT ok THEN 'Invalid JSON'
+         WHEN dkind = 'ARRAY' THEN '''list'' object has no attribute ''get'''
+         WHEN dkind <> 'OBJECT' THEN 'not an object'
+         WHEN NOT has_data THEN NULL
+         WHEN tkind IS NOT NULL AND tkind <> 'VARCHAR' THEN 'fromisoformat: argument must be str'
+    END AS error,
+    list_filter([CASE WHEN schema_msg IS NOT NULL THEN 'Schema validation failed: ' || schema_msg END,
+                 CASE WHEN tkind = 'VARCHAR' AND TRY_CAST(ts_text AS TIMESTAMP) IS NULL THEN 'Invalid timestamp format' END],
+                lambda x: x IS NOT NULL) AS errs
+  FROM d3
+),
+validation AS (
+  SELECT key,
+    CASE WHEN error IS NOT NULL THEN 'error'
+         WHEN NOT has_data THEN 'invalid'
+         WHEN len(errs) > 0 THEN 'invalid'
+         ELSE 'valid' END AS status,
+    CASE WHEN dkind <> 'OBJECT' OR dkind IS NULL THEN NULL
+         WHEN skind IS NULL THEN 'unknown'
+         WHEN skind = 'NULL' THEN NULL
+         ELSE src END AS source,
+    CASE WHEN error IS NOT NULL THEN NULL
+         WHEN NOT has_data THEN ['Missing ''data'' field']
+         WHEN len(errs) > 0 THEN errs END AS errors,
+    error,
+    CASE WHEN tkind = 'VARCHAR' THEN TRY_CAST(ts_text AS TIMESTAMP) END AS ts
+  FROM d4
+)"""
+
+ORACLE_SQL: dict[str, str] = {
+    "ingest_outcomes": "WITH " + REQUESTS_CTE + """
+SELECT request_id, CAST(NULL AS INTEGER) AS item, status_code,
+  CASE WHEN status_code = 200 THEN NULL
+       WHEN status_code = 500 THEN 'Internal server error'
+       WHEN request_id IN (SELECT request_id FROM req_c WHERE NOT ok) THEN 'Invalid JSON in request body'
+       WHEN src = '' THEN 'Empty source'
+       ELSE 'Missing required fields: source and data' END AS error,
+  CASE WHEN status_code = 200 THEN 'source=' || src || strftime(ts, '/year=%Y/month=%m/day=%d/%Y%m%d_%H%M%S_%f') || '.json' END AS key,
+  src AS source, ts
+FROM outcomes""",
+    "validation_results": "WITH " + VALIDATION_CTE + "\nSELECT * FROM validation",
+    "validation_summary": "WITH " + VALIDATION_CTE + """
+SELECT status, CAST(count(*) AS BIGINT) AS documents FROM validation GROUP BY status""",
+    "validation_alerts": "WITH " + VALIDATION_CTE + """
+SELECT 'Data Validation Failure' AS subject, key,
+  'Validation failed for ' || key || chr(10) || 'Errors: [' || chr(10) || '  '
+    || array_to_string(list_transform(errors, lambda e: '"' || e || '"'), ',' || chr(10) || '  ')
+    || chr(10) || ']' AS message
+FROM validation WHERE status = 'invalid'""",
+    "validation_metrics": "WITH " + VALIDATION_CTE + """,
+per_text AS (
+  SELECT source, date_trunc('hour', ts) AS hour, coalesce(errors[1], error) AS failure,
+    CAST(count(*) FILTER (WHERE status = 'valid') AS BIGINT) AS valid,
+    CAST(count(*) FILTER (WHERE status = 'invalid') AS BIGINT) AS invalid,
+    CAST(count(*) FILTER (WHERE status = 'error') AS BIGINT) AS error
+  FROM validation GROUP BY ALL
+)
+SELECT source, hour,
+  CAST(sum(valid) AS BIGINT) AS valid, CAST(sum(invalid) AS BIGINT) AS invalid, CAST(sum(error) AS BIGINT) AS errors,
+  (sum(invalid) + sum(error)) / (sum(valid) + sum(invalid) + sum(error)) AS failure_rate,
+  arg_min(failure, (-(invalid + error), failure)) FILTER (WHERE failure IS NOT NULL) AS top_error
+FROM per_text GROUP BY source, hour""",
+}

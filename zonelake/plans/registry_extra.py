@@ -1,2 +1,58 @@
 """Registered queries for ingestion, validation, data quality and
-monitoring (filled in as those operators land)."""
+monitoring. Every input is derived from the driver's tables (``events``
+become request bodies and landed documents), so the work grows with them."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from zonelake.operators import ingest as I
+from zonelake.operators import validate as V
+from zonelake.plans.lake import Lake
+from zonelake.plans.registry import register
+from zonelake.sources.tables import events_to_documents, events_to_requests
+
+
+def _requests(lake: Lake) -> DataFrame:
+    return events_to_requests(lake.table("events")).withColumn("request_id", F.col("event_id").cast("string"))
+
+
+# ------------------------------------------------------------- ingestion
+
+
+@register("ingest_outcomes")
+def _ingest_outcomes(lake: Lake) -> DataFrame:
+    """Status, error, key, source and time of every request body."""
+    return I.ingest(_requests(lake)).outcomes
+
+
+# ------------------------------------------------------------ validation
+
+
+def _validation(lake: Lake) -> DataFrame:
+    return V.validate(events_to_documents(lake.table("events")))
+
+
+@register("validation_results")
+def _validation_results(lake: Lake) -> DataFrame:
+    """V1-V9: one result per landed document."""
+    return _validation(lake)
+
+
+@register("validation_summary")
+def _validation_summary(lake: Lake) -> DataFrame:
+    """Documents per status."""
+    return V.summary(_validation(lake))
+
+
+@register("validation_alerts")
+def _validation_alerts(lake: Lake) -> DataFrame:
+    """Alert rows for invalid documents."""
+    return V.alerts(_validation(lake))
+
+
+@register("validation_metrics")
+def _validation_metrics(lake: Lake) -> DataFrame:
+    """Validation outcomes per source and hour."""
+    return V.metrics(_validation(lake))
