@@ -142,3 +142,19 @@ def quarantine(processed: DataFrame) -> DataFrame:
     """Rows whose ingestion timestamp has no date; kept apart instead of
     landing in a NULL partition."""
     return processed.filter(F.col("ingestion_date").isNull())
+
+
+NEW_ROW_KEYS = ("source", "year", "month", "day", "ingestion_timestamp", "record_hash")
+
+
+def exclude_existing(batch: DataFrame, existing: DataFrame) -> DataFrame:
+    """Rows of ``batch`` not yet in the processed table ``existing``
+    (dedup across runs; the reference dedups within one run only).
+
+    A left-anti equi-join on the dedup key plus the partition columns. The
+    partition columns let dynamic partition pruning restrict the scan of
+    ``existing`` to the partitions the batch touches, so an incremental run
+    does not read the whole table. ``batch`` must hold valid rows only
+    (``valid_rows``): no key column is NULL there."""
+    keys = list(NEW_ROW_KEYS)
+    return batch.join(existing.select(*keys), keys, "left_anti")

@@ -66,3 +66,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+# AQE replaces a plan whose join result turns out empty by an empty
+# relation; the ``observe`` nodes inside it are then gone and their metrics
+# cannot be read. Jobs that report stage counts exclude that rule while they
+# write (everything else in AQE stays on).
+KEEP_OBSERVED_PLAN = {
+    "spark.sql.adaptive.optimizer.excludedRules":
+        "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation",
+}
+
+
+class scoped_conf:
+    """Set session SQL settings for the duration of a ``with`` block and
+    restore the previous values afterwards."""
+
+    def __init__(self, spark: SparkSession, settings: dict):
+        self.spark = spark
+        self.settings = settings
+        self.saved: dict = {}
+
+    def __enter__(self):
+        for k, v in self.settings.items():
+            self.saved[k] = self.spark.conf.get(k, None)
+            self.spark.conf.set(k, v)
+        return self
+
+    def __exit__(self, *exc):
+        for k, v in self.saved.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
+        return False
