@@ -194,3 +194,142 @@ SELECT source, hour,
   arg_min(failure, (-(invalid + error), failure)) FILTER (WHERE failure IS NOT NULL) AS top_error
 FROM per_text GROUP BY source, hour""",
 }
+
+
+BATCH_CTE = """
+breq AS (
+  SELECT CAST(event_id AS VARCHAR) AS request_id, CAST(ts AS TIMESTAMP) AS ts,
+    CASE event_id % 3
+      WHEN 0 THEN '[{"source":' || to_json(event_type) || ',"data":' || props || '},{"data":' || props || '}]'
+      WHEN 1 THEN '{"source":' || to_json(event_type) || ',"data":' || props || '}'
+      ELSE '[' || repeat('{"source":' || to_json(event_type) || ',"data":' || props || '},', 2)
+           || '{"source":' || to_json(event_type) || ',"data":' || props || '}]'
+    END AS body
+  FROM events
+),
+bk AS (
+  SELECT request_id, ts, body, json_valid(body) AS ok,
+         CASE WHEN json_valid(body) THEN json_type(body) END AS bkind,
+         CASE WHEN json_valid(body) AND json_type(body) = 'ARRAY' THEN json_array_length(body) END AS n
+  FROM breq
+),
+bitems AS (
+  SELECT request_id, ts, CAST(NULL AS INTEGER) AS item, body AS item_body, n > 2 AS too_large
+  FROM bk WHERE NOT (bkind = 'ARRAY' AND n BETWEEN 1 AND 2)
+  UNION ALL
+  SELECT request_id, ts, CAST(i - 1 AS INTEGER) AS item, CAST(json_extract(body, '$[' || (i - 1) || ']') AS VARCHAR), false
+  FROM bk, range(1, 3) r(i) WHERE bkind = 'ARRAY' AND n BETWEEN 1 AND 2 AND i <= n
+),
+bc AS (
+  SELECT *, json_type(item_body) AS k,
+    CASE WHEN json_type(item_body) = 'OBJECT' THEN list_contains(json_keys(item_body), 'source')
+                                                   AND list_contains(json_keys(item_body), 'data') END AS has_both,
+    CASE WHEN json_type(item_body) = 'OBJECT' THEN json_type(item_body, '$.source') END AS skind,
+    CASE WHEN json_type(item_body) = 'OBJECT' AND json_type(item_body, '$.source') = 'VARCHAR'
+         THEN item_body ->> '$.source' END AS src
+  FROM bitems
+),
+boutcomes AS (
+  SELECT request_id, item, ts, src,
+    CASE WHEN too_large THEN 413
+         WHEN k = 'OBJECT' AND NOT has_both THEN 400
+         WHEN k = 'OBJECT' AND skind IS DISTINCT FROM 'VARCHAR' THEN 500
+         WHEN k = 'OBJECT' AND src = '' THEN 400
+         WHEN k = 'OBJECT' THEN 200
+         ELSE 500 END AS status_code
+  FROM bc
+)"""
+
+# Our kind names for DuckDB JSON types.
+KIND_OF = """CASE {t} WHEN 'VARCHAR' THEN 'STRING' WHEN 'UBIGINT' THEN 'BIGINT' WHEN 'BIGINT' THEN 'BIGINT'
+  WHEN 'DOUBLE' THEN 'DECIMAL' WHEN 'NULL' THEN 'VOID' ELSE {t} END"""
+
+
+def _more() -> dict[str, str]:
+    from zonelake.plans.oracle import CURATED, DOC_RAW_CTE, PROCESSED, _fill
+
+    out = {
+        "batch_outcomes": "WITH " + BATCH_CTE + """
+SELECT request_id, item, status_code,
+  CASE status_code WHEN 200 THEN NULL WHEN 413 THEN 'Batch too large' WHEN 500 THEN 'Internal server error'
+       ELSE 'Missing required fields: source and data' END AS error,
+  CASE WHEN status_code = 200 THEN 'source=' || src || strftime(ts, '/year=%Y/month=%m/day=%d/%Y%m%d_%H%M%S_%f') || '.json' END AS key,
+  CASE WHEN status_code <> 413 THEN src END AS source, ts
+FROM boutcomes""",
+        "batch_ingest": "WITH " + BATCH_CTE + """
+SELECT request_id, CAST(count(*) AS BIGINT) AS items,
+  CAST(count(*) FILTER (WHERE status_code = 200) AS BIGINT) AS accepted,
+  CAST(count(*) FILTER (WHERE status_code <> 200) AS BIGINT) AS rejected,
+  CASE WHEN count(*) FILTER (WHERE status_code <> 200) = 0 THEN 200
+       WHEN count(*) FILTER (WHERE status_code = 200) > 0 THEN 207
+       ELSE arg_min(status_code, coalesce(item, 0)) END AS status_code
+FROM boutcomes GROUP BY request_id""",
+        "field_profile": "WITH " + DOC_RAW_CTE + """,
+members AS (
+  SELECT source, unnest(json_keys(data)) AS field, data FROM raw_data
+)
+SELECT source, field, """ + KIND_OF.format(t="json_type(data, '$.\"' || field || '\"')") + """ AS kind,
+  CAST(count(*) AS BIGINT) AS records
+FROM members GROUP BY ALL""",
+        "schema_diff": "WITH " + VALIDATION_CTE + """,
+payloads AS (
+  SELECT src AS source, text -> '$.data' AS data FROM d2
+  WHERE skind = 'VARCHAR' AND src IN ('iot_sensor', 'api_events') AND pkind = 'OBJECT'
+),
+profile AS (
+  SELECT source, field, """ + KIND_OF.format(t="json_type(data, '$.\"' || field || '\"')") + """ AS kind,
+    CAST(count(*) AS BIGINT) AS records
+  FROM (SELECT source, unnest(json_keys(data)) AS field, data FROM payloads) GROUP BY ALL
+),
+declared(source, field, declared) AS (VALUES
+  ('iot_sensor', 'device_id', 'string'), ('iot_sensor', 'timestamp', 'string'), ('iot_sensor', 'readings', 'object'),
+  ('api_events', 'event_type', 'string'), ('api_events', 'user_id', 'string'), ('api_events', 'timestamp', 'string'))
+SELECT p.source, p.field, 'added' AS change, CAST(NULL AS VARCHAR) AS declared, p.kind, p.records, false AS breaking
+FROM profile p ANTI JOIN declared d ON p.source = d.source AND p.field = d.field
+UNION ALL
+SELECT p.source, p.field, 'type_changed', d.declared, p.kind, p.records, true
+FROM profile p JOIN declared d ON p.source = d.source AND p.field = d.field
+WHERE NOT ((d.declared = 'string' AND p.kind = 'STRING') OR (d.declared = 'object' AND p.kind = 'OBJECT'))
+UNION ALL
+SELECT d.source, d.field, 'removed', d.declared, CAST(NULL AS VARCHAR), CAST(0 AS BIGINT), true
+FROM declared d ANTI JOIN profile p ON p.source = d.source AND p.field = d.field""",
+        "quality_metrics": PROCESSED + """
+SELECT source, year, month, day, CAST(count(*) AS BIGINT) AS records,
+  count(metadata) / count(*) AS completeness,
+  count(*) FILTER (WHERE starts_with(data, '{')) / count(*) AS accuracy,
+  count(*) FILTER (WHERE make_date(year, month, day) = CAST(CAST(ingestion_timestamp AS TIMESTAMP) AS DATE)) / count(*) AS consistency,
+  count(*) FILTER (WHERE date_sub('second', CAST(ingestion_timestamp AS TIMESTAMP), processing_timestamp) <= 86400) / count(*) AS timeliness
+FROM processed_data GROUP BY source, year, month, day""",
+        "denormalized": CURATED + """
+SELECT p.*, s.total_records AS source_total_records, s.avg_quality AS source_avg_quality,
+       s.first_seen AS source_first_seen, s.last_seen AS source_last_seen
+FROM processed_data p LEFT JOIN source_statistics s ON p.source = s.source""",
+        "request_metrics": "WITH " + REQUESTS_CTE + """
+SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
+  CAST(count(*) AS BIGINT) AS requests,
+  CAST(count(*) FILTER (WHERE status_code >= 400 AND status_code < 500) AS BIGINT) AS client_errors,
+  CAST(count(*) FILTER (WHERE status_code >= 500) AS BIGINT) AS server_errors
+FROM outcomes GROUP BY 1, 2""",
+        "request_last_hour": "WITH " + REQUESTS_CTE + """
+SELECT CAST(count(*) AS BIGINT) AS requests,
+  CAST(count(*) FILTER (WHERE status_code >= 400 AND status_code < 500) AS BIGINT) AS client_errors,
+  CAST(count(*) FILTER (WHERE status_code >= 500) AS BIGINT) AS server_errors
+FROM outcomes WHERE ts >= TIMESTAMP '{as_of}' - INTERVAL 1 HOUR AND ts < TIMESTAMP '{as_of}'""",
+        "error_alarms": "WITH " + REQUESTS_CTE + """,
+per AS (
+  SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, CAST(count(*) FILTER (WHERE status_code >= 500) AS BIGINT) AS errors
+  FROM outcomes GROUP BY 1
+)
+SELECT r.rule, window_start, window_start + INTERVAL 5 MINUTE AS window_end, errors AS value, r.threshold
+FROM per, (VALUES ('ingest_errors', 5), ('server_errors', 10)) r(rule, threshold)
+WHERE errors > r.threshold""",
+        "freshness_alarms": PROCESSED + """
+SELECT 'no_data' AS rule, source, max(ingestion_timestamp) AS last_data_received,
+  date_sub('minute', CAST(max(ingestion_timestamp) AS TIMESTAMP), TIMESTAMP '{as_of}') AS value, 120 AS threshold
+FROM processed_data GROUP BY source
+HAVING date_sub('minute', CAST(max(ingestion_timestamp) AS TIMESTAMP), TIMESTAMP '{as_of}') > 120""",
+    }
+    return {k: _fill(v) for k, v in out.items()}
+
+
+ORACLE_SQL.update(_more())

@@ -7,11 +7,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zonelake.functions.json import field, strict_json, variant_string
+from zonelake.operators import curate as C
 from zonelake.operators import ingest as I
+from zonelake.operators import monitor as M
+from zonelake.operators import quality as Qa
 from zonelake.operators import validate as V
-from zonelake.plans.lake import Lake
+from zonelake.plans.lake import AS_OF, Lake
 from zonelake.plans.registry import register
-from zonelake.sources.tables import events_to_documents, events_to_requests
+from zonelake.schemas import SOURCE_SCHEMAS
+from zonelake.sources.tables import events_to_batches, events_to_documents, events_to_requests
 
 
 def _requests(lake: Lake) -> DataFrame:
@@ -56,3 +61,98 @@ def _validation_alerts(lake: Lake) -> DataFrame:
 def _validation_metrics(lake: Lake) -> DataFrame:
     """Validation outcomes per source and hour."""
     return V.metrics(_validation(lake))
+
+
+BATCH_LIMIT = 2
+
+
+@register("batch_ingest")
+def _batch_ingest(lake: Lake) -> DataFrame:
+    """Per batch request: items, accepted, rejected, overall status."""
+    return I.batch_summary(I.batch_classify(events_to_batches(lake.table("events")), max_items=BATCH_LIMIT))
+
+
+@register("batch_outcomes")
+def _batch_outcomes(lake: Lake) -> DataFrame:
+    """One outcome per batch item."""
+    return I.outcomes(I.batch_classify(events_to_batches(lake.table("events")), max_items=BATCH_LIMIT))
+
+
+# ------------------------------------------------- quality and discovery
+
+
+def _document_payloads(lake: Lake) -> DataFrame:
+    """(source, data) of the landed documents (source NULL unless a
+    string; ``schema_diff`` keeps only sources with a schema)."""
+    d = strict_json(F.col("text"))
+    docs = events_to_documents(lake.table("events")).select(d.alias("_d"))
+    return docs.select(
+        variant_string(field("_d", "source")).alias("source"), field("_d", "data").alias("data")
+    )
+
+
+@register("schema_discovery")
+def _schema_discovery(lake: Lake) -> DataFrame:
+    """Merged payload schema per source of the events raw zone."""
+    return Qa.discover_schema(lake.raw)
+
+
+@register("field_profile")
+def _field_profile(lake: Lake) -> DataFrame:
+    """Payload fields and kinds per source of the documents raw zone."""
+    return Qa.field_profile(lake.document_raw)
+
+
+@register("schema_diff")
+def _schema_diff(lake: Lake) -> DataFrame:
+    """D3: landed payloads against the registered source schemas."""
+    return Qa.schema_diff(Qa.field_profile(_document_payloads(lake)), SOURCE_SCHEMAS)
+
+
+@register("quality_metrics")
+def _quality_metrics(lake: Lake) -> DataFrame:
+    """Completeness, accuracy, consistency, timeliness per source/day."""
+    return Qa.quality_metrics(lake.processed)
+
+
+@register("denormalized")
+def _denormalized(lake: Lake) -> DataFrame:
+    """Processed rows with their source statistics."""
+    return C.denormalize(lake.processed, lake.source_statistics)
+
+
+# ------------------------------------------------------------ monitoring
+
+
+def _outcomes(lake: Lake) -> DataFrame:
+    return I.ingest(_requests(lake)).outcomes
+
+
+@register("request_metrics")
+def _request_metrics(lake: Lake) -> DataFrame:
+    """M2: requests, 4xx and 5xx per hour."""
+    return M.request_metrics(_outcomes(lake))
+
+
+@register("request_last_hour")
+def _request_last_hour(lake: Lake) -> DataFrame:
+    """M2: the hour before AS_OF."""
+    return M.last_hour(_outcomes(lake), AS_OF)
+
+
+@register("error_alarms")
+def _error_alarms(lake: Lake) -> DataFrame:
+    """Five-minute windows breaching the error rules."""
+    return M.error_alarms(_outcomes(lake))
+
+
+@register("freshness_alarms")
+def _freshness_alarms(lake: Lake) -> DataFrame:
+    """Sources silent for more than two hours at AS_OF."""
+    return M.freshness_alarms(lake.processed, AS_OF)
+
+
+@register("zone_inventory")
+def _zone_inventory(lake: Lake) -> DataFrame:
+    """M1: objects and bytes of the input folder."""
+    return M.zone_inventory(lake.spark, {"input": lake.sf_dir}, glob="*.parquet")

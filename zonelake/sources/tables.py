@@ -180,3 +180,29 @@ def events_to_documents(events: DataFrame) -> DataFrame:
         F.lit("_"), F.col("event_id").cast("string"), F.lit(".json"),
     )
     return events.select(key.alias("key"), text.alias("text"))
+
+
+# Batch request bodies made from each event, by ``event_id % 3``. Fixed
+# templates (items):
+#   0  [full envelope, envelope without source]   -> 207 (one accepted)
+#   1  full envelope, not a batch                 -> 200
+#   2  three full envelopes                       -> 413 when the limit is 2
+BATCH_TEMPLATES = 3
+
+
+def events_to_batches(events: DataFrame) -> DataFrame:
+    """Batch request bodies (``request_id``, ``body``, ``received_at``)."""
+    src = F.regexp_extract(F.to_json(F.array("event_type")), r"^\[(.*)\]$", 1)
+    full = F.concat(F.lit('{"source":'), src, F.lit(',"data":'), F.col("props"), F.lit("}"))
+    nosrc = F.concat(F.lit('{"data":'), F.col("props"), F.lit("}"))
+    sel = F.col("event_id") % BATCH_TEMPLATES
+    body = (
+        F.when(sel == 0, F.concat(F.lit("["), full, F.lit(","), nosrc, F.lit("]")))
+        .when(sel == 1, full)
+        .otherwise(F.concat(F.lit("["), full, F.lit(","), full, F.lit(","), full, F.lit("]")))
+    )
+    return events.select(
+        F.col("event_id").cast("string").alias("request_id"),
+        body.alias("body"),
+        F.col("ts").cast("timestamp_ntz").alias("received_at"),
+    )
