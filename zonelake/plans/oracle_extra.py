@@ -323,6 +323,8 @@ per AS (
 SELECT r.rule, window_start, window_start + INTERVAL 5 MINUTE AS window_end, errors AS value, r.threshold
 FROM per, (VALUES ('ingest_errors', 5), ('server_errors', 10)) r(rule, threshold)
 WHERE errors > r.threshold""",
+        "incremental_process": PROCESSED + """
+SELECT source, year, month, day, CAST(count(*) AS BIGINT) AS records FROM processed_data GROUP BY ALL""",
         "freshness_alarms": PROCESSED + """
 SELECT 'no_data' AS rule, source, max(ingestion_timestamp) AS last_data_received,
   date_sub('minute', CAST(max(ingestion_timestamp) AS TIMESTAMP), TIMESTAMP '{as_of}') AS value, 120 AS threshold
