@@ -82,21 +82,22 @@ def schema_diff(profile: DataFrame, schemas: dict) -> DataFrame:
     # Both sides are small aggregates (per source and field). The source
     # filter is applied after the full join, on the small joined result.
     j = seen.join(declared, ["source", "field"], "full_outer").filter(F.col("source").isin(*schemas.keys()))
-    added = j.filter(F.col("declared").isNull() & F.col("kind").isNotNull()).select(
-        "source", "field", F.lit("added").alias("change"), F.lit(None).cast("string").alias("declared"),
-        "kind", "records", F.lit(False).alias("breaking"),
+    # One pass over the joined rows (a union of three filtered copies would
+    # evaluate the whole upstream plan three times).
+    kind_c, decl = F.col("kind"), F.col("declared")
+    change = (
+        F.when(decl.isNull() & kind_c.isNotNull(), F.lit("added"))
+        .when(kind_c.isNull(), F.lit("removed"))
+        .when(~_compatible(kind_c, decl), F.lit("type_changed"))
     )
-    changed = j.filter(F.col("declared").isNotNull() & F.col("kind").isNotNull()
-                       & ~_compatible(F.col("kind"), F.col("declared"))).select(
-        "source", "field", F.lit("type_changed").alias("change"), "declared",
-        "kind", "records", F.lit(True).alias("breaking"),
-    )
-    removed = j.filter(F.col("kind").isNull()).select(
-        "source", "field", F.lit("removed").alias("change"), "declared",
-        F.lit(None).cast("string").alias("kind"), F.lit(0).cast("bigint").alias("records"),
-        F.lit(True).alias("breaking"),
+    return (
+        j.select(
+            "source", "field", change.alias("change"), "declared", "kind",
+            F.coalesce(F.col("records"), F.lit(0).cast("bigint")).alias("records"),
+        )
+        .filter(F.col("change").isNotNull())
+        .withColumn("breaking", F.col("change") != "added")
     )
-    return added.unionByName(changed).unionByName(removed)
 
 
 def quality_metrics(processed: DataFrame, max_lag_seconds: int = 86400) -> DataFrame:
