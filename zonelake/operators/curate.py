@@ -144,13 +144,16 @@ def curate(processed: DataFrame, base: DataFrame | None = None) -> Curated:
     )
 
 
-def denormalize(processed: DataFrame, stats: DataFrame, max_broadcast_rows: int = 100_000) -> DataFrame:
+def denormalize(processed: DataFrame, stats: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
     """Processed rows with their source statistics (left join on source).
 
-    The statistics side has one row per source. It is broadcast only after
-    a bounded count proves it has at most ``max_broadcast_rows`` rows;
-    beyond that the plain join runs as a shuffle join, where AQE splits a
-    hot source's partition (skew join) instead of one task taking it."""
+    By default the join strategy is left to AQE, which measures the
+    statistics side after its aggregation and broadcasts it only when the
+    measured size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``;
+    otherwise it stays a shuffle join, where AQE splits a hot source's
+    partition (skew join) instead of one task taking it. With
+    ``max_broadcast_rows`` the side is broadcast after a bounded count
+    proves it has at most that many rows (one extra aggregation pass)."""
     s = stats.select(
         "source",
         F.col("total_records").alias("source_total_records"),
@@ -158,5 +161,6 @@ def denormalize(processed: DataFrame, stats: DataFrame, max_broadcast_rows: int
         F.col("first_seen").alias("source_first_seen"),
         F.col("last_seen").alias("source_last_seen"),
     )
-    small = s.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows
-    return processed.join(F.broadcast(s) if small else s, "source", "left")
+    if max_broadcast_rows is not None and s.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
+        s = F.broadcast(s)
+    return processed.join(s, "source", "left")
