@@ -246,7 +246,7 @@ KIND_OF = """CASE {t} WHEN 'VARCHAR' THEN 'STRING' WHEN 'UBIGINT' THEN 'BIGINT'
 
 
 def _more() -> dict[str, str]:
-    from zonelake.plans.oracle import CURATED, DOC_RAW_CTE, PROCESSED, _fill
+    from zonelake.plans.oracle import CURATED, DOC_RAW_CTE, PROCESSED, RAW, _fill
 
     out = {
         "batch_outcomes": "WITH " + BATCH_CTE + """
@@ -323,6 +323,21 @@ per AS (
 SELECT r.rule, window_start, window_start + INTERVAL 5 MINUTE AS window_end, errors AS value, r.threshold
 FROM per, (VALUES ('ingest_errors', 5), ('server_errors', 10)) r(rule, threshold)
 WHERE errors > r.threshold""",
+        # Spark's merged schema text for object payloads: fields sorted by
+        # name, one kind per field (VARIANT when kinds conflict).
+        "schema_discovery": RAW + """,
+members AS (
+  SELECT source, unnest(json_keys(data)) AS field, data FROM raw_data
+),
+kinds AS (
+  SELECT source, field,
+    CASE WHEN count(DISTINCT """ + KIND_OF.format(t="json_type(data, '$.\"' || field || '\"')") + """) = 1
+         THEN min(""" + KIND_OF.format(t="json_type(data, '$.\"' || field || '\"')") + """) ELSE 'VARIANT' END AS kind
+  FROM members GROUP BY source, field
+)
+SELECT k.source, 'OBJECT<' || string_agg(field || ': ' || kind, ', ' ORDER BY field) || '>' AS payload_schema,
+  (SELECT CAST(count(data) AS BIGINT) FROM raw_data r WHERE r.source = k.source) AS payloads
+FROM kinds k GROUP BY k.source""",
         "incremental_process": PROCESSED + """
 SELECT source, year, month, day, CAST(count(*) AS BIGINT) AS records FROM processed_data GROUP BY ALL""",
         "freshness_alarms": PROCESSED + """
