@@ -58,3 +58,14 @@ def test_duplicate_report_broadcasts_only_the_top_k(spark, sf_small):
     # The broadcast side is the limited top-k, never the whole table.
     assert "BroadcastExchange" in plan
     assert F is not None
+
+
+def test_cross_run_dedup_prunes_target_partitions(spark, sf_small, written):
+    from zonelake.operators import process as P
+
+    existing = io.read_processed(spark, f"{written}/processed")
+    batch = P.valid_rows(Lake(spark, sf_small).processed).filter(F.col("ingestion_timestamp") < "2024-01-04")
+    plan = _plan(P.exclude_existing(batch, existing))
+    target_scan = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and "record_hash" in ln
+                   and "event_id" not in ln][0]
+    assert "dynamicpruning" in target_scan

@@ -147,14 +147,21 @@ def quarantine(processed: DataFrame) -> DataFrame:
 NEW_ROW_KEYS = ("source", "year", "month", "day", "ingestion_timestamp", "record_hash")
 
 
+PARTITION_KEYS = ("source", "year", "month", "day")
+
+
 def exclude_existing(batch: DataFrame, existing: DataFrame) -> DataFrame:
     """Rows of ``batch`` not yet in the processed table ``existing``
     (dedup across runs; the reference dedups within one run only).
 
-    A left-anti equi-join on the dedup key plus the partition columns. The
-    partition columns let dynamic partition pruning restrict the scan of
-    ``existing`` to the partitions the batch touches, so an incremental run
-    does not read the whole table. ``batch`` must hold valid rows only
+    The target is first restricted to the partitions the batch touches (a
+    semi-join with the batch's distinct partition values, a small side, so
+    dynamic partition pruning cuts the scan of ``existing`` to those
+    partitions), then the batch is anti-joined with it on the dedup key plus
+    the partition columns. ``batch`` must hold valid rows only
     (``valid_rows``): no key column is NULL there."""
     keys = list(NEW_ROW_KEYS)
-    return batch.join(existing.select(*keys), keys, "left_anti")
+    parts = list(PARTITION_KEYS)
+    touched = batch.select(*parts).distinct()
+    target = existing.select(*keys).join(touched, parts, "left_semi")
+    return batch.join(target, keys, "left_anti")
