@@ -19,6 +19,7 @@ from zonelake.functions.time import (  # noqa: F401
     iso_text,
     parse_date,
     parse_ts,
+    raw_key,
     raw_partition_values,
 )
 from zonelake.functions.util import as_col, ts_literal  # noqa: F401

@@ -93,3 +93,16 @@ def is_python_isoformat(text) -> Column:
         & F.try_make_timestamp_ntz(year, month, day, hour, minute, second).isNotNull()
     )
     return F.when(t.isNull(), F.lit(None).cast("boolean")).otherwise(shaped & F.coalesce(in_range, F.lit(False)))
+
+
+def raw_key(source, ts) -> Column:
+    """Object key of a raw record:
+    ``source=<x>/year=YYYY/month=MM/day=DD/<yyyyMMdd_HHmmss_ffffff>.json``
+    (zero-padded; the reference's layout without the ``source=`` prefix is
+    read with ``read_raw(layout="legacy")``)."""
+    t = as_col(ts).cast("timestamp_ntz")
+    return F.concat(
+        F.lit("source="), as_col(source),
+        F.date_format(t, "'/year='yyyy'/month='MM'/day='dd'/'"),
+        F.date_format(t, OBJECT_NAME_FORMAT), F.lit(".json"),
+    )

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonelake.functions.json import field, kind, strict_json, variant_string
-from zonelake.functions.time import OBJECT_NAME_FORMAT, iso_text
+from zonelake.functions.time import iso_text, raw_key
 from zonelake.functions.util import as_col
 
 # Response texts of the reference handler.
@@ -113,14 +113,7 @@ def classify_parsed(df: DataFrame, v: str = "_v", ts: str = "_ts", keep: tuple =
         error = F.when(F.col(f"{reject}.status_code").isNotNull(), F.col(f"{reject}.error")).otherwise(error)
     t = F.col("_t")
     ok = F.col("_status") == 200
-    key = F.when(
-        ok,
-        F.concat(
-            F.lit("source="), src,
-            F.date_format(t, "'/year='yyyy'/month='MM'/day='dd'/'"),
-            F.date_format(t, OBJECT_NAME_FORMAT), F.lit(".json"),
-        ),
-    )
+    key = F.when(ok, raw_key(src, t))
     metadata = F.when(ok, F.when(F.col("_meta").isNull(), F.parse_json(F.lit("{}"))).otherwise(F.col("_meta")))
     row = F.struct(
         F.col("_status").alias("status_code"),

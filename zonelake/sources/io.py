@@ -138,6 +138,14 @@ def write_hourly_metrics(df: DataFrame, path: str, dynamic: bool = False) -> Non
     _write_overwrite(df.select(*S.HOURLY_METRICS.fieldNames()), path, ("source",), dynamic)
 
 
+def with_raw_key(df: DataFrame, ts_col: str = "received_at", source_col: str = "source") -> DataFrame:
+    """Add the object ``key`` and the zero-padded ``year``/``month``/
+    ``day`` partition values of a raw record."""
+    from zonelake.functions.time import raw_key, raw_partition_values
+
+    return df.select("*", raw_key(source_col, ts_col).alias("key"), *raw_partition_values(ts_col))
+
+
 # --------------------------------------------------------------- catalog
 
 
