@@ -24,6 +24,24 @@ BASE_CONF = {
 }
 
 
+# Suggested settings for a large cluster (applied by the cluster's own
+# configuration, not by the library): shuffle partitions sized so a partition
+# holds ~128-256 MB after AQE coalescing, 256 MB input splits, skew handling
+# for joins and rebalanced writes, and broadcast only below a measured size.
+CLUSTER_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "zonelake",
                   extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.master(f"local[{cores}]").appName(app)
