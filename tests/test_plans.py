@@ -65,7 +65,10 @@ def test_cross_run_dedup_prunes_target_partitions(spark, sf_small, written):
 
     existing = io.read_processed(spark, f"{written}/processed")
     batch = P.valid_rows(Lake(spark, sf_small).processed).filter(F.col("ingestion_timestamp") < "2024-01-04")
-    plan = _plan(P.exclude_existing(batch, existing))
+    from zonelake.session import scoped_conf
+
+    with scoped_conf(spark, {"spark.sql.maxMetadataStringLength": "100000"}):
+        plan = _plan(P.exclude_existing(batch, existing))
     target_scan = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and "record_hash" in ln
                    and "event_id" not in ln][0]
     assert "dynamicpruning" in target_scan

@@ -14,7 +14,7 @@ from zonelake.operators import curate as C
 from zonelake.operators import ingest as I
 from zonelake.operators import process as P
 from zonelake.operators import validate as V
-from zonelake.session import KEEP_OBSERVED_PLAN, scoped_conf
+from zonelake.session import KEEP_OBSERVED_PLAN, ensure_checkpoint_dir, scoped_conf
 from zonelake.sources import io
 
 
@@ -53,6 +53,7 @@ def curate_job(spark: SparkSession, processed_path: str, curated_root: str) -> N
     The hourly base aggregate (one row per source and hour, small) is
     checkpointed to the session's checkpoint folder, so the three writes
     share one scan and survive a lost executor."""
+    ensure_checkpoint_dir(spark)
     processed = io.read_processed(spark, processed_path)
     base = C.hourly_base(processed).checkpoint(eager=True)
     out = C.curate(processed, base=base)
