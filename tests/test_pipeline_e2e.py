@@ -100,3 +100,17 @@ def test_read_raw_text_and_validate(spark, tmp_path):
 
 
 import os  # noqa: E402
+
+
+def test_validate_job_alerts_per_run(spark, tmp_path):
+    folder = tmp_path / "raw" / "source=iot_sensor" / "year=2025" / "month=11" / "day=25"
+    os.makedirs(folder)
+    (folder / "a.json").write_text('{"source": "iot_sensor", "data": {"device_id": "d"}}')
+    (folder / "b.json").write_text('{"source": "x", "data": 1}')
+    root = str(tmp_path)
+    r1 = jobs.validate_job(spark, f"{root}/raw", f"{root}/results", f"{root}/alerts")
+    r2 = jobs.validate_job(spark, f"{root}/raw", f"{root}/results", f"{root}/alerts")
+    alerts = spark.read.parquet(f"{root}/alerts")
+    assert alerts.count() == 2  # one invalid document, once per run
+    assert {r.run_id for r in alerts.collect()} == {r1, r2}
+    assert spark.read.parquet(f"{root}/results").filter(F.col("status") == "valid").count() == 2

@@ -8,6 +8,7 @@ come from ``observe`` during the write instead of extra actions.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from zonelake import schemas as S
 from zonelake.operators import curate as C
@@ -63,12 +64,21 @@ def curate_job(spark: SparkSession, processed_path: str, curated_root: str) -> N
     io.write_hourly_metrics(out.hourly_metrics, f"{root}/hourly_metrics")
 
 
-def validate_job(spark: SparkSession, raw_path: str, results_path: str, alerts_path: str | None = None) -> None:
-    """Validate every landed file; write results (and alert rows)."""
-    results = V.validate(io.read_raw_text(spark, raw_path))
-    results.write.mode("append").partitionBy("status").parquet(results_path)
+def validate_job(spark: SparkSession, raw_path: str, results_path: str, alerts_path: str | None = None,
+                 run_id: str | None = None) -> str:
+    """Validate every landed file in one pass; results are written
+    below ``run_id=<id>/status=<status>/``, and alert rows are made from this
+    run's ``invalid`` partition only (not from earlier runs' results).
+    Returns the run id."""
+    import uuid
+
+    run_id = run_id or uuid.uuid4().hex[:12]
+    results = V.validate(io.read_raw_text(spark, raw_path)).withColumn("run_id", F.lit(run_id))
+    results.write.mode("append").partitionBy("run_id", "status").parquet(results_path)
     if alerts_path:
-        V.alerts(spark.read.parquet(results_path)).write.mode("append").parquet(alerts_path)
+        mine = spark.read.parquet(results_path).filter((F.col("run_id") == run_id) & (F.col("status") == "invalid"))
+        V.alerts(mine).withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(alerts_path)
+    return run_id
 
 
 def register_zones(spark: SparkSession, raw_path: str, processed_path: str, curated_root: str,
