@@ -21,10 +21,19 @@ from zonelake.sources import io
 
 def ingest_job(requests: DataFrame, raw_path: str, outcomes_path: str) -> None:
     """Classify request bodies; land accepted envelopes in the raw zone and
-    every outcome in an outcomes table (Parquet, partitioned by status)."""
-    c = I.classify(requests)
-    io.write_raw(I.accepted(c), raw_path)
-    (I.outcomes(c).write.mode("append").partitionBy("status_code").parquet(outcomes_path))
+    every outcome in an outcomes table (Parquet, partitioned by status).
+
+    The classified rows are persisted on local disk for the two writes, so
+    the bodies are read and parsed once; a lost executor's blocks are
+    recomputed from the input."""
+    from pyspark import StorageLevel
+
+    c = I.classify(requests).persist(StorageLevel.DISK_ONLY)
+    try:
+        io.write_raw(I.accepted(c), raw_path)
+        I.outcomes(c).write.mode("append").partitionBy("status_code").parquet(outcomes_path)
+    finally:
+        c.unpersist()
 
 
 def process_job(spark: SparkSession, raw_path: str, processed_path: str, quarantine_path: str | None = None,
