@@ -50,8 +50,11 @@ OUTCOME_COLUMNS = ("request_id", "item", "status_code", "error", "key", "source"
 
 
 def _contains_string(arr: Column, word: str) -> Column:
-    """Python ``word in list``: some element is the JSON string ``word``."""
-    return F.coalesce(F.exists(arr, lambda x: variant_string(x) == F.lit(word)), F.lit(False))
+    """Python ``word in list`` over the array's elements as text: a
+    non-string element's text (digits, ``true``, JSON of a container) can
+    never equal a plain word, so this is exact. ``array_contains`` keeps the
+    projection inside whole-stage codegen (a lambda would not)."""
+    return F.coalesce(F.array_contains(arr, F.lit(word)), F.lit(False))
 
 
 CLASSIFIED_COLUMNS = ("status_code", "error", "key", "source", "ts", "ingestion_timestamp",
@@ -78,7 +81,7 @@ def classify_parsed(df: DataFrame, v: str = "_v", ts: str = "_ts", keep: tuple =
         field(v, "metadata").alias("_meta"),
     )
     k, srcv = F.col("_k"), F.col("_srcv")
-    arr = F.when(k == "ARRAY", F.try_variant_get(F.col("_v"), "$", "array<variant>"))
+    arr = F.when(k == "ARRAY", F.try_variant_get(F.col("_v"), "$", "array<string>"))
     s = F.when(k == "STRING", F.try_variant_get(F.col("_v"), "$", "string"))
     s2 = s1.select(
         *keep, "_t", "_k", "_data", "_meta",

@@ -170,10 +170,17 @@ def validate(documents: DataFrame, key: str = "key", text: str = "text",
     )
     # 5. outcome
     is_obj, has_data = F.col("_is_obj"), F.col("_has_data")
-    errors = F.array_compact(F.array(
-        F.when(F.col("_schema_msg").isNotNull(), F.concat(F.lit(SCHEMA_PREFIX), F.col("_schema_msg"))),
-        F.when(F.col("_bad_ts"), F.lit(ERR_BAD_TIMESTAMP)),
-    ))
+    # Built with CASE rather than array_compact (a lambda), so the
+    # projection stays inside whole-stage codegen.
+    schema_err = F.concat(F.lit(SCHEMA_PREFIX), F.col("_schema_msg"))
+    has_schema_err = F.col("_schema_msg").isNotNull()
+    bad_ts = F.coalesce(F.col("_bad_ts"), F.lit(False))
+    errors = (
+        F.when(has_schema_err & bad_ts, F.array(schema_err, F.lit(ERR_BAD_TIMESTAMP)))
+        .when(has_schema_err, F.array(schema_err))
+        .when(bad_ts, F.array(F.lit(ERR_BAD_TIMESTAMP)))
+        .otherwise(F.array().cast("array<string>"))
+    )
     error_text = (
         F.when(dk.isNull(), F.lit(ERR_INVALID_JSON))
         .when(~is_obj, F.concat(F.lit("'"), py_type_name_of_kind(dk), F.lit("' object has no attribute 'get'")))
