@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonelake.llm import langid
+from zonelake.llm import langid, simhash
 from zonelake.llm.common import held_out, table
 
 
@@ -17,9 +17,15 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score")
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, max_bits=2)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def queries() -> dict:
     return {
         "op4_language_id": op4_language_id,
+        "op10_simhash": op10_simhash,
     }
 
 
