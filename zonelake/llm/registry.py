@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonelake.llm import langid, simhash
+from zonelake.llm import langid, packing, simhash, toxicity
 from zonelake.llm.common import held_out, table
 
 
@@ -17,6 +17,28 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score")
 
 
+def tokenizer_path(name: str) -> str:
+    """Where the public tokenizer file lies on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(
+        table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), capacity=2048).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    net = toxicity.train(docs.select("doc_id", "text", "lang"),
+                         labels.where(~held_out("doc_id", 4, 2)).select("doc_id", "toxic"), at=0.3)
+    return toxicity.score(docs, net).select(
+        "doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"), "flagged")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, max_bits=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -24,6 +46,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op2_packing": op2_packing,
+        "op3_toxicity": op3_toxicity,
         "op4_language_id": op4_language_id,
         "op10_simhash": op10_simhash,
     }
