@@ -136,7 +136,7 @@ def knapsack(price: np.ndarray, size: np.ndarray, room: int) -> tuple[float, np.
 
 
 def fractional_patterns(size: np.ndarray, demand: np.ndarray, room: int, gap: float = 5e-4,
-                        hold: float = 0.7, max_steps: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
+                        hold: float = 0.7, max_steps: int = 3_000) -> tuple[np.ndarray, np.ndarray]:
     """Column generation for: least number of patterns that cover ``demand``.
     Returns the basic patterns (rows) and their fractional multiplicities.
 
@@ -161,7 +161,7 @@ def fractional_patterns(size: np.ndarray, demand: np.ndarray, room: int, gap: fl
                 break
         else:
             break
-        if x.sum() <= bound * (1 + gap):
+        if x.sum() <= bound * (1 + gap) or x.sum() <= bound + 1:  # one sequence, or gap
             break
         d = inverse @ pattern
         ratio = np.where(d > 1e-9, x / np.where(d > 1e-9, d, 1), np.inf)
