@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonelake.llm import langid, packing, simhash, toxicity
+from zonelake.llm import hnsw, langid, licenses, packing, pii, simhash, toxicity
 from zonelake.llm.common import held_out, table
 
 
@@ -39,6 +39,29 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"), "flagged")
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return hnsw.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.fit(docs))
+
+    def listed(spans: str):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(number, pii.KINDS), F.sha2(listed("base"), 256).alias("base_sha256"),
+                        listed("spans").alias("spans"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, max_bits=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -49,6 +72,9 @@ def queries() -> dict:
         "op2_packing": op2_packing,
         "op3_toxicity": op3_toxicity,
         "op4_language_id": op4_language_id,
+        "op5_licenses": op5_licenses,
+        "op7_nearest": op7_nearest,
+        "op8_pii": op8_pii,
         "op10_simhash": op10_simhash,
     }
 
