@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonelake.llm import hnsw, langid, licenses, packing, pii, simhash, toxicity
+from zonelake.llm import hnsw, langid, licenses, packing, pii, simhash, substrings, toxicity
 from zonelake.llm.common import held_out, table
 
 
@@ -43,6 +43,12 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.repeated_spans(table(spark, sf_dir, "documents"), width=100)
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("starts").cast("long").alias("n_spans"),
+                        "kept_sha256")
+
+
 def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return hnsw.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
@@ -73,6 +79,7 @@ def queries() -> dict:
         "op3_toxicity": op3_toxicity,
         "op4_language_id": op4_language_id,
         "op5_licenses": op5_licenses,
+        "op6_substrings": op6_substrings,
         "op7_nearest": op7_nearest,
         "op8_pii": op8_pii,
         "op10_simhash": op10_simhash,
