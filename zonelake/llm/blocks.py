@@ -17,9 +17,26 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from zonelake.llm.common import text_slices
 
+#: Rows between steps: what they are, for which block or partition, arrays
+#: as bytes, and numbers that Spark sums.
+ROWS = ("kind string, block string, part int, a binary, b binary, c binary, d binary, e binary, "
+        "n array<double>")
+ARROW_ROWS = pa.schema([("kind", pa.string()), ("block", pa.string()), ("part", pa.int32()),
+                        *((k, pa.binary()) for k in "abcde"), ("n", pa.list_(pa.float64()))])
+
+
+def row(kind: str, block: str, part: int = -1, n: list[float] | None = None, **arrays: bytes) -> dict[str, list]:
+    return {"kind": [kind], "block": [block], "part": [part], "n": [n], **{k: [arrays.get(k)] for k in "abcde"}}
+
+
+def row_batch(*args, **kw) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict(row(*args, **kw), schema=ARROW_ROWS)
+
+
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -77,13 +94,14 @@ def grouped(df: DataFrame, key: str, parts: int, fn: Callable[[dict[str, list]],
     """``fn`` on the rows of each value of ``key`` (a dict of column lists).
     Rows stream from a sorted partition, one value's rows at a time."""
     names = df.columns
+    arrow = to_arrow_schema(df.sparkSession.createDataFrame([], schema).schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {n: [] for n in names}
 
         def emit(rows):
             for out in fn(rows):
-                yield pa.RecordBatch.from_pydict(out)
+                yield pa.RecordBatch.from_pydict(out, schema=arrow)
 
         for batch in batches:
             for k in range(batch.num_rows):
@@ -96,14 +114,4 @@ def grouped(df: DataFrame, key: str, parts: int, fn: Callable[[dict[str, list]],
         if held[key]:
             yield from emit(held)
 
-    from pyspark.sql.types import _parse_datatype_string
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    arrow = to_arrow_schema(_parse_datatype_string(schema))
-
-    def cast(batches):
-        for b in run(batches):
-            yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index(f.name)).cast(f.type) for f in arrow],
-                                             schema=arrow)
-
-    return df.repartition(parts, key).sortWithinPartitions(key).mapInArrow(cast, schema)
+    return df.repartition(parts, key).sortWithinPartitions(key).mapInArrow(run, schema)

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonelake.llm import hnsw, langid, licenses, packing, pii, simhash, substrings, toxicity
+from zonelake.llm import hnsw, katz, langid, licenses, packing, pii, simhash, substrings, toxicity
 from zonelake.llm.common import held_out, table
 
 
@@ -68,6 +68,13 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         listed("spans").alias("spans"))
 
 
+def op9_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = held_out("doc_id", 7, 2)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (~out & F.col("doc_id").isNotNull()).alias("train"))
+    return katz.scores(docs).select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                                    "base_score", "score")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, max_bits=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -82,6 +89,7 @@ def queries() -> dict:
         "op6_substrings": op6_substrings,
         "op7_nearest": op7_nearest,
         "op8_pii": op8_pii,
+        "op9_katz": op9_katz,
         "op10_simhash": op10_simhash,
     }
 

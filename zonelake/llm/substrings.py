@@ -35,13 +35,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from zonelake.llm.blocks import (blocks, grouped, partition_of, squeeze, squeeze_sorted, unsqueeze,
-                                 unsqueeze_sorted)
+from zonelake.llm.blocks import (ROWS, blocks, grouped, partition_of, row, row_batch, squeeze, squeeze_sorted,
+                                 unsqueeze, unsqueeze_sorted)
 from zonelake.llm.common import shared_table, tasks_for, texts_of
 
 GRAM = 32
 SEPARATOR = 0xFF  # never part of UTF-8
-ROWS = "kind string, block string, part int, a binary, b binary, c binary, d binary, e binary"
 _BYTES = np.random.default_rng(5).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 
@@ -193,10 +192,6 @@ def repeated_spans(docs: DataFrame, width: int = 100, block_bytes: int = 4 << 20
     spark = docs.sparkSession
     parts = tasks_for(spark)
 
-    def row(kind, block, part=-1, **blobs):
-        return {"kind": [kind], "block": [block], "part": [part],
-                **{k: [blobs.get(k)] for k in "abcde"}}
-
     def by_part(v, own):
         """Distinct minima, where each run's is, whether it occurs more than
         once here, and its partition."""
@@ -206,8 +201,6 @@ def repeated_spans(docs: DataFrame, width: int = 100, block_bytes: int = 4 << 20
         return keys, inverse, many, partition_of(keys, parts)
 
     def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("kind", pa.string()), ("block", pa.string()), ("part", pa.int32()),
-                            *((k, pa.binary()) for k in "abcde")])
         for name, rows in blocks(batches, block_bytes):
             texts = [t.encode("utf-8", "surrogatepass") for t in texts_of(rows)]
             data = np.frombuffer(b"".join(texts), dtype=np.uint8)
@@ -215,14 +208,12 @@ def repeated_spans(docs: DataFrame, width: int = 100, block_bytes: int = 4 << 20
             ids = rows.column(0).to_numpy(zero_copy_only=False)
             known = rows.column(0).is_valid().to_numpy(zero_copy_only=False)
             ids = np.where(known, ids, -(1 << 63)).astype(np.int64)
-            yield pa.RecordBatch.from_pydict(row("text", name, a=squeeze(data), b=squeeze(lengths),
-                                                 c=squeeze(ids), d=squeeze(known)), schema=schema)
+            yield row_batch("text", name, a=squeeze(data), b=squeeze(lengths), c=squeeze(ids), d=squeeze(known))
             _, _, v, _, twice = window_runs(data, lengths, width)
             keys, _, many, part = by_part(v, twice)
             for p in np.unique(part):
                 own = part == p
-                yield pa.RecordBatch.from_pydict(row("ask", name, int(p), a=squeeze_sorted(keys[own]),
-                                                     b=squeeze(np.packbits(many[own]))), schema=schema)
+                yield row_batch("ask", name, int(p), a=squeeze_sorted(keys[own]), b=squeeze(np.packbits(many[own])))
 
     table = shared_table(docs.select("doc_id", "text").mapInArrow(split, ROWS), "substring-blocks")
 
