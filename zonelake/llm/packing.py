@@ -18,6 +18,7 @@ are read.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterable, Iterator
@@ -49,25 +50,73 @@ def chunks_of(text: str) -> list[str]:
 class ChunkEncoder:
     """Token ids of a text as little-endian 32-bit bytes. The tokenizer drops
     white space and never joins across it, so each white-space-free chunk is
-    encoded once and kept, up to ``keep`` chunks."""
+    encoded once and kept, up to ``keep`` chunks and as many older ones.
+    Chunks of Latin letters are one word each, which its last token marks as
+    ended: they are encoded many at a time, in lower case (as the tokenizer
+    does). A chunk of such letters and closing marks is the word's ids and the
+    marks' ids."""
 
-    def __init__(self, path: str, keep: int = 300_000):
+    MARKS = ".,;:!?"
+
+    def __init__(self, path: str, keep: int = 150_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.keep = keep
         self.known: dict[str, bytes] = {}
-
-    def learn(self, chunks: set[str]) -> None:
-        new = list(chunks.difference(self.known))
-        if len(self.known) + len(new) > self.keep:
-            self.known.clear()
-            new = list(chunks)
-        for k in range(0, len(new), 10_000):
-            part = new[k:k + 10_000]
+        self.older: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+
+    def words(self, words: list[str]) -> None:
+        for k in range(0, len(words), 2000):
+            part = words[k:k + 2000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids,
+                           dtype="<u4")
+            ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(ends) != len(part):
+                raise ValueError("the tokenizer's words do not end with a marked token")
+            buffer, at = ids.tobytes(), 0
+            for word, end in zip(part, ends.tolist()):
+                self.known[word] = buffer[at:end]
+                at = end
+
+    def others(self, chunks: list[str]) -> None:
+        for k in range(0, len(chunks), 2000):
+            part = chunks[k:k + 2000]
             for chunk, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
                 self.known[chunk] = np.array(got.ids, dtype="<u4").tobytes()
 
+    def learn(self, chunks: set[str]) -> None:
+        if len(self.known) > self.keep:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        plain, rest, made = set(), set(), []
+        for chunk in chunks.difference(known):
+            if chunk in older:
+                known[chunk] = older[chunk]
+                continue
+            head = chunk.rstrip(self.MARKS)
+            # Latin letters up to U+017F: composed, and lower case letter by letter but for U+0130
+            if head.isalpha() and max(head) < "\u0180" and "\u0130" not in head:
+                low, tail = head.lower(), chunk[len(head):]
+                plain.add(low)
+                if low != chunk:
+                    made.append((chunk, low, tail))
+                    if tail:
+                        rest.add(tail)
+            else:
+                rest.add(chunk)
+        for word in [w for w in plain | rest if w in older]:
+            known[word] = older[word]
+        self.words([w for w in plain if w not in known])
+        self.others([c for c in rest if c not in known])
+        known[""] = b""
+        for chunk, low, tail in made:
+            known[chunk] = known[low] + known[tail]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         per_text = [chunks_of(t) for t in texts]
         self.learn(set().union(*per_text))

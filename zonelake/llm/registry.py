@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonelake.llm import hnsw, katz, langid, licenses, packing, pii, simhash, substrings, toxicity
+from zonelake.llm import decontaminate, hnsw, katz, langid, licenses, packing, pii, simhash, substrings, toxicity
 from zonelake.llm.common import held_out, table
 
 
@@ -17,6 +17,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def tokenizer_path(name: str) -> str:
     """Where the public tokenizer file lies on this machine."""
     import public_tokenizers
@@ -82,6 +86,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_decontaminate": op1_decontaminate,
         "op2_packing": op2_packing,
         "op3_toxicity": op3_toxicity,
         "op4_language_id": op4_language_id,
