@@ -1,12 +1,15 @@
-"""Training-corpus pipeline: ``documents`` through the stages below, each
-calling one operator of ``zonelake.llm``."""
+"""Training-corpus pipeline: ``documents`` through five stages, each calling
+one operator of ``zonelake.llm``. A stage takes and returns a DataFrame with
+the columns of ``documents``; the last one returns packed pieces."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from zonelake.llm import langid
+from zonelake.llm import decontaminate, langid, packing, pii, simhash
 from zonelake.llm.common import shared_table, table
+from zonelake.llm.registry import tokenizer_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,11 +17,38 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.keep_known(docs, langid.train(docs))
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near copies."""
+    return simhash.keep_first(docs, width=3, max_bits=2)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that hold a benchmark item."""
+    return decontaminate.remove(docs, table(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mask personal data in the texts; ``n_chars`` follows the text."""
+    masked = pii.mask(docs, pii.fit(docs))
+    if "n_chars" in docs.columns:
+        masked = masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return masked
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pack the texts' tokens into sequences."""
+    return packing.packed_documents(docs, tokenizer_path("word_bpe_49k.json"), capacity=2048)
+
+
 STAGES = [
     ("language_id", language_id),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("personal_data", personal_data),
+    ("packing", packed),
 ]
 
-#: The stages train models and draw components, which SQL cannot express.
+#: The stages train models and iterate over components, which SQL cannot express.
 ORACLE_SQL = None
 
 

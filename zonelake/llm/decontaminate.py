@@ -12,7 +12,9 @@
 3. Benchmark items are cut into windows of ``size`` words; passages start
    every ``stride`` words, so that a copy overlaps some passage well. Cosine
    in the latent space of a passage and an item window finds candidates.
-4. Each candidate is checked on the words themselves: the longest common
+4. Each candidate is checked on the words themselves: the item's words must
+   make up ``overlap`` of the weight (squared inverse document frequency) of
+   the passage or of the item, whichever is less, and the longest common
    subsequence of the item and the stretch of the document around the passage
    must cover ``sure`` of the item's words, or ``likely`` of them if the
    item's answer (its last sentence) is found in order there as well.
@@ -52,11 +54,12 @@ class Settings:
     size: int = 24
     stride: int = 8
     rank: int = 64
-    cosine: float = 0.5
+    cosine: float = 0.4
+    overlap: float = 0.25
     sure: float = 0.8
     likely: float = 0.6
     min_words: int = 8
-    max_items: int = 100_000
+    max_items: int = 10_000
 
 
 def bucket(ids: np.ndarray, bits: int) -> np.ndarray:
@@ -93,15 +96,17 @@ def passages(ids: np.ndarray, counts: np.ndarray, axes: np.ndarray, idf: np.ndar
 
 
 def summed(table: DataFrame, fn, width: int) -> np.ndarray:
-    """The sum over all slices of ``fn(ids, counts)``, an array of ``width``
-    numbers, added per task, then per group of tasks, then on the driver."""
+    """``width`` numbers to which ``fn(ids, counts, total)`` adds for every
+    slice, summed per task, then per group of tasks, then on the driver."""
 
     def per_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for batch in batches:
             for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                part = fn(unsqueeze(a, np.uint32), unsqueeze(b, np.int64))
-                total = part if total is None else total + part
+                total = np.zeros(width) if total is None else total
+                ids = unsqueeze(a, np.uint32)
+                if len(ids):
+                    fn(ids, unsqueeze(b, np.int64), total)
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([squeeze(total)], pa.binary())], names=["total"])
 
@@ -132,20 +137,21 @@ def word_table(docs: DataFrame) -> DataFrame:
             [pa.array([squeeze(x)], pa.binary()) for x in (ids, counts, doc, known)],
             names=["ids", "counts", "doc_ids", "known"])
 
-    return map_slices(docs.select("doc_id", "text"), run, "ids binary, counts binary, doc_ids binary, known binary")
+    return map_slices(docs.select("doc_id", "text"), run, "ids binary, counts binary, doc_ids binary, known binary", limit=1 << 18)
 
 
 def latent_axes(table: DataFrame, s: Settings, seed: int = 11) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(axes with the bucket weights applied, weights, mean latent row)."""
     size = 1 << s.bits
 
-    def frequency(ids, counts):
+    def frequency(ids, counts, total):
         runs = -(-counts // s.size)
         text = np.repeat(np.arange(len(counts)), counts)
         nth = np.arange(len(ids)) - np.repeat(np.cumsum(counts) - counts, counts)
         passage = (np.cumsum(runs) - runs)[text] + nth // s.size
         pair = np.unique(passage * size + bucket(ids, s.bits))
-        return np.append(np.bincount(pair % size, minlength=size), runs.sum()).astype(np.float64)
+        total[:size] += np.bincount(pair % size, minlength=size)
+        total[size] += runs.sum()
 
     seen = summed(table, frequency, size + 1)
     idf = np.log((seen[-1] + 1) / (seen[:-1] + 1)) + 1e-3
@@ -160,26 +166,23 @@ def latent_axes(table: DataFrame, s: Settings, seed: int = 11) -> tuple[np.ndarr
     start = np.random.default_rng(seed).normal(size=(size, s.rank + 8)).astype(np.float32) * idf32[:, None]
     wide = start.shape[1]
 
-    def power(ids, counts):
+    def power(ids, counts, total):
         b, rows, norm, runs = rows_of(ids, counts, start)
-        if not len(ids):
-            return np.zeros(size * wide)
         text = np.repeat(np.arange(len(counts)), counts)
         nth = np.arange(len(ids)) - np.repeat(np.cumsum(counts) - counts, counts)
         passage = (np.cumsum(runs) - runs)[text] + nth // s.size
         back = rows / np.sqrt(norm + 1e-9)[:, None]
         order = b.astype(np.uint16).argsort(kind="stable") if s.bits <= 16 else b.argsort(kind="stable")
-        out = np.zeros((size, wide))
         firsts = np.flatnonzero(np.diff(b[order], prepend=-1))
-        out[b[order][firsts]] = np.add.reduceat(back[passage[order]], firsts, axis=0)
-        return (out * idf[:, None]).reshape(-1)
+        total.reshape(size, wide)[b[order][firsts]] += np.add.reduceat(back[passage[order]], firsts, axis=0)
 
-    q, _ = np.linalg.qr(summed(table, power, size * wide).reshape(size, wide))
+    q, _ = np.linalg.qr(summed(table, power, size * wide).reshape(size, wide) * idf[:, None])
     basis = (q * idf[:, None]).astype(np.float32)
 
-    def gram(ids, counts):
+    def gram(ids, counts, total):
         rows = rows_of(ids, counts, basis)[1].astype(np.float64)
-        return np.concatenate([(rows.T @ rows).reshape(-1), rows.sum(axis=0)])
+        total[:wide * wide] += (rows.T @ rows).reshape(-1)
+        total[wide * wide:] += rows.sum(axis=0)
 
     got = summed(table, gram, wide * wide + wide)
     value, vector = np.linalg.eigh(got[:wide * wide].reshape(wide, wide))
@@ -236,12 +239,19 @@ def matches(docs: DataFrame, benchmark: DataFrame, settings: Settings | None = N
             b = bucket(np.array(own[at:at + s.size], np.uint32), s.bits)
             windows.append(axes[b].sum(axis=0) / np.sqrt((idf[b] ** 2).sum() + 1e-9) - mean)
             owner.append(k)
+    member = np.zeros((len(items), 1 << s.bits), dtype=bool)
+    weight = np.zeros(len(items), dtype=np.float32)
+    for k, (_, own, _) in enumerate(items):
+        b = bucket(np.array(own, np.uint32), s.bits)
+        member[k, b] = True
+        weight[k] = (idf[b] ** 2).sum()
+    member = np.packbits(member, axis=1)
     target = np.array(windows, dtype=np.float32)
     target /= np.linalg.norm(target, axis=1, keepdims=True) + 1e-12
-    shared = spark.sparkContext.broadcast((axes, idf, mean, target, np.array(owner), items))
+    shared = spark.sparkContext.broadcast((axes, idf, mean, target, np.array(owner), items, member, weight))
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        axes, idf, mean, target, owner, items = shared.value
+        axes, idf, mean, target, owner, items, member, weight = shared.value
         for batch in batches:
             for a, b, c, d in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 ids, counts = unsqueeze(a, np.uint32), unsqueeze(b, np.int64)
@@ -251,11 +261,23 @@ def matches(docs: DataFrame, benchmark: DataFrame, settings: Settings | None = N
                 x /= np.linalg.norm(x, axis=1, keepdims=True) + 1e-12
                 best: dict[tuple[int, int], tuple] = {}
                 begin = np.cumsum(counts) - counts
-                for k in range(0, len(x), 2048):
-                    cosine = x[k:k + 2048] @ target.T
-                    for p, w in zip(*np.nonzero(cosine >= s.cosine)):
-                        judge(best, ids, counts, begin, int(text[k + p]), int(at[k + p]), int(owner[w]),
-                              float(cosine[p, w]), items)
+                b = np.append(bucket(ids, s.bits), 0)
+                value = np.append(idf[b[:-1]] ** 2, 0)  # of the words; the last place stands for none
+                first = begin[text] + at
+                spot = first[:, None] + np.arange(s.size)
+                spot = np.where(spot < (begin + counts)[text][:, None], spot, len(ids))
+                whole = value[spot].sum(axis=1)
+                step = max((1 << 21) // len(target), 1)
+                for k in range(0, len(x), step):
+                    cosine = x[k:k + step] @ target.T
+                    p, w = np.divmod(np.flatnonzero(cosine >= s.cosine), len(target))
+                    item, own = owner[w], spot[k + p]
+                    bits = member[item[:, None], b[own] >> 3] >> (7 - (b[own] & 7)) & 1
+                    share = (value[own] * bits).sum(axis=1)
+                    fits = np.flatnonzero(share >= s.overlap * np.minimum(whole[k + p], weight[item]))
+                    for j in fits.tolist():
+                        judge(best, ids, counts, begin, int(text[k + p[j]]), int(at[k + p[j]]), int(item[j]),
+                              float(cosine[p[j], w[j]]), items)
                 rows = [(int(doc[t]) if known[t] else None, items[k][0], *v) for (t, k), v in sorted(best.items())]
                 if rows:
                     yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], schema=arrow)

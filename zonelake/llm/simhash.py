@@ -235,10 +235,10 @@ def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 2) -> DataF
 
 
 def keep_first(docs: DataFrame, width: int = 3, max_bits: int = 2) -> DataFrame:
-    """The document with the smallest id of each component, all columns. Rows
-    without an id cannot be told apart and all stay; of repeated rows with
-    the kept id, all stay."""
+    """One document of each component, the one with the smallest id, all
+    columns. Of repeated rows with that id one stays; rows without an id
+    cannot be told apart and all stay."""
     kept = (near_duplicates(docs, width, max_bits).where("doc_id = component_id")
             .select(F.col("doc_id").alias("kept_doc_id")).distinct())
-    return docs.join(kept, F.col("doc_id") == F.col("kept_doc_id"), "left_semi").unionByName(
-        docs.where(F.col("doc_id").isNull()))
+    return (docs.join(kept, F.col("doc_id") == F.col("kept_doc_id"), "left_semi").dropDuplicates(["doc_id"])
+            .unionByName(docs.where(F.col("doc_id").isNull())))
