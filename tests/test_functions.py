@@ -37,3 +37,25 @@ def test_kind(spark):
     df = spark.createDataFrame([('{"a":1}',), ("[1]",), ("1",), ("1.5",), ('"x"',), ("true",), ("null",)], "t string")
     got = [r.k for r in df.select(kind(F.try_parse_json("t")).alias("k")).collect()]
     assert got == ["OBJECT", "ARRAY", "BIGINT", "DECIMAL", "STRING", "BOOLEAN", "VOID"]
+
+
+def test_isoformat_agrees_with_python(spark):
+    import datetime as dt
+
+    from zonelake.functions.time import is_python_isoformat
+
+    texts = ["2025-11-25", "2025-11-25\n", "2025-11-25T10:0000", "2025-11-25T100000", "20251125T10:00", "2025-1125",
+             "2025-02-29", "2024-02-29", "0000-01-01", "2025-11-25T10", "2025-11-25 10:00:00.5", "2025-11-25T10:00:00Z",
+             "2025-11-25T10:00:00+05:30", "2025-11-25T10:00:00+0530", "2025-11-25T24:01", "2025-11-25T10:60",
+             "2025-13-01", "2025-11-31", "2025-11-25T10:00:00,123", "", "x", "2025-11-25T", "20240230"]
+
+    def python(text):
+        try:
+            dt.datetime.fromisoformat(text)
+            return True
+        except ValueError:
+            return False
+
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r.t: r.ok for r in rows.select("t", is_python_isoformat("t").alias("ok")).collect()}
+    assert got == {t: python(t) for t in texts}

@@ -27,14 +27,14 @@ def test_files_end_to_end(spark, sf_small, tmp_path):
     assert dict(raw.dtypes)["month"] == "string"
     assert raw.filter(F.length("month") != 2).count() == 0
 
-    counts = jobs.process_job(spark, f"{root}/raw", f"{root}/processed", processing_time="2024-02-01 00:00:00")
+    counts = jobs.process_job(spark, f"{root}/raw", f"{root}/processed", f"{root}/quarantine", processing_time="2024-02-01 00:00:00")
     processed = io.read_processed(spark, f"{root}/processed")
     n_proc = processed.count()
     assert counts["initial"] == n_ok
     assert counts["after_null_filter"] <= n_ok
     assert counts["after_dedup"] == n_proc
     # A second run over the same raw zone adds nothing.
-    jobs.process_job(spark, f"{root}/raw", f"{root}/processed", processing_time="2024-02-02 00:00:00")
+    jobs.process_job(spark, f"{root}/raw", f"{root}/processed", f"{root}/quarantine", processing_time="2024-02-02 00:00:00")
     assert io.read_processed(spark, f"{root}/processed").count() == n_proc
 
     jobs.curate_job(spark, f"{root}/processed", f"{root}/curated")

@@ -4,9 +4,9 @@ hot paths stay JVM-side, and no plan pairs every row with every row."""
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as E
 from zonelake.plans import queries as Q
 from zonelake.plans.lake import Lake
+from zonelake.plans.registry import registered
 from zonelake.sources import io
 
 
@@ -32,7 +32,7 @@ def test_q4_prunes_partitions_and_pushes_score(spark, written):
 
 def test_projection_prunes_columns(spark, written):
     processed = io.read_processed(spark, f"{written}/processed")
-    plan = _plan(Q.source_quality(processed))
+    plan = _plan(Q.source_quality(processed, 2024, 1))
     scan = [line for line in plan.splitlines() if "FileScan parquet" in line][0]
     assert "ReadSchema: struct<quality_score:int>" in scan
 
@@ -43,11 +43,9 @@ def test_aggregates_combine_map_side(spark, written):
         assert "partial_" in _plan(df)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registered()))
 def test_no_python_udf_and_no_pairing(spark, sf_small, name):
-    if name == "incremental_process":
-        pytest.skip("runs a stream")
-    plan = _plan(E.queries()[name](spark, sf_small))
+    plan = _plan(registered()[name](spark, sf_small))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in plan, f"{name}: {bad}"
 
@@ -57,7 +55,11 @@ def test_duplicate_report_broadcasts_only_the_top_k(spark, sf_small):
     plan = _plan(df)
     # The broadcast side is the limited top-k, never the whole table.
     assert "BroadcastExchange" in plan
-    assert F is not None
+
+
+def test_denormalised_join_does_not_shuffle_the_processed_rows(spark, sf_small):
+    plan = _plan(registered()["denormalized"](spark, sf_small))
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(source#" not in plan.split("BroadcastExchange")[-1]
 
 
 def test_cross_run_dedup_prunes_target_partitions(spark, sf_small, written):

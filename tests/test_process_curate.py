@@ -7,6 +7,7 @@ from zonelake import schemas as S
 from zonelake.operators import curate as C
 from zonelake.operators import process as P
 from zonelake.plans.lake import Lake
+from zonelake.sources import io
 
 ROWS = [
     # ingestion_timestamp, source, metadata, data
@@ -87,5 +88,46 @@ def test_denormalize_broadcasts_small_side(spark, sf_small):
     # AQE measured the five-row side and switched to a broadcast join.
     final = d._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in final
-    checked = C.denormalize(lake.processed, lake.source_statistics, max_broadcast_rows=1000)
+    checked = C.denormalize(lake.processed, lake.source_statistics)
     assert "BroadcastHashJoin" in checked._jdf.queryExecution().executedPlan().toString()
+
+
+def test_job_keeps_undated_rows_and_counts_them(spark, tmp_path):
+    from zonelake.plans.jobs import process_job
+
+    rows = [("2025-11-25T10:00:00", "s", '{"a":1}'), ("2025-11-25T10:00:00", "s", '{"a":1}'),
+            ("garbage", "s", '{"b":1}'), ("2025-11-25T11:00:00", "s", None)]
+    raw = spark.createDataFrame(rows, "ingestion_timestamp string, source string, data string").select(
+        "ingestion_timestamp", "source", F.lit(None).cast("variant").alias("metadata"),
+        F.try_parse_json("data").alias("data"), F.lit("2025").alias("year"), F.lit("11").alias("month"),
+        F.lit("25").alias("day"))
+    paths = [str(tmp_path / n) for n in ("raw", "processed", "quarantine")]
+    io.write_raw(raw, paths[0])
+    counts = process_job(spark, *paths, processing_time="2025-11-26 00:00:00")
+    assert counts == {"initial": 4, "after_null_filter": 3, "after_dedup": 2, "quarantined": 1}
+    assert io.read_processed(spark, paths[1]).count() == 1
+    assert [r.ingestion_timestamp for r in spark.read.parquet(paths[2]).collect()] == ["garbage"]
+
+
+def test_rollups_keep_rows_with_a_date_but_no_time(spark):
+    rows = [("2025-11-25T10:00:00", "s", 100, 2025, 11, 25), ("2025-11-25Tgarbage", "s", 80, 2025, 11, 25)]
+    processed = spark.createDataFrame(
+        rows, "ingestion_timestamp string, source string, quality_score int, year int, month int, day int")
+    out = C.curate(processed)
+    assert out.source_statistics.first().total_records == C.source_statistics(processed).first().total_records == 2
+    assert out.daily_summary.first().record_count == 2
+    assert [r.events_per_hour for r in out.hourly_metrics.collect()] == [1]
+
+
+def test_processing_time_is_utc_in_any_session_zone(spark):
+    import datetime as dt
+
+    from zonelake.functions.time import utc_now
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        now = spark.range(1).select(utc_now().alias("t")).first().t
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert abs(now - dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)) < dt.timedelta(minutes=5)

@@ -12,15 +12,15 @@ def test_incremental_rerun_adds_only_new_files(spark, sf_small, tmp_path):
     root = str(tmp_path)
     raw = Lake(spark, sf_small).raw.drop("_processing_ts")
     io.write_raw(raw.filter(F.col("day") <= "10"), f"{root}/raw")
-    X.process_stream(spark, f"{root}/raw", f"{root}/processed", f"{root}/ck").awaitTermination()
+    X.process_stream(spark, f"{root}/raw", f"{root}/processed", f"{root}/ck", f"{root}/quarantine").awaitTermination()
     n1 = io.read_processed(spark, f"{root}/processed").count()
     assert n1 == P.valid_rows(P.process(raw.filter(F.col("day") <= "10"))).count()
     # No new files: nothing added.
-    X.process_stream(spark, f"{root}/raw", f"{root}/processed", f"{root}/ck").awaitTermination()
+    X.process_stream(spark, f"{root}/raw", f"{root}/processed", f"{root}/ck", f"{root}/quarantine").awaitTermination()
     assert io.read_processed(spark, f"{root}/processed").count() == n1
     # New files: only their rows are added.
     io.write_raw(raw.filter(F.col("day") > "10"), f"{root}/raw")
-    X.process_stream(spark, f"{root}/raw", f"{root}/processed", f"{root}/ck").awaitTermination()
+    X.process_stream(spark, f"{root}/raw", f"{root}/processed", f"{root}/ck", f"{root}/quarantine").awaitTermination()
     assert io.read_processed(spark, f"{root}/processed").count() == P.valid_rows(P.process(raw)).count()
 
 

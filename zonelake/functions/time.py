@@ -33,8 +33,19 @@ def parse_date(text) -> Column:
 
 
 def hour_floor(ts) -> Column:
-    """Start of the hour as TIMESTAMP_NTZ (a one-hour tumbling window)."""
-    return F.window(as_col(ts).cast("timestamp_ntz"), "1 hour").start
+    """Start of the hour as TIMESTAMP_NTZ; NULL stays NULL (a time window
+    would drop such rows)."""
+    return F.date_trunc("HOUR", as_col(ts).cast("timestamp_ntz")).cast("timestamp_ntz")
+
+
+def utc_now() -> Column:
+    """Current time as naive UTC, whatever the session time zone."""
+    return utc_naive(F.current_timestamp())
+
+
+def utc_naive(ts) -> Column:
+    """A TIMESTAMP's UTC wall-clock time as TIMESTAMP_NTZ."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), as_col(ts).cast("timestamp_ntz"))
 
 
 def raw_partition_values(ts) -> list[Column]:
@@ -53,46 +64,23 @@ def raw_partition_values(ts) -> list[Column]:
 # fraction after the seconds; then an optional offset. Week dates
 # (2025-W48-2) are not recognised: documented divergence.
 _ISO_PATTERN = (
-    r"(?s)^(?:(\d{4})-(\d{2})-(\d{2})|(\d{4})(\d{2})(\d{2}))"
-    r"(?:.(\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d+))?)?)?"
-    r"(Z|[+-](\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,]\d+)?)?)?)?)?$"
+    r"(?s)\A(?!0000)\d{4}(?<date>-?)(?:0[1-9]|1[0-2])\k<date>(?:0[1-9]|[12]\d|3[01])"
+    r"(?:.(?:[01]\d|2[0-3])(?:(?<time>:?)[0-5]\d(?:\k<time>[0-5]\d(?:[.,]\d+)?)?)?"
+    r"(?:Z|[+-](?:[01]\d|2[0-3])(?:(?<off>:?)[0-5]\d(?:\k<off>[0-5]\d(?:[.,]\d+)?)?)?)?)?\z"
 )
 
 
 def is_python_isoformat(text) -> Column:
-    """True when ``datetime.fromisoformat(text)`` would succeed.
+    """True when ``datetime.fromisoformat(text)`` would succeed. NULL gives
+    NULL.
 
-    The shape is checked with a regular expression, then the field ranges
-    (month length, hour < 24, minute and second < 60, offset < 24 h) with
-    ``try_make_timestamp_ntz``. NULL text gives NULL."""
+    One regular expression checks the shape, the field ranges and that each
+    part uses one kind of separator; only the length of the month is left to
+    a date conversion of the first eight digits."""
     t = as_col(text)
-
-    def g(i: int) -> Column:
-        return F.regexp_extract(t, _ISO_PATTERN, i)
-
-    def num(c: Column) -> Column:
-        return F.when(c != "", c.cast("int"))
-
-    shaped = F.regexp_like(t, F.lit(_ISO_PATTERN))
-    year = num(F.when(g(1) != "", g(1)).otherwise(g(4)))
-    month = num(F.when(g(2) != "", g(2)).otherwise(g(5)))
-    day = num(F.when(g(3) != "", g(3)).otherwise(g(6)))
-    hour = F.coalesce(num(g(7)), F.lit(0))
-    minute = F.coalesce(num(g(8)), F.lit(0))
-    second = F.coalesce(num(g(9)), F.lit(0))
-    off_h = F.coalesce(num(g(12)), F.lit(0))
-    off_m = F.coalesce(num(g(13)), F.lit(0))
-    off_s = F.coalesce(num(g(14)), F.lit(0))
-    in_range = (
-        (year >= 1)
-        & (minute < 60)
-        & (second < 60)
-        & (off_h < 24)
-        & (off_m < 60)
-        & (off_s < 60)
-        & F.try_make_timestamp_ntz(year, month, day, hour, minute, second).isNotNull()
-    )
-    return F.when(t.isNull(), F.lit(None).cast("boolean")).otherwise(shaped & F.coalesce(in_range, F.lit(False)))
+    digits = F.replace(F.substring(t, 1, 10), F.lit("-"), F.lit(""))
+    real_day = F.try_to_date(F.substring(digits, 1, 8), "yyyyMMdd").isNotNull()
+    return F.when(t.isNull(), F.lit(None).cast("boolean")).otherwise(F.regexp_like(t, F.lit(_ISO_PATTERN)) & real_day)
 
 
 def raw_key(source, ts) -> Column:

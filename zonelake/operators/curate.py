@@ -144,16 +144,13 @@ def curate(processed: DataFrame, base: DataFrame | None = None) -> Curated:
     )
 
 
-def denormalize(processed: DataFrame, stats: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
+def denormalize(processed: DataFrame, stats: DataFrame) -> DataFrame:
     """Processed rows with their source statistics (left join on source).
 
-    By default the join strategy is left to AQE, which measures the
-    statistics side after its aggregation and broadcasts it only when the
-    measured size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``;
-    otherwise it stays a shuffle join, where AQE splits a hot source's
-    partition (skew join) instead of one task taking it. With
-    ``max_broadcast_rows`` the side is broadcast after a bounded count
-    proves it has at most that many rows (one extra aggregation pass)."""
+    ``stats`` should be the written source statistics (a curated table): the
+    size of its files then decides about a broadcast before any shuffle of
+    the processed rows. A larger one stays a shuffle join, where AQE splits
+    a hot source's partition."""
     s = stats.select(
         "source",
         F.col("total_records").alias("source_total_records"),
@@ -161,6 +158,4 @@ def denormalize(processed: DataFrame, stats: DataFrame, max_broadcast_rows: int
         F.col("first_seen").alias("source_first_seen"),
         F.col("last_seen").alias("source_last_seen"),
     )
-    if max_broadcast_rows is not None and s.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
-        s = F.broadcast(s)
     return processed.join(s, "source", "left")

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonelake.functions.json import field, kind, strict_json, variant_string
-from zonelake.functions.time import iso_text, raw_key
+from zonelake.functions.time import iso_text, raw_key, utc_now
 from zonelake.functions.util import as_col
 
 # Response texts of the reference handler.
@@ -137,7 +137,7 @@ def classify_parsed(df: DataFrame, v: str = "_v", ts: str = "_ts", keep: tuple =
 
 def _received(requests: DataFrame, received_at) -> Column:
     if received_at is None:
-        return F.current_timestamp().cast("timestamp_ntz")
+        return utc_now()
     if isinstance(received_at, str):
         return F.col(received_at).cast("timestamp_ntz")
     return as_col(received_at).cast("timestamp_ntz")
@@ -196,15 +196,14 @@ def ingest(requests: DataFrame, body: str = "body", received_at: str | None = "r
 
 
 def batch_classify(requests: DataFrame, body: str = "body", received_at: str | None = "received_at",
-                   request_id: str | None = "request_id", max_items: int = 100) -> DataFrame:
+                   request_id: str | None = "request_id", *, max_items: int | None) -> DataFrame:
     """Batch ingestion. A body that is a JSON array is a batch of items;
     each item is classified as a body of its own and gets its position in
     ``item``. A batch with more than ``max_items`` items is rejected whole
     (413 ``Batch too large``); an empty batch yields one 400 row. A body that
     is not an array is a single item with ``item`` NULL.
 
-    The explode is bounded per row by ``max_items``, so no task expands a
-    single request beyond that."""
+    With ``max_items=None`` batches of any size are taken."""
     text = F.coalesce(F.col(body).cast("string"), F.lit("{}"))
     ts = _received(requests, received_at if received_at in requests.columns else None)
     parsed = requests.select(
@@ -214,8 +213,9 @@ def batch_classify(requests: DataFrame, body: str = "body", received_at: str | N
     )
     arr = F.try_variant_get(F.col("_v"), "$", "array<variant>")
     n = F.size(arr)
-    is_batch = (kind("_v") == "ARRAY") & (n >= 1) & (n <= max_items)
-    too_large = (kind("_v") == "ARRAY") & (n > max_items)
+    within = F.lit(True) if max_items is None else n <= max_items
+    is_batch = (kind("_v") == "ARRAY") & (n >= 1) & within
+    too_large = (kind("_v") == "ARRAY") & ~within
     # Non-batches explode a one-element array holding the body itself.
     items = F.when(is_batch, arr).otherwise(F.array(F.col("_v")))
     reject = F.when(too_large, F.struct(F.lit(413).alias("status_code"), F.lit(ERR_BATCH_TOO_LARGE).alias("error")))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from zonelake.functions.json import canonical_json, fingerprint
-from zonelake.functions.time import parse_date
+from zonelake.functions.time import parse_date, utc_now
 from zonelake.functions.util import ts_literal
 
 DEDUP_KEYS = ("ingestion_timestamp", "source", "record_hash")
@@ -35,7 +35,7 @@ PROCESSED_COLUMNS = (
 
 def _processing_time(raw: DataFrame, processing_time) -> Column:
     if processing_time is None:
-        return F.current_timestamp().cast("timestamp_ntz")
+        return utc_now()
     if isinstance(processing_time, str) and processing_time in raw.columns:
         return F.col(processing_time).cast("timestamp_ntz")
     return ts_literal(processing_time)

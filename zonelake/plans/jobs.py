@@ -15,7 +15,7 @@ from zonelake.operators import curate as C
 from zonelake.operators import ingest as I
 from zonelake.operators import process as P
 from zonelake.operators import validate as V
-from zonelake.session import KEEP_OBSERVED_PLAN, ensure_checkpoint_dir, scoped_conf
+from zonelake.session import KEEP_OBSERVED_PLAN, ensure_checkpoint_dir, scoped_conf, scratch_path
 from zonelake.sources import io
 
 
@@ -36,25 +36,28 @@ def ingest_job(requests: DataFrame, raw_path: str, outcomes_path: str) -> None:
         c.unpersist()
 
 
-def process_job(spark: SparkSession, raw_path: str, processed_path: str, quarantine_path: str | None = None,
+def process_job(spark: SparkSession, raw_path: str, processed_path: str, quarantine_path: str,
                 layout: str = "hive", incremental: bool = True, processing_time=None,
                 hash_mode: str = "sha256") -> dict:
-    """Raw -> processed in one pass. With ``incremental`` the rows
-    already in the processed table are left out (B6). Rows whose timestamp
-    has no date go to ``quarantine_path`` when given. Returns the stage
-    counts (P7)."""
+    """Raw -> processed in one pass over the raw zone. The cleaned rows
+    are staged once in the shared checkpoint folder; rows whose timestamp has
+    no date go to ``quarantine_path``, the others to the processed zone. With
+    ``incremental`` the rows already there are left out (B6). Returns the
+    stage counts (P7), of which ``quarantined`` are the rows set apart."""
     counts = P.StageCounts()
-    raw = io.read_raw(spark, raw_path, layout=layout)
-    out = P.process(raw, processing_time=processing_time, hash_mode=hash_mode, counts=counts)
-    good = P.valid_rows(out)
+    out = P.process(io.read_raw(spark, raw_path, layout=layout), processing_time=processing_time,
+                    hash_mode=hash_mode, counts=counts)
+    staged_path = scratch_path(spark, "process")
+    with scoped_conf(spark, KEEP_OBSERVED_PLAN):
+        out.write.parquet(staged_path)
+    staged = spark.read.schema(out.schema).parquet(staged_path)
+    apart = P.quarantine(staged)
+    apart.write.mode("append").parquet(quarantine_path)
+    good = P.valid_rows(staged)
     if incremental and _exists(spark, processed_path):
         good = P.exclude_existing(good, io.read_processed(spark, processed_path))
-    with scoped_conf(spark, KEEP_OBSERVED_PLAN):
-        io.write_processed(good, processed_path)
-    if quarantine_path:
-        P.quarantine(P.process(io.read_raw(spark, raw_path, layout=layout), processing_time, hash_mode)) \
-            .write.mode("append").parquet(quarantine_path)
-    return counts.get()
+    io.write_processed(good, processed_path)
+    return {**counts.get(), "quarantined": apart.count()}
 
 
 def curate_job(spark: SparkSession, processed_path: str, curated_root: str) -> None:

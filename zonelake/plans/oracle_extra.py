@@ -196,7 +196,13 @@ FROM per_text GROUP BY source, hour""",
 }
 
 
-BATCH_CTE = """
+def batch_cte(limit: int) -> str:
+    """Batch items and outcomes; batches of more than ``limit`` items are
+    rejected whole. No template has more than three."""
+    return BATCH_TEMPLATE.replace("@most", str(limit)).replace("@stop", str(limit + 1))
+
+
+BATCH_TEMPLATE = """
 breq AS (
   SELECT CAST(event_id AS VARCHAR) AS request_id, CAST(ts AS TIMESTAMP) AS ts,
     CASE event_id % 3
@@ -214,11 +220,11 @@ bk AS (
   FROM breq
 ),
 bitems AS (
-  SELECT request_id, ts, CAST(NULL AS INTEGER) AS item, body AS item_body, n > 2 AS too_large
-  FROM bk WHERE NOT (bkind = 'ARRAY' AND n BETWEEN 1 AND 2)
+  SELECT request_id, ts, CAST(NULL AS INTEGER) AS item, body AS item_body, n > @most AS too_large
+  FROM bk WHERE NOT (bkind = 'ARRAY' AND n BETWEEN 1 AND @most)
   UNION ALL
   SELECT request_id, ts, CAST(i - 1 AS INTEGER) AS item, CAST(json_extract(body, '$[' || (i - 1) || ']') AS VARCHAR), false
-  FROM bk, range(1, 3) r(i) WHERE bkind = 'ARRAY' AND n BETWEEN 1 AND 2 AND i <= n
+  FROM bk, range(1, @stop) r(i) WHERE bkind = 'ARRAY' AND n BETWEEN 1 AND @most AND i <= n
 ),
 bc AS (
   SELECT *, json_type(item_body) AS k,
@@ -240,6 +246,15 @@ boutcomes AS (
   FROM bc
 )"""
 
+BATCH_SUMMARY = """
+SELECT request_id, CAST(count(*) AS BIGINT) AS items,
+  CAST(count(*) FILTER (WHERE status_code = 200) AS BIGINT) AS accepted,
+  CAST(count(*) FILTER (WHERE status_code <> 200) AS BIGINT) AS rejected,
+  CASE WHEN count(*) FILTER (WHERE status_code <> 200) = 0 THEN 200
+       WHEN count(*) FILTER (WHERE status_code = 200) > 0 THEN 207
+       ELSE arg_min(status_code, coalesce(item, 0)) END AS status_code
+FROM boutcomes GROUP BY request_id"""
+
 # Our kind names for DuckDB JSON types.
 KIND_OF = """CASE {t} WHEN 'VARCHAR' THEN 'STRING' WHEN 'UBIGINT' THEN 'BIGINT' WHEN 'BIGINT' THEN 'BIGINT'
   WHEN 'DOUBLE' THEN 'DECIMAL' WHEN 'NULL' THEN 'VOID' ELSE {t} END"""
@@ -249,21 +264,15 @@ def _more() -> dict[str, str]:
     from zonelake.plans.oracle import CURATED, DOC_RAW_CTE, PROCESSED, RAW, _fill
 
     out = {
-        "batch_outcomes": "WITH " + BATCH_CTE + """
+        "batch_outcomes": "WITH " + batch_cte(3) + """
 SELECT request_id, item, status_code,
   CASE status_code WHEN 200 THEN NULL WHEN 413 THEN 'Batch too large' WHEN 500 THEN 'Internal server error'
        ELSE 'Missing required fields: source and data' END AS error,
   CASE WHEN status_code = 200 THEN 'source=' || src || strftime(ts, '/year=%Y/month=%m/day=%d/%Y%m%d_%H%M%S_%f') || '.json' END AS key,
   CASE WHEN status_code <> 413 THEN src END AS source, ts
 FROM boutcomes""",
-        "batch_ingest": "WITH " + BATCH_CTE + """
-SELECT request_id, CAST(count(*) AS BIGINT) AS items,
-  CAST(count(*) FILTER (WHERE status_code = 200) AS BIGINT) AS accepted,
-  CAST(count(*) FILTER (WHERE status_code <> 200) AS BIGINT) AS rejected,
-  CASE WHEN count(*) FILTER (WHERE status_code <> 200) = 0 THEN 200
-       WHEN count(*) FILTER (WHERE status_code = 200) > 0 THEN 207
-       ELSE arg_min(status_code, coalesce(item, 0)) END AS status_code
-FROM boutcomes GROUP BY request_id""",
+        "batch_ingest": "WITH " + batch_cte(3) + BATCH_SUMMARY,
+        "batch_ingest_limited": "WITH " + batch_cte(2) + BATCH_SUMMARY,
         "field_profile": "WITH " + DOC_RAW_CTE + """,
 members AS (
   SELECT source, unnest(json_keys(data)) AS field, data FROM raw_data
@@ -317,10 +326,10 @@ SELECT CAST(count(*) AS BIGINT) AS requests,
 FROM outcomes WHERE ts >= TIMESTAMP '{as_of}' - INTERVAL 1 HOUR AND ts < TIMESTAMP '{as_of}'""",
         "error_alarms": "WITH " + REQUESTS_CTE + """,
 per AS (
-  SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, CAST(count(*) FILTER (WHERE status_code >= 500) AS BIGINT) AS errors
+  SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, CAST(count(*) FILTER (WHERE status_code >= 500) AS BIGINT) AS errors
   FROM outcomes GROUP BY 1
 )
-SELECT r.rule, window_start, window_start + INTERVAL 5 MINUTE AS window_end, errors AS value, r.threshold
+SELECT r.rule, window_start, window_start + INTERVAL 1 HOUR AS window_end, errors AS value, r.threshold
 FROM per, (VALUES ('ingest_errors', 5), ('server_errors', 10)) r(rule, threshold)
 WHERE errors > r.threshold""",
         # Spark's merged schema text for object payloads: fields sorted by
@@ -339,12 +348,28 @@ SELECT k.source, 'OBJECT<' || string_agg(field || ': ' || kind, ', ' ORDER BY fi
   (SELECT CAST(count(data) AS BIGINT) FROM raw_data r WHERE r.source = k.source) AS payloads
 FROM kinds k GROUP BY k.source""",
         "incremental_process": PROCESSED + """
-SELECT source, year, month, day, CAST(count(*) AS BIGINT) AS records FROM processed_data GROUP BY ALL""",
+SELECT source, year, month, day, CAST(count(*) AS BIGINT) AS records,
+  CAST(sum(CAST('0x' || substr(record_hash, 1, 8) AS BIGINT)) AS BIGINT) AS content
+FROM processed_data GROUP BY ALL""",
+        "quarantine": PROCESSED + """,
+marked AS (
+  SELECT *, substr(ingestion_timestamp, 18, 2) = '21' AS bad FROM processed_data
+  WHERE substr(ingestion_timestamp, 18, 2) <> '13'
+)
+SELECT CASE WHEN bad THEN 'quarantine' ELSE 'processed' END AS output, source,
+  CASE WHEN NOT bad THEN year END AS year, CASE WHEN NOT bad THEN month END AS month,
+  CASE WHEN NOT bad THEN day END AS day,
+  CAST(count(*) AS BIGINT) AS records, CAST(sum(quality_score) AS BIGINT) AS score
+FROM marked GROUP BY ALL""",
+        "curate_totals": PROCESSED + """
+SELECT source, output,
+  CAST(count(*) FILTER (WHERE output <> 'hourly' OR substr(ingestion_timestamp, 18, 2) >= '10') AS BIGINT) AS records
+FROM processed_data, (VALUES ('daily'), ('source'), ('hourly')) o(output) GROUP BY ALL""",
         "freshness_alarms": PROCESSED + """
 SELECT 'no_data' AS rule, source, max(ingestion_timestamp) AS last_data_received,
-  date_sub('minute', CAST(max(ingestion_timestamp) AS TIMESTAMP), TIMESTAMP '{as_of}') AS value, 120 AS threshold
+  date_sub('minute', CAST(max(ingestion_timestamp) AS TIMESTAMP), TIMESTAMP '2024-01-31 01:45:00') AS value, 120 AS threshold
 FROM processed_data GROUP BY source
-HAVING date_sub('minute', CAST(max(ingestion_timestamp) AS TIMESTAMP), TIMESTAMP '{as_of}') > 120""",
+HAVING date_sub('minute', CAST(max(ingestion_timestamp) AS TIMESTAMP), TIMESTAMP '2024-01-31 01:45:00') > 120""",
     }
     return {k: _fill(v) for k, v in out.items()}
 

@@ -175,9 +175,10 @@ def duplicate_records(processed: DataFrame, year: int, month: int, top: int = 10
     )
 
 
-def source_quality(processed: DataFrame) -> DataFrame:
-    """Q15: per source: record count and average quality."""
-    return processed.groupBy("source").agg(
+def source_quality(processed: DataFrame, year: int, month: int) -> DataFrame:
+    """Q15: per source, in one month: record count and average quality."""
+    of_month = processed.filter((F.col("year") == year) & (F.col("month") == month))
+    return of_month.groupBy("source").agg(
         F.count(F.lit(1)).alias("record_count"), F.avg("quality_score").alias("avg_quality")
     ).orderBy("source")
 

@@ -158,4 +158,4 @@ def _raw_by_source(lake: Lake) -> DataFrame:
 @register("source_quality")
 def _source_quality(lake: Lake) -> DataFrame:
     """Q15."""
-    return Q.source_quality(lake.processed)
+    return Q.source_quality(lake.processed, YEAR, MONTH)

@@ -15,8 +15,13 @@ from zonelake.operators import quality as Qa
 from zonelake.operators import validate as V
 from zonelake.plans.lake import AS_OF, Lake
 from zonelake.plans.registry import register
+from zonelake import schemas as S
 from zonelake.schemas import SOURCE_SCHEMAS
-from zonelake.sources.tables import events_to_batches, events_to_documents, events_to_requests
+from zonelake.sources.tables import events_to_batches, events_to_documents, events_to_requests, flawed_raw
+
+
+#: Some sources, not all, are silent for two hours by then.
+ALARM_AS_OF = "2024-01-31 01:45:00"
 
 
 def _requests(lake: Lake) -> DataFrame:
@@ -63,19 +68,26 @@ def _validation_metrics(lake: Lake) -> DataFrame:
     return V.metrics(_validation(lake))
 
 
-BATCH_LIMIT = 2
+def _batches(lake: Lake, max_items: int | None) -> DataFrame:
+    return I.batch_classify(events_to_batches(lake.table("events")), max_items=max_items)
 
 
 @register("batch_ingest")
 def _batch_ingest(lake: Lake) -> DataFrame:
     """Per batch request: items, accepted, rejected, overall status."""
-    return I.batch_summary(I.batch_classify(events_to_batches(lake.table("events")), max_items=BATCH_LIMIT))
+    return I.batch_summary(_batches(lake, None))
 
 
 @register("batch_outcomes")
 def _batch_outcomes(lake: Lake) -> DataFrame:
     """One outcome per batch item."""
-    return I.outcomes(I.batch_classify(events_to_batches(lake.table("events")), max_items=BATCH_LIMIT))
+    return I.outcomes(_batches(lake, None))
+
+
+@register("batch_ingest_limited")
+def _batch_ingest_limited(lake: Lake) -> DataFrame:
+    """D1 with a size limit (two items), which rejects larger batches."""
+    return I.batch_summary(_batches(lake, 2))
 
 
 # ------------------------------------------------- quality and discovery
@@ -117,8 +129,48 @@ def _quality_metrics(lake: Lake) -> DataFrame:
 
 @register("denormalized")
 def _denormalized(lake: Lake) -> DataFrame:
-    """Processed rows with their source statistics."""
-    return C.denormalize(lake.processed, lake.source_statistics)
+    """Processed rows with their source statistics, which are written
+    first and read back as the curated table."""
+    from zonelake.session import scratch_path
+    from zonelake.sources import io
+
+    path = scratch_path(lake.spark, "source_statistics")
+    io.write_source_statistics(lake.source_statistics, path)
+    return C.denormalize(lake.processed, lake.spark.read.schema(S.SOURCE_STATISTICS).parquet(path))
+
+
+@register("quarantine")
+def _quarantine(lake: Lake) -> DataFrame:
+    """The raw zone with broken timestamps, missing payloads and
+    exact copies, through the batch job; rows per output and partition."""
+    from zonelake.plans.jobs import process_job
+    from zonelake.session import scratch_path
+    from zonelake.sources import io
+
+    root = scratch_path(lake.spark, "quarantine")
+    io.write_raw(flawed_raw(lake.raw.drop("_processing_ts")), f"{root}/raw")
+    process_job(lake.spark, f"{root}/raw", f"{root}/processed", f"{root}/quarantine",
+                processing_time="2024-02-01 00:00:00")
+    kept = io.read_processed(lake.spark, f"{root}/processed")
+    apart = lake.spark.read.schema(S.PROCESSED).parquet(f"{root}/quarantine")
+    rows = kept.withColumn("output", F.lit("processed")).unionByName(apart.withColumn("output", F.lit("quarantine")))
+    return rows.groupBy("output", "source", "year", "month", "day").agg(
+        F.count(F.lit(1)).alias("records"), F.sum("quality_score").alias("score"))
+
+
+@register("curate_totals")
+def _curate_totals(lake: Lake) -> DataFrame:
+    """C4: records per source in each of the three curated outputs, from rows
+    of which some have a date but no readable time."""
+    rows = lake.processed.withColumn("ingestion_timestamp", F.when(
+        F.substring("ingestion_timestamp", 18, 2) < "10",
+        F.concat(F.substring("ingestion_timestamp", 1, 10), F.lit("Tgarbage"))).otherwise(F.col("ingestion_timestamp")))
+    out = C.curate(rows)
+    parts = (("daily", out.daily_summary, "record_count"), ("source", out.source_statistics, "total_records"),
+             ("hourly", out.hourly_metrics, "events_per_hour"))
+    totals = [df.groupBy("source").agg(F.sum(n).alias("records")).withColumn("output", F.lit(name))
+              for name, df, n in parts]
+    return totals[0].unionByName(totals[1]).unionByName(totals[2])
 
 
 # ------------------------------------------------------------ monitoring
@@ -142,20 +194,15 @@ def _request_last_hour(lake: Lake) -> DataFrame:
 
 @register("error_alarms")
 def _error_alarms(lake: Lake) -> DataFrame:
-    """Five-minute windows breaching the error rules."""
-    return M.error_alarms(_outcomes(lake))
+    """Windows breaching the error rules, an hour long so that the
+    tables' event rate reaches the thresholds."""
+    return M.error_alarms(_outcomes(lake), window="1 hour")
 
 
 @register("freshness_alarms")
 def _freshness_alarms(lake: Lake) -> DataFrame:
-    """Sources silent for more than two hours at AS_OF."""
-    return M.freshness_alarms(lake.processed, AS_OF)
-
-
-@register("zone_inventory")
-def _zone_inventory(lake: Lake) -> DataFrame:
-    """M1: objects and bytes of the input folder."""
-    return M.zone_inventory(lake.spark, {"input": lake.sf_dir}, glob="*.parquet")
+    """Sources silent for more than two hours at ALARM_AS_OF."""
+    return M.freshness_alarms(lake.processed, ALARM_AS_OF)
 
 
 # ------------------------------------------------------------- streaming
@@ -163,10 +210,11 @@ def _zone_inventory(lake: Lake) -> DataFrame:
 
 @register("incremental_process")
 def _incremental_process(lake: Lake) -> DataFrame:
-    """The raw zone is landed in two parts (days 1-15, then the rest);
-    after each part an ``availableNow`` stream processes the new files into
-    the processed zone. Result: rows per processed partition, which must
-    equal the batch job's."""
+    """The raw zone is landed in two overlapping parts (days 1-20, then
+    days 10 on), so that the second run meets rows already there; after each
+    part an ``availableNow`` stream processes the new files into the
+    processed zone. Result: rows per processed partition and a sum over
+    their fingerprints, which must equal the batch job's."""
     from zonelake.session import scratch_path
     from zonelake.sources import io
     from zonelake.streaming.incremental import process_stream
@@ -174,10 +222,11 @@ def _incremental_process(lake: Lake) -> DataFrame:
     spark = lake.spark
     root = scratch_path(spark, "incremental")
     raw = lake.raw.drop("_processing_ts")
-    for part in (F.col("day") <= "15", F.col("day") > "15"):
+    for part in (F.col("day") <= "20", F.col("day") >= "10"):
         io.write_raw(raw.filter(part), f"{root}/raw")
         process_stream(spark, f"{root}/raw", f"{root}/processed", f"{root}/checkpoint",
-                       processing_time="2024-02-01 00:00:00").awaitTermination()
+                       f"{root}/quarantine", processing_time="2024-02-01 00:00:00").awaitTermination()
     return io.read_processed(spark, f"{root}/processed").groupBy("source", "year", "month", "day").agg(
-        F.count(F.lit(1)).alias("records")
+        F.count(F.lit(1)).alias("records"),
+        F.sum(F.conv(F.substring("record_hash", 1, 8), 16, 10).cast("long")).alias("content"),
     )

@@ -66,10 +66,13 @@ def checkpoint_root(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Checkpoint/scratch root: the session's ``spark.checkpoint.dir`` when
-    set; otherwise (local tests only) a fresh temporary folder."""
+    """Checkpoint/scratch root: the session's ``spark.checkpoint.dir``. In a
+    local session without one, a fresh temporary folder; on a cluster that
+    would be a different disk for each executor, so it is an error there."""
     d = checkpoint_root(spark)
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="zonelake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():

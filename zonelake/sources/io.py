@@ -129,8 +129,9 @@ def write_daily_summary(df: DataFrame, path: str, dynamic: bool = False) -> None
 
 
 def write_source_statistics(df: DataFrame, path: str) -> None:
-    """Source statistics, overwritten, not partitioned (one small file)."""
-    df.select(*S.SOURCE_STATISTICS.fieldNames()).coalesce(1).write.mode("overwrite").parquet(path)
+    """Source statistics, overwritten, not partitioned; AQE sizes the
+    files from the aggregate's output."""
+    df.select(*S.SOURCE_STATISTICS.fieldNames()).write.mode("overwrite").parquet(path)
 
 
 def write_hourly_metrics(df: DataFrame, path: str, dynamic: bool = False) -> None:

@@ -13,30 +13,9 @@ from pyspark.sql import functions as F
 from zonelake.functions.time import iso_text, raw_partition_values
 
 
-# Unique key of each driver table, used to spread a small unsplittable input.
-TABLE_KEYS = {"events": "event_id", "documents": "doc_id", "pages": "page_id"}
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one driver table.
-
-    A table stored as one Parquet row group is read by a single task, so all
-    the per-row JSON work before the first shuffle would run on one core.
-    When the scan has fewer partitions than the cluster has cores, rows are
-    hash-partitioned on the table's unique key to spread that work (a
-    deterministic exchange, so a retried task sees the same rows). At scale
-    the scan already has far more splits than cores and nothing is added."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_small_input(df, TABLE_KEYS.get(name))
-
-
-def spread_small_input(df: DataFrame, key: str | None) -> DataFrame:
-    if key is None or key not in df.columns:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
+    """Read one driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _events_metadata_text(events: DataFrame) -> Column:
@@ -77,6 +56,19 @@ def documents_to_raw(documents: DataFrame) -> DataFrame:
     )
 
 
+def flawed_raw(raw: DataFrame) -> DataFrame:
+    """``raw`` with defects by the second of its timestamp: every row of
+    second 07 twice more as an exact copy, second 13 without a payload,
+    second 21 with unreadable timestamp text."""
+    second = F.substring("ingestion_timestamp", 18, 2)
+    broken = raw.withColumn("data", F.when(second != "13", F.col("data"))).withColumn(
+        "ingestion_timestamp",
+        F.when(second == "21", F.concat(F.lit("no time "), F.col("ingestion_timestamp"))).otherwise(
+            F.col("ingestion_timestamp")))
+    copies = F.when(second == "07", F.array(F.lit(1), F.lit(2), F.lit(3))).otherwise(F.array(F.lit(1)))
+    return broken.withColumn("_copy", F.explode(copies)).drop("_copy")
+
+
 # Request-body templates made from each event. Every event becomes exactly
 # one body; the template is chosen by ``event_id % 12`` so that all defect
 # classes occur in every slice of the table. Fixed templates:

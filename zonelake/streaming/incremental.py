@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from zonelake import schemas as S
-from zonelake.functions.time import parse_ts
+from zonelake.functions.time import parse_ts, utc_naive
 from zonelake.operators import ingest as I
 from zonelake.operators import process as P
+from zonelake.session import ensure_checkpoint_dir
 from zonelake.sources import io
 
 
@@ -48,13 +49,18 @@ def raw_stream(spark: SparkSession, raw_path: str, max_files_per_trigger: int |
 
 
 def process_stream(spark: SparkSession, raw_path: str, processed_path: str, checkpoint: str,
-                   processing_time=None, hash_mode: str = "sha256", available_now: bool = True,
+                   quarantine_path: str, processing_time=None, hash_mode: str = "sha256", available_now: bool = True,
                    interval: str | None = None, max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Incremental raw -> processed. Returns the started query (with
-    ``available_now`` it stops by itself once all present files are done)."""
+    """Incremental raw -> processed. Rows without a date go to
+    ``quarantine_path``, one folder per micro-batch that a retry replaces.
+    Returns the started query (with ``available_now`` it stops by itself
+    once all present files are done)."""
+    ensure_checkpoint_dir(spark)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        out = P.valid_rows(P.process(batch, processing_time=processing_time, hash_mode=hash_mode))
+        rows = P.process(batch, processing_time=processing_time, hash_mode=hash_mode).checkpoint()
+        _replace_batch(P.quarantine(rows), quarantine_path, batch_id)
+        out = P.valid_rows(rows)
         if _exists(spark, processed_path):
             out = P.exclude_existing(out, io.read_processed(spark, processed_path))
         io.write_processed(out, processed_path)
@@ -96,26 +102,30 @@ def hourly_metrics_stream(processed: DataFrame, watermark: str = "1 hour") -> Da
 def ingest_stream(spark: SparkSession, requests_path: str, raw_path: str, outcomes_path: str, checkpoint: str,
                   available_now: bool = True, interval: str | None = None) -> StreamingQuery:
     """One request body per file in ``requests_path``; accepted
-    envelopes go to the raw zone, every outcome to ``outcomes_path``. The
-    micro-batch is persisted while its two outputs are written."""
+    envelopes go to the raw zone, every outcome to ``outcomes_path``, both
+    below ``batch_id=<n>``, which a retried micro-batch replaces: read the
+    raw zone as ``raw_path/batch_id=*``. The classified rows are
+    checkpointed for the two writes."""
+    ensure_checkpoint_dir(spark)
     stream = spark.readStream.text(requests_path, wholetext=True).select(
         F.col("value").alias("body"),
         F.col("_metadata.file_path").alias("request_id"),
-        F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("received_at"),
+        utc_naive("_metadata.file_modification_time").alias("received_at"),
     )
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        c = I.classify(batch).persist()
-        try:
-            io.write_raw(I.accepted(c), raw_path)
-            I.outcomes(c).write.mode("append").partitionBy("status_code").parquet(outcomes_path)
-        finally:
-            c.unpersist()
+        c = I.classify(batch).checkpoint()
+        io.write_raw(I.accepted(c), f"{raw_path}/batch_id={batch_id}", mode="overwrite")
+        _replace_batch(I.outcomes(c), outcomes_path, batch_id)
 
     w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now, interval).start()
 
 
+def _replace_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
