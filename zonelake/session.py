@@ -71,7 +71,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     would be a different disk for each executor, so it is an error there."""
     d = checkpoint_root(spark)
     if not d:
-        if not spark.sparkContext.master.startswith("local["):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="zonelake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
