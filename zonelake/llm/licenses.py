@@ -110,10 +110,12 @@ def known_sentences(docs: DataFrame) -> DataFrame:
     where a line holds it alone without a full stop."""
     spark = docs.sparkSession
     known = spark.createDataFrame(list(SENTENCES.items()), "sentence_id string, sentence string")
-    hinted = docs.select("doc_id", "text").where(F.col("text").rlike(HINT))
+    # the key is made before the texts are exploded, one for each row
+    hinted = (docs.select("doc_id", "text").where(F.col("text").rlike(HINT))
+              .withColumn("row_key", F.monotonically_increasing_id()))
     # each sentence as it stands and, where it spans lines, its single lines
     parts = hinted.select(
-        F.monotonically_increasing_id().alias("row_key"), "doc_id",
+        "row_key", "doc_id",
         F.posexplode(F.transform(F.split("text", BREAK), lambda s: F.array_distinct(
             F.concat(F.array(F.regexp_replace(s, r"\s+", " ")), F.split(s, r"\n"))))).alias("place", "forms"))
     forms = parts.select("row_key", "doc_id", "place", F.posexplode("forms").alias("line", "form"))
