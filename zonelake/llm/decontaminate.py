@@ -66,14 +66,25 @@ def bucket(ids: np.ndarray, bits: int) -> np.ndarray:
     return ((ids * np.uint32(0x9E3779B1)) >> np.uint32(32 - bits)).astype(np.int64)
 
 
-def chunk_sums(rows: np.ndarray, counts: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of ``rows`` over runs of ``step`` within each text, and the runs
-    per text."""
+def chunk_sums(table: np.ndarray, b: np.ndarray, counts: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the rows ``table[b]`` over runs of ``step`` words within each
+    text, and the runs per text. Texts are padded to whole runs with the
+    table's last row, which is zero, and the words at one place of all runs
+    are added at a time."""
     runs = -(-counts // step)
-    text = np.repeat(np.arange(len(counts)), runs)
-    nth = np.arange(len(text)) - np.repeat(np.cumsum(runs) - runs, runs)
-    starts = (np.cumsum(counts) - counts)[text] + nth * step
-    return (np.add.reduceat(rows, starts, axis=0) if len(starts) else rows[:0]), runs
+    padded = np.full(int(runs.sum()) * step, len(table) - 1, dtype=np.int64)
+    shift = (np.cumsum(runs) - runs) * step - (np.cumsum(counts) - counts)
+    padded[np.arange(len(b)) + np.repeat(shift, counts)] = b
+    places = padded.reshape(-1, step)
+    total = np.zeros((len(places), *table.shape[1:]), dtype=table.dtype)
+    for at in range(0, len(places), 2048):
+        for k in range(step):
+            total[at:at + 2048] += table[places[at:at + 2048, k]]
+    return total, runs
+
+
+def with_zero(table: np.ndarray) -> np.ndarray:
+    return np.concatenate([table, np.zeros_like(table[:1])])
 
 
 def passages(ids: np.ndarray, counts: np.ndarray, axes: np.ndarray, idf: np.ndarray, s: Settings):
@@ -81,8 +92,8 @@ def passages(ids: np.ndarray, counts: np.ndarray, axes: np.ndarray, idf: np.ndar
     passage's text and first word. A passage is shorter at a text's end, and
     starts only where it has words the one before has not."""
     b = bucket(ids, s.bits)
-    rows, runs = chunk_sums(axes[b], counts, s.stride)
-    norm, _ = chunk_sums(idf[b] ** 2, counts, s.stride)
+    rows, runs = chunk_sums(axes, b, counts, s.stride)
+    norm, _ = chunk_sums(idf ** 2, b, counts, s.stride)
     per = s.size // s.stride
     text = np.repeat(np.arange(len(counts)), runs)
     nth = np.arange(len(text)) - np.repeat(np.cumsum(runs) - runs, runs)
@@ -141,7 +152,8 @@ def word_table(docs: DataFrame) -> DataFrame:
 
 
 def latent_axes(table: DataFrame, s: Settings, seed: int = 11) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(axes with the bucket weights applied, weights, mean latent row)."""
+    """(axes with the bucket weights applied, weights, mean latent row); a
+    zero row ends the first two."""
     size = 1 << s.bits
 
     def frequency(ids, counts, total):
@@ -158,12 +170,14 @@ def latent_axes(table: DataFrame, s: Settings, seed: int = 11) -> tuple[np.ndarr
 
     def rows_of(ids, counts, axes):
         b = bucket(ids, s.bits)
-        rows, runs = chunk_sums(axes[b], counts, s.size)
-        norm, _ = chunk_sums(idf32[b] ** 2, counts, s.size)
+        rows, runs = chunk_sums(axes, b, counts, s.size)
+        norm, _ = chunk_sums(square, b, counts, s.size)
         return b, rows / np.sqrt(norm + 1e-9)[:, None], norm, runs
 
-    idf32 = idf.astype(np.float32)
-    start = np.random.default_rng(seed).normal(size=(size, s.rank + 8)).astype(np.float32) * idf32[:, None]
+    idf32 = with_zero(idf.astype(np.float32))
+    square = idf32 ** 2
+    start = with_zero(np.random.default_rng(seed).normal(size=(size, s.rank + 8)).astype(np.float32)
+                      * idf32[:-1, None])
     wide = start.shape[1]
 
     def power(ids, counts, total):
@@ -177,7 +191,7 @@ def latent_axes(table: DataFrame, s: Settings, seed: int = 11) -> tuple[np.ndarr
         total.reshape(size, wide)[b[order][firsts]] += np.add.reduceat(back[passage[order]], firsts, axis=0)
 
     q, _ = np.linalg.qr(summed(table, power, size * wide).reshape(size, wide) * idf[:, None])
-    basis = (q * idf[:, None]).astype(np.float32)
+    basis = with_zero((q * idf[:, None]).astype(np.float32))
 
     def gram(ids, counts, total):
         rows = rows_of(ids, counts, basis)[1].astype(np.float64)
