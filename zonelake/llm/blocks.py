@@ -41,7 +41,7 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def squeeze(a: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a).tobytes())
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(a).tobytes())
 
 
 def unsqueeze(b: bytes, dtype) -> np.ndarray:
@@ -51,13 +51,21 @@ def unsqueeze(b: bytes, dtype) -> np.ndarray:
 def squeeze_sorted(a: np.ndarray) -> bytes:
     """Sorted unsigned 64-bit keys as compressed differences; the eight bytes
     of each difference are laid out plane by plane, so high zeros vanish."""
-    planes = np.diff(a, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T
-    return squeeze(planes)
+    return squeeze_planes(np.diff(a, prepend=np.uint64(0)))
 
 
 def unsqueeze_sorted(b: bytes) -> np.ndarray:
+    return np.cumsum(unsqueeze_planes(b), dtype=np.uint64)
+
+
+def squeeze_planes(a: np.ndarray) -> bytes:
+    """Unsigned 64-bit numbers, compressed byte plane by byte plane."""
+    return squeeze(a.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+
+
+def unsqueeze_planes(b: bytes) -> np.ndarray:
     planes = unsqueeze(b, np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").reshape(-1), dtype=np.uint64)
+    return np.ascontiguousarray(planes.T).view("<u8").reshape(-1)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -85,6 +93,19 @@ def blocks(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[tuple[str,
         yield uuid.uuid4().hex, joined(held)
 
 
+def mapped(df: DataFrame, fn: Callable[[dict], Iterator[dict[str, list]]]) -> DataFrame:
+    """``fn`` on each row (a dict) of ``df``, giving rows of ROWS."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                one = {n: batch.column(i)[k].as_py() for i, n in enumerate(batch.schema.names)}
+                for out in fn(one):
+                    yield pa.RecordBatch.from_pydict(out, schema=ARROW_ROWS)
+
+    return df.mapInArrow(run, ROWS)
+
+
 def joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
     return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
 

@@ -35,8 +35,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from zonelake.llm.blocks import (ROWS, blocks, grouped, partition_of, row, row_batch, squeeze, squeeze_sorted,
-                                 unsqueeze, unsqueeze_sorted)
+from zonelake.llm.blocks import (ROWS, blocks, grouped, mapped, partition_of, row, row_batch, squeeze, squeeze_planes,
+                                 squeeze_sorted, unsqueeze, unsqueeze_planes, unsqueeze_sorted)
 from zonelake.llm.common import shared_table, tasks_for, texts_of
 
 GRAM = 32
@@ -84,7 +84,8 @@ def window_runs(data: np.ndarray, lengths: np.ndarray, width: int):
     fresh[1:] = (v[1:] != v[:-1]) | (doc[1:] != doc[:-1]) | ~good[:-1]
     first = np.flatnonzero(fresh & good)
     stop = np.flatnonzero(np.concatenate([(fresh | ~good)[1:], [True]]) & good) + 1
-    return first, stop - first, v[first], doc[first], np.isin(v[first], own)
+    # forty bits are enough to group by: more windows than must be may meet
+    return first, stop - first, v[first] >> np.uint64(24), doc[first], np.isin(v[first], own)
 
 
 def suffix_order(s: np.ndarray, depth: int) -> np.ndarray:
@@ -209,11 +210,13 @@ def repeated_spans(docs: DataFrame, width: int = 100, block_bytes: int = 4 << 20
             known = rows.column(0).is_valid().to_numpy(zero_copy_only=False)
             ids = np.where(known, ids, -(1 << 63)).astype(np.int64)
             yield row_batch("text", name, a=squeeze(data), b=squeeze(lengths), c=squeeze(ids), d=squeeze(known))
-            _, _, v, _, twice = window_runs(data, lengths, width)
-            keys, _, many, part = by_part(v, twice)
-            for p in np.unique(part):
-                own = part == p
-                yield row_batch("ask", name, int(p), a=squeeze_sorted(keys[own]), b=squeeze(np.packbits(many[own])))
+
+    def ask(one: dict) -> Iterator[dict]:
+        v, twice = (window_runs(unsqueeze(one["a"], np.uint8), unsqueeze(one["b"], np.int64), width)[k] for k in (2, 4))
+        keys, _, many, part = by_part(v, twice)
+        for p in np.unique(part):
+            own = part == p
+            yield row("ask", one["block"], int(p), a=squeeze_sorted(keys[own]), b=squeeze(np.packbits(many[own])))
 
     table = shared_table(docs.select("doc_id", "text").mapInArrow(split, ROWS), "substring-blocks")
 
@@ -227,8 +230,7 @@ def repeated_spans(docs: DataFrame, width: int = 100, block_bytes: int = 4 << 20
         for name, bits in zip(rows["block"], np.split(hit[inverse], np.cumsum([len(k) for k in asked])[:-1])):
             yield row("repeat", name, rows["part"][0], a=squeeze(np.packbits(bits)))
 
-    asks = table.where("kind = 'ask'")
-    repeats = grouped(asks, "part", parts, which_repeat, ROWS)
+    repeats = grouped(mapped(table, ask), "part", parts, which_repeat, ROWS)
 
     def fragments(rows) -> Iterator[dict]:
         at = rows["kind"].index("text")
@@ -259,7 +261,7 @@ def repeated_spans(docs: DataFrame, width: int = 100, block_bytes: int = 4 << 20
                 o = np.array(out)
                 piece = b"".join(buffer[f:f + w + width - 1] for f, w in zip(first[o].tolist(), windows[o].tolist()))
                 yield row("fragments", name, int(part_no), a=squeeze(np.frombuffer(piece, np.uint8)),
-                          b=squeeze(windows[o]), c=squeeze(v[o]),
+                          b=squeeze(windows[o]), c=squeeze_planes(v[o]),
                           d=squeeze(np.stack([ids[doc[o]], doc[o], start[o], twice[o]])))
 
         for k in by.tolist():
@@ -276,7 +278,7 @@ def repeated_spans(docs: DataFrame, width: int = 100, block_bytes: int = 4 << 20
         yield from flush(last)
         yield row("runs", name, a=squeeze(first), b=squeeze(windows), c=squeeze(p), d=squeeze(index), e=squeeze(lead))
 
-    texts = table.where("kind = 'text'")
+    texts = table
     found = shared_table(grouped(texts.unionByName(repeats), "block", parts, fragments, ROWS), "substring-fragments")
 
     def judge(rows) -> Iterator[dict]:
@@ -286,7 +288,7 @@ def repeated_spans(docs: DataFrame, width: int = 100, block_bytes: int = 4 << 20
             buffer = unsqueeze(rows["a"][k], np.uint8).tobytes()
             ends = np.cumsum(windows + width - 1)
             piece += [buffer[e - w - width + 1:e] for e, w in zip(ends.tolist(), windows.tolist())]
-            minimum.append(unsqueeze(rows["c"][k], np.uint64))
+            minimum.append(unsqueeze_planes(rows["c"][k]))
             where = unsqueeze(rows["d"][k], np.int64).reshape(4, -1)
             place += [(i, name, d, s) for i, d, s in where[:3].T.tolist()]
             twice += where[3].tolist()
