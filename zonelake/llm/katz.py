@@ -35,8 +35,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonelake.llm.blocks import (ROWS, blocks, grouped, mixed, partition_of, row, row_batch, squeeze,
-                                 squeeze_sorted, unsqueeze, unsqueeze_sorted)
+from zonelake.llm.blocks import (ROWS, blocks, grouped, mapped, mixed, partition_of, row, row_batch, squeeze,
+                                 squeeze_planes, squeeze_sorted, unsqueeze, unsqueeze_planes, unsqueeze_sorted)
 from zonelake.llm.common import shared_table, tasks_for, texts_of
 
 LOW = 5  # counts up to here are discounted
@@ -83,12 +83,11 @@ class Unigrams:
         return np.where(c > 0, factor * c / self.total, self.unknown)
 
 
-def tokens(text: str) -> list[int]:
-    words = text.encode("utf-8", "replace").lower().split()
-    return [xxhash.xxh64_intdigest(w, 7) for w in words]
+def tokens(text: bytes) -> list[int]:
+    return [xxhash.xxh64_intdigest(w, 7) for w in text.lower().split()]
 
 
-def scores(docs: DataFrame, block_bytes: int = 6 << 20, hot_share: float = 0.25) -> DataFrame:
+def scores(docs: DataFrame, block_bytes: int = 8 << 20, hot_share: float = 0.25) -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` for every
     row of ``docs`` (``doc_id, text, train``), learning from the rows where
     ``train`` is true. A context is spread if it holds more than ``hot_share``
@@ -98,37 +97,50 @@ def scores(docs: DataFrame, block_bytes: int = 6 << 20, hot_share: float = 0.25)
 
     def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, rows in blocks(batches, block_bytes):
-            per_text = [tokens(t) for t in texts_of(rows)]
-            size = np.array([len(t) + 1 for t in per_text], dtype=np.int64)
-            keys = np.full(int(size.sum()), END, dtype=U64)
-            inner = np.ones(len(keys), dtype=bool)
-            inner[np.cumsum(size) - 1] = False
-            keys[inner] = np.fromiter((k for t in per_text for k in t), dtype=U64, count=int(inner.sum()))
-            words, local = np.unique(keys, return_inverse=True)
+            texts = [t.encode("utf-8", "replace") for t in texts_of(rows)]
             train = rows.column(2).fill_null(False).to_numpy(zero_copy_only=False)
             known = rows.column(0).is_valid().to_numpy(zero_copy_only=False)
             ids = rows.column(0).fill_null(0).to_numpy(zero_copy_only=False)
-            count = np.bincount(local[np.repeat(train, size)], minlength=len(words))
-            yield row_batch("text", name, a=squeeze(local.astype(np.uint32).view(np.uint8).reshape(-1, 4).T),
-                            b=squeeze(size), c=squeeze(np.stack([ids, known, train]).astype(np.int64)),
-                            d=squeeze_sorted(words))
-            part = partition_of(words, parts)
-            for p in np.unique(part):
-                own = part == p
-                yield row_batch("ask", name, int(p), a=squeeze_sorted(words[own]), b=squeeze(count[own]))
+            yield row_batch("text", name, a=squeeze(np.frombuffer(b"".join(texts), np.uint8)),
+                            b=squeeze(np.array([len(t) for t in texts], dtype=np.int64)),
+                            c=squeeze(np.stack([ids, known, train]).astype(np.int64)))
 
-    table = shared_table(docs.select("doc_id", "text", "train").mapInArrow(split, ROWS), "katz-tokens")
+    table = shared_table(docs.select("doc_id", "text", "train").mapInArrow(split, ROWS), "katz-texts")
+
+    def tokenised(a: bytes, b: bytes):
+        """Distinct word keys of a block, and each token's place among them,
+        with the number of tokens of each text."""
+        data, lengths = unsqueeze(a, np.uint8).tobytes(), unsqueeze(b, np.int64)
+        ends = np.cumsum(lengths)
+        per_text = [tokens(data[e - n:e]) for e, n in zip(ends.tolist(), lengths.tolist())]
+        size = np.array([len(t) + 1 for t in per_text], dtype=np.int64)
+        keys = np.full(int(size.sum()), END, dtype=U64)
+        inner = np.ones(len(keys), dtype=bool)
+        inner[np.cumsum(size) - 1] = False
+        keys[inner] = np.fromiter((k for t in per_text for k in t), dtype=U64, count=int(inner.sum()))
+        return *np.unique(keys, return_inverse=True), size
+
+    def ask(one: dict) -> Iterator[dict]:
+        words, local, size = tokenised(one["a"], one["b"])
+        train = unsqueeze(one["c"], np.int64).reshape(3, -1)[2].astype(bool)
+        count = np.bincount(local[np.repeat(train, size)], minlength=len(words))
+        part = partition_of(words, parts)
+        for p in np.unique(part):
+            own = part == p
+            yield row("ask", one["block"], int(p), a=squeeze_sorted(words[own]), b=squeeze(count[own]))
 
     def count_words(rows) -> Iterator[dict]:
         asked = [unsqueeze_sorted(a) for a in rows["a"]]
         keys, inverse = np.unique(np.concatenate(asked), return_inverse=True)
         total = np.bincount(inverse, weights=np.concatenate([unsqueeze(b, np.int64) for b in rows["b"]]))
         total = total.astype(np.int64)
-        for name, c in zip(rows["block"], np.split(total[inverse], np.cumsum([len(k) for k in asked])[:-1])):
-            yield row("count", name, rows["part"][0], a=squeeze(c))
+        # a word's number: its rank here, times the partitions, plus this one
+        number = np.arange(len(keys), dtype=U64) * U64(parts) + U64(rows["part"][0])
+        for name, own in zip(rows["block"], np.split(inverse, np.cumsum([len(k) for k in asked])[:-1])):
+            yield row("count", name, rows["part"][0], a=squeeze(total[own]), b=squeeze_sorted(number[own]))
         yield row("stat", "", rows["part"][0], n=[float(total.sum()), float((total > 0).sum()), *of_counts(total)])
 
-    counts = shared_table(grouped(table.where("kind = 'ask'"), "part", parts, count_words, ROWS), "katz-words")
+    counts = shared_table(grouped(mapped(table, ask), "part", parts, count_words, ROWS), "katz-words")
     n_stats = LOW + 3
     first = counts.where("kind = 'stat'").agg(*(F.sum(F.col("n")[k]) for k in range(n_stats))).first()
     stats = [float(x or 0) for x in first]
@@ -136,53 +148,63 @@ def scores(docs: DataFrame, block_bytes: int = 6 << 20, hot_share: float = 0.25)
     uni = Unigrams(total, stats[2:])
     hot_from = hot_share * total / parts
 
-    def opened(rows):
-        """Token numbers, sizes, ids, word keys and word counts of a block."""
+    def bigrams(rows) -> Iterator[dict]:
         at = rows["kind"].index("text")
-        local = np.ascontiguousarray(unsqueeze(rows["a"][at], np.uint8).reshape(4, -1).T).view(np.uint32).reshape(-1)
-        size, ids = unsqueeze(rows["b"][at], np.int64), unsqueeze(rows["c"][at], np.int64).reshape(3, -1)
-        words = unsqueeze_sorted(rows["d"][at])
-        part, c = partition_of(words, parts), np.zeros(len(words), dtype=np.int64)
-        for kind, p, a in zip(rows["kind"], rows["part"], rows["a"]):
+        name, ids = rows["block"][at], unsqueeze(rows["c"][at], np.int64).reshape(3, -1)
+        words, local, size = tokenised(rows["a"][at], rows["b"][at])
+        home = partition_of(words, parts)
+        c, number = np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=U64)
+        for kind, p, a, b in zip(rows["kind"], rows["part"], rows["a"], rows["b"]):
             if kind == "count":
-                c[part == p] = unsqueeze(a, np.int64)
-        return rows["block"][at], local.astype(np.int64), size, ids, words, c
-
-    def bigrams(rows) -> Iterator[dict]:
-        name, local, size, ids, words, c = opened(rows)
+                c[home == p], number[home == p] = unsqueeze(a, np.int64), unsqueeze_sorted(b)
+        starts = np.cumsum(size) - size
+        base = np.add.reduceat(np.log10((c + 1) / (total + types + 1))[local], starts)
+        known = np.add.reduceat((c > 0).astype(np.int64)[local], starts)
+        yield row("base", name, xxhash.xxh32_intdigest(name) % parts, a=rows["c"][at],
+                  b=squeeze(np.stack([size, known])), c=squeeze(base))
         end = int(np.searchsorted(words, END))
         context = np.concatenate([[end], local[:-1]])  # a text follows another one's end
         pair, place, n = np.unique(context << 32 | local, return_inverse=True, return_counts=True)
         doc = np.repeat(np.arange(len(size)), size)
         by_pair = doc[place.argsort(kind="stable")]
-        starts = np.cumsum(n) - n
+        firsts = np.cumsum(n) - n
         trained = np.bincount(place, weights=ids[2][doc], minlength=len(pair)).astype(np.int64)
         ctx, word = pair >> 32, pair & 0xFFFFFFFF
-        key = mixed(words[ctx] * U64(0xD6E8FEB86659FD93) ^ words[word] * U64(0xA0761D6478BD642F))
-        hot = c[ctx] > hot_from
-        part = partition_of(np.where(hot, key, words[ctx]), parts)
-        order = np.lexsort((key, part))
+        a, b = number[ctx], number[word]
+        part = partition_of(np.where(c[ctx] > hot_from, mixed(b), a), parts)
+        order = np.lexsort((b, a, part))
         for own in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
-            used, ctx_at = np.unique(ctx[own], return_inverse=True)
-            span = np.repeat(starts[own] - (np.cumsum(n[own]) - n[own]), n[own]) + np.arange(n[own].sum())
-            yield row("pair", name, int(part[own[0]]), a=squeeze_sorted(key[own]),
-                      b=squeeze(np.stack([ctx_at, c[word[own]], trained[own], n[own]]).astype(np.uint32)),
-                      c=squeeze_sorted(words[used]), d=squeeze(c[used]), e=squeeze(by_pair[span].astype(np.uint32)))
+            span = np.repeat(firsts[own] - (np.cumsum(n[own]) - n[own]), n[own]) + np.arange(n[own].sum())
+            used = ctx[own][np.flatnonzero(np.diff(ctx[own], prepend=-1))]
+            yield row("pair", name, int(part[own[0]]), a=squeeze_sorted(a[own]), b=squeeze_planes(b[own]),
+                      c=squeeze(np.stack([c[word[own]], trained[own], n[own]]).astype("<u4").view(np.uint8)
+                                .reshape(3, -1, 4).transpose(0, 2, 1)),
+                      d=squeeze(c[used]), e=squeeze(by_pair[span].astype("<u4").view(np.uint8).reshape(-1, 4).T))
 
-    per_block = table.where("kind = 'text'").unionByName(counts.where("kind = 'count'"))
+    per_block = table.unionByName(counts.where("kind = 'count'"))
     pairs = grouped(per_block, "block", parts, bigrams, ROWS)
 
+    def four(b: bytes, rows: int = 1) -> np.ndarray:
+        planes = np.ascontiguousarray(unsqueeze(b, np.uint8).reshape(rows, 4, -1).transpose(0, 2, 1))
+        return planes.view("<u4").reshape(rows, -1).astype(np.int64)
+
     def judge(rows) -> Iterator[dict]:
-        key = [unsqueeze_sorted(a) for a in rows["a"]]
-        info = [unsqueeze(b, np.uint32).reshape(4, -1).astype(np.int64) for b in rows["b"]]
-        used = [unsqueeze_sorted(c) for c in rows["c"]]
-        contexts, at = np.unique(np.concatenate(used), return_index=True)
-        c_ctx = np.concatenate([unsqueeze(d, np.int64) for d in rows["d"]])[at]
-        cuts = np.cumsum([len(k) for k in key])[:-1]
-        keys, first_at, inverse = np.unique(np.concatenate(key), return_index=True, return_inverse=True)
-        ctx_all = np.concatenate([np.searchsorted(contexts, u[i[0]]) for u, i in zip(used, info)])
-        r = np.bincount(inverse, weights=np.concatenate([i[2] for i in info])).astype(np.int64)
-        ctx, p1 = ctx_all[first_at], uni.probability(np.concatenate([i[1] for i in info])[first_at])
+        for k in [k for k, kind in enumerate(rows["kind"]) if kind == "base"]:
+            yield row("base", rows["block"][k], a=rows["a"][k], b=rows["b"][k], c=rows["c"][k])
+        sent = [k for k, kind in enumerate(rows["kind"]) if kind == "pair"]
+        if not sent:
+            return
+        own_ctx = [unsqueeze_sorted(rows["a"][k]) for k in sent]
+        info = [four(rows["c"][k], 3) for k in sent]
+        cuts = np.cumsum([len(x) for x in own_ctx])[:-1]
+        used = np.concatenate([x[np.flatnonzero(np.diff(x, prepend=x[:1] + U64(1)))] for x in own_ctx])
+        contexts, at = np.unique(used, return_index=True)
+        c_ctx = np.concatenate([unsqueeze(rows["d"][k], np.int64) for k in sent])[at]
+        ctx_all = np.searchsorted(contexts, np.concatenate(own_ctx))
+        spots, word_all = np.unique(np.concatenate([unsqueeze_planes(rows["b"][k]) for k in sent]), return_inverse=True)
+        keys, first_at, inverse = np.unique(ctx_all * len(spots) + word_all, return_index=True, return_inverse=True)
+        r = np.bincount(inverse, weights=np.concatenate([i[1] for i in info])).astype(np.int64)
+        ctx, p1 = ctx_all[first_at], uni.probability(np.concatenate([i[0] for i in info])[first_at])
         seen = r > 0
         mass = np.bincount(ctx[seen], weights=p1[seen], minlength=len(contexts))
         low = np.zeros((LOW, len(contexts)), dtype=np.int64)
@@ -202,9 +224,8 @@ def scores(docs: DataFrame, block_bytes: int = 6 << 20, hot_share: float = 0.25)
         log[settled] -= np.log10(above[ctx[settled]])
         lost = settled & ~seen
         log[lost] -= np.log10(1 - mass[ctx[lost]])
-        for k, (name, own) in enumerate(zip(rows["block"], np.split(inverse, cuts))):
-            n = info[k][3]
-            doc = unsqueeze(rows["e"][k], np.uint32).astype(np.int64)
+        for k, own, about in zip(sent, np.split(inverse, cuts), info):
+            name, n, doc = rows["block"][k], about[2], four(rows["e"][k])[0]
             gram = np.repeat(own, n)
             docs_in, d = np.unique(doc, return_inverse=True)
             sums = np.bincount(d, weights=log[gram])
@@ -235,10 +256,10 @@ def scores(docs: DataFrame, block_bytes: int = 6 << 20, hot_share: float = 0.25)
     when_new = (np.log10(np.where(freed == 0, 1, freed)) - np.log10(left) - np.log10(over))[by_key]
 
     def finish(rows) -> Iterator[dict]:
-        _, local, size, ids, _, c = opened(rows)
-        starts = np.cumsum(size) - size
-        base = np.add.reduceat(np.log10((c + 1) / (total + types + 1))[local], starts)
-        known = np.add.reduceat((c > 0).astype(np.int64)[local], starts)
+        at = rows["kind"].index("base")
+        ids = unsqueeze(rows["a"][at], np.int64).reshape(3, -1)
+        size, known = unsqueeze(rows["b"][at], np.int64).reshape(2, -1)
+        base = unsqueeze(rows["c"][at], np.float64)
         score = np.zeros(len(size))
         for k, kind in enumerate(rows["kind"]):
             if kind != "sums":
@@ -258,6 +279,6 @@ def scores(docs: DataFrame, block_bytes: int = 6 << 20, hot_share: float = 0.25)
                "n_tokens": size, "n_known": known, "train_tokens": np.full(len(size), int(total)),
                "base_score": base, "score": score}
 
-    last = per_block.unionByName(judged.where("kind = 'sums'"))
+    last = judged.where("kind in ('base', 'sums')")
     return grouped(last, "block", parts, finish, "doc_id long, n_tokens long, n_known long, train_tokens long, "
                                                  "base_score double, score double")
