@@ -166,6 +166,63 @@ def test_licences(spark):
     assert licenses.scan(docs.where("false")).count() == 0
 
 
+GPL = ("This program is free software{0} you can redistribute it and/or modify\nit under the terms of the GNU General "
+       "Public License as published by\nthe Free Software Foundation{1} either version {2} of the License, or\n(at your "
+       "option) any later version.\n\nThis program is distributed in the hope that it will be useful,\nbut WITHOUT ANY "
+       "WARRANTY{0} without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\n"
+       "GNU General Public License for more details.\n")
+BSD2 = ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the "
+        "following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this\n"
+        "   list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above "
+        "copyright notice,\n   this list of conditions and the following disclaimer in the documentation.\n")
+APACHE = 'Licensed under the Apache License, Version 2.0 (the "License");\n'
+#: The notices as their licences print them.
+NOTICES = [
+    ("MIT", 'Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated '
+            'documentation files (the "Software"), to deal\nin the Software without restriction, including without limitation '
+            'the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, '
+            'and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:\n\nThe '
+            'above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of '
+            'the Software.\n'),
+    ("Apache-2.0", APACHE + "you may not use this file except in compliance with the License.\nYou may obtain a copy of the "
+                   "License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or "
+                   "agreed to in writing, software\ndistributed under the License is distributed on an \"AS IS\" BASIS,\n"
+                   "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.\n"),
+    ("GPL-3.0-or-later", GPL.format(":", ",", 3)), ("GPL-3.0-or-later", GPL.format(";", ";", 3)),
+    ("GPL-3.0-or-later", GPL.format(",", ",", 3)), ("GPL-2.0-or-later", GPL.format(";", ";", 2)),
+    ("GPL-2.0-or-later", GPL.format(":", ",", 2)), ("GPL-2.0-or-later", GPL.format(",", ",", 2)),
+    ("BSD-2-Clause", BSD2),
+    ("BSD-3-Clause", BSD2 + "\n3. Neither the name of the copyright holder nor the names of its\n   contributors may be used "
+                     "to endorse or promote products derived from\n   this software without specific prior written "
+                     "permission.\n"),
+    ("MIT", "Released under the MIT License."), ("MIT", "Licensed under the MIT license."),
+    ("MIT", "This project is licensed under the MIT License."),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."), ("Apache-2.0", APACHE),
+    ("GPL-3.0-only", "This work is licensed under the GNU General Public License, version 3."),
+    ("GPL-2.0-only", "This work is licensed under the GNU General Public License, version 2."),
+    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."), ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
+    ("CC-BY-4.0", "This work is licensed under the Creative Commons Attribution 4.0 International License."),
+    ("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL "
+                "was not distributed with this\nfile, You can obtain one at http://mozilla.org/MPL/2.0/.\n"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain.\n"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby "
+            "granted, provided that the above\ncopyright notice and this permission notice appear in all copies.\n"),
+]
+
+
+def test_licences_of_the_notices_as_printed(spark):
+    docs = spark.createDataFrame([(k, text) for k, (_, text) in enumerate(NOTICES)], "doc_id long, text string").cache()
+    got = {}
+    for r in licenses.scan(docs).collect():
+        got.setdefault(r["doc_id"], []).append((r["license"], r["n_matches"]))
+    assert got == {k: [(name, 1)] for k, (name, _) in enumerate(NOTICES)}
+    seen = {r["sentence_id"] for r in licenses.known_sentences(docs).select("sentence_id").distinct().collect()}
+    assert seen == set(licenses.SENTENCES)
+    assert {s for _, sequence in licenses.RULES for s in sequence} == set(licenses.SENTENCES)
+
+
 def test_common_subsequence_equals_dynamic_program():
     rng = np.random.default_rng(6)
     for _ in range(300):

@@ -42,6 +42,21 @@ SENTENCES = {
                    "implied",
     "gpl3.short": "this work is licensed under the gnu general public license version 3",
     "gpl2.short": "this work is licensed under the gnu general public license version 2",
+    # the notices' own marks (: and ;) cut them into these pieces ...
+    "gpl.program": "this program is free software",
+    "gpl3.redistribute": "you can redistribute it and or modify it under the terms of the gnu general public license as "
+                         "published by the free software foundation either version 3 of the license or at your option "
+                         "any later version",
+    "gpl2.redistribute": "you can redistribute it and or modify it under the terms of the gnu general public license as "
+                         "published by the free software foundation either version 2 of the license or at your option "
+                         "any later version",
+    "gpl.redistribute": "you can redistribute it and or modify it under the terms of the gnu general public license as "
+                        "published by the free software foundation",
+    "gpl3.either": "either version 3 of the license or at your option any later version",
+    "gpl2.either": "either version 2 of the license or at your option any later version",
+    "gpl.useful": "this program is distributed in the hope that it will be useful but without any warranty",
+    "gpl.implied": "without even the implied warranty of merchantability or fitness for a particular purpose",
+    # ... and with commas in their places they stay whole
     "gpl.free": "this program is free software you can redistribute it and or modify it under the terms of the gnu "
                 "general public license as published by the free software foundation either version 3 of the "
                 "license or at your option any later version",
@@ -73,8 +88,11 @@ SENTENCES = {
 RULES = [
     ("MIT", ["mit.grant", "mit.notice"]),
     ("Apache-2.0", ["apache.header", "apache.use", "apache.copy", "apache.asis"]),
-    ("GPL-3.0-or-later", ["gpl.free", "gpl.warranty"]),
-    ("GPL-2.0-or-later", ["gpl2.free", "gpl.warranty"]),
+    *((name, [*grant, *warranty])
+      for name, whole, pieces in (("GPL-3.0-or-later", "gpl.free", "gpl3"), ("GPL-2.0-or-later", "gpl2.free", "gpl2"))
+      for grant in (["gpl.program", f"{pieces}.redistribute"],
+                    ["gpl.program", "gpl.redistribute", f"{pieces}.either"], [whole])
+      for warranty in (["gpl.useful", "gpl.implied"], ["gpl.warranty"])),
     ("BSD-3-Clause", ["bsd.redistribute", "bsd.source", "bsd.endorse"]),
     ("BSD-2-Clause", ["bsd.redistribute", "bsd.source"]),
     ("MIT", ["mit.short"]),
