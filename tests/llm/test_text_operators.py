@@ -254,3 +254,26 @@ def test_decontamination_finds_copies_and_paraphrases(spark):
     assert decontaminate.remove(docs, bench).count() == 150
     assert decontaminate.matches(docs, bench.where("false")).count() == 0
     assert decontaminate.matches(docs.where("false"), bench).count() == 0
+
+
+def test_decontamination_searches_every_block_of_the_benchmark(spark):
+    rng = np.random.default_rng(8)
+    words = [f"{a}{b}{c}" for a in "bcdfgklm" for b in "aeiou" for c in "nrst"]
+    texts = [list(rng.choice(words, 120)) for _ in range(60)]
+    items = [list(rng.choice(words, 30)) for _ in range(7)]
+    for k, item in enumerate(items):
+        texts[5 * k][40:70] = item
+    texts[50][10:40], texts[50][60:90] = items[0], items[6]
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(t) + ".") for k, t in enumerate(items)] + [(0, " ".join(items[0]) + ".")],
+                                  "item_id long, text string")
+
+    def found(**bounds):
+        return sorted(tuple(r) for r in decontaminate.matches(docs, bench, decontaminate.Settings(**bounds)).select(
+            "doc_id", "item_id", "start_word", "lcs", "answer_found").collect())
+
+    whole = found()
+    assert {r[:2] for r in whole} == {(5 * k, k) for k in range(7)} | {(50, 0), (50, 6)}
+    assert found(block_items=2) == whole
+    assert found(block_words=40) == whole
+    assert len(list(decontaminate.item_blocks(bench, decontaminate.Settings(block_items=2)))) == 4

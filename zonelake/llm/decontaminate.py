@@ -19,25 +19,31 @@
    must cover ``sure`` of the item's words, or ``likely`` of them if the
    item's answer (its last sentence) is found in order there as well.
 
-Benchmark windows go with the tasks; ``max_items`` bounds the benchmark's
-rows. Defined results: null, empty and very short texts match nothing; items
+The benchmark is searched for in blocks of at most ``block_items`` items and
+``block_words`` words (a longer item is a block of its own): the windows of one
+block go with the tasks, which map every document against it, and its matches
+are appended to the shared folder. An item lies in one block, so its best
+stretch of a document is found there. Defined results: null, empty and very short texts match nothing; items
 with fewer than ``min_words`` words are not searched for; repeated documents
 and items give rows each (rows of equal ids and figures once).
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonelake.llm.blocks import squeeze, unsqueeze
 from zonelake.llm.common import cut_lineage, map_slices, shared_table, texts_of
+from zonelake.session import ensure_checkpoint_dir
 
 MARKS = bytes.maketrans(bytes(c for c in range(128) if not chr(c).isalnum()),
                         b" " * sum(not chr(c).isalnum() for c in range(128)))
@@ -59,7 +65,8 @@ class Settings:
     sure: float = 0.8
     likely: float = 0.6
     min_words: int = 8
-    max_items: int = 10_000
+    block_items: int = 10_000
+    block_words: int = 1_000_000
 
 
 def bucket(ids: np.ndarray, bits: int) -> np.ndarray:
@@ -227,25 +234,48 @@ def last_sentence(text: str) -> list[int]:
     return []
 
 
+def item_blocks(benchmark: DataFrame, s: Settings) -> Iterator[list[tuple]]:
+    """All items as ``(item_id, words, answer)``, a block at a time."""
+    block, size = [], 0
+    for r in benchmark.select("item_id", "text").where("text is not null").toLocalIterator():
+        own = words(r["text"])
+        if len(own) < s.min_words:
+            continue
+        if block and (len(block) >= s.block_items or size + len(own) > s.block_words):
+            yield block
+            block, size = [], 0
+        block.append((r["item_id"], own, last_sentence(r["text"])))
+        size += len(own)
+    if block:
+        yield block
+
+
+SCHEMA = ("doc_id long, item_id long, start_word long, cosine double, lcs long, coverage double, "
+          "answer_found boolean")
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, settings: Settings | None = None) -> DataFrame:
     """``doc_id, item_id, start_word, cosine, lcs, coverage, answer_found``:
     documents that hold a benchmark item, with the best stretch for each."""
     s = settings or Settings()
     spark = docs.sparkSession
-    items = []
-    rows = benchmark.select("item_id", "text").where("text is not null").limit(s.max_items + 1).collect()
-    if len(rows) > s.max_items:
-        raise ValueError(f"the benchmark has more than {s.max_items} items")
-    for r in rows:
-        own = words(r["text"])
-        if len(own) >= s.min_words:
-            items.append((r["item_id"], own, last_sentence(r["text"])))
-    schema = ("doc_id long, item_id long, start_word long, cosine double, lcs long, coverage double, "
-              "answer_found boolean")
-    if not items:
-        return spark.createDataFrame([], schema)
-    table = shared_table(word_table(docs), "passages")
-    axes, idf, mean = latent_axes(table, s)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/matches-{uuid.uuid4().hex}"
+    table = None
+    for items in item_blocks(benchmark, s):
+        if table is None:
+            table = shared_table(word_table(docs), "passages")
+            latent = latent_axes(table, s)
+        found, shared = block_matches(table, latent, items, s)
+        found.write.mode("append").option("compression", "zstd").parquet(path)
+        shared.destroy()
+    if table is None:
+        return spark.createDataFrame([], SCHEMA)
+    return spark.read.schema(SCHEMA).parquet(path).distinct()
+
+
+def block_matches(table: DataFrame, latent: tuple, items: list[tuple], s: Settings) -> tuple[DataFrame, Broadcast]:
+    """The matches of one block of items, and what was sent to the tasks."""
+    axes, idf, mean = latent
     windows, owner = [], []
     for k, (_, own, _) in enumerate(items):
         starts = [*range(0, max(len(own) - s.size, 0) + 1, s.size // 2), max(len(own) - s.size, 0)]
@@ -253,16 +283,15 @@ def matches(docs: DataFrame, benchmark: DataFrame, settings: Settings | None = N
             b = bucket(np.array(own[at:at + s.size], np.uint32), s.bits)
             windows.append(axes[b].sum(axis=0) / np.sqrt((idf[b] ** 2).sum() + 1e-9) - mean)
             owner.append(k)
-    member = np.zeros((len(items), 1 << s.bits), dtype=bool)
+    member = np.zeros((len(items), -(-(1 << s.bits) // 8)), dtype=np.uint8)
     weight = np.zeros(len(items), dtype=np.float32)
     for k, (_, own, _) in enumerate(items):
         b = bucket(np.array(own, np.uint32), s.bits)
-        member[k, b] = True
+        member[k] = np.packbits(np.bincount(b, minlength=1 << s.bits) > 0)
         weight[k] = (idf[b] ** 2).sum()
-    member = np.packbits(member, axis=1)
     target = np.array(windows, dtype=np.float32)
     target /= np.linalg.norm(target, axis=1, keepdims=True) + 1e-12
-    shared = spark.sparkContext.broadcast((axes, idf, mean, target, np.array(owner), items, member, weight))
+    shared = table.sparkSession.sparkContext.broadcast((axes, idf, mean, target, np.array(owner), items, member, weight))
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         axes, idf, mean, target, owner, items, member, weight = shared.value
@@ -320,9 +349,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, settings: Settings | None = N
         return max(common_subsequence(own, stretch[a:a + room]) for a in
                    [*range(0, len(stretch) - room, step), len(stretch) - room])
 
-    names = [f.split()[0] for f in schema.split(", ")]
+    names = [f.split()[0] for f in SCHEMA.split(", ")]
     arrow = pa.schema(list(zip(names, [pa.int64()] * 3 + [pa.float64(), pa.int64(), pa.float64(), pa.bool_()])))
-    return table.select("ids", "counts", "doc_ids", "known").mapInArrow(search, schema).distinct()
+    return table.select("ids", "counts", "doc_ids", "known").mapInArrow(search, SCHEMA), shared
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, settings: Settings | None = None) -> DataFrame:
