@@ -277,3 +277,34 @@ def test_decontamination_searches_every_block_of_the_benchmark(spark):
     assert found(block_items=2) == whole
     assert found(block_words=40) == whole
     assert len(list(decontaminate.item_blocks(bench, decontaminate.Settings(block_items=2)))) == 4
+
+
+def test_decontamination_finds_short_and_unspaced_items(spark):
+    chinese = "水的沸点在海平面上是一百摄氏度。正确吗"
+    texts = ["we ask: what is the capital of France? nobody knows", "the capital of what is France", "what is the capital",
+             "前文" + chinese + "后文还有更多的字", "沸点", "of France", "x Paris, Paris y", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(None, "Capital of France")], "doc_id long, text string")
+    bench = spark.createDataFrame(
+        [(0, "What is the capital of France?"), (1, "capital of France"), (2, chinese), (3, "Paris"), (4, "of France"),
+         (5, "capital of France."), (6, "..."), (7, "沸点"), (8, "France nobody capital")], "item_id long, text string")
+    found = decontaminate.matches(docs, bench).collect()
+    assert {(r["doc_id"], r["item_id"], r["start_word"]) for r in found if r["cosine"] is None} == {
+        (0, 0, 2), (0, 1, 5), (0, 5, 5), (0, 4, 6), (5, 4, 0), (6, 3, 1), (None, 1, 0), (None, 5, 0), (None, 4, 1),
+        (3, 7, 4), (4, 7, 0)}
+    assert {(r["doc_id"], r["item_id"]) for r in found if r["cosine"] is not None} == {(3, 2)}
+    assert len(found) == 12
+    assert decontaminate.words("水, 火。Abc") == decontaminate.words("水 火 abc")
+
+
+def test_decontamination_accepts_repeated_words_by_the_subsequence_rule(spark):
+    rng = np.random.default_rng(9)
+    words = [f"{a}{b}{c}" for a in "bcdfgklm" for b in "aeiou" for c in "nrst"]
+    rare = [f"q{k}" for k in range(14)]
+    item = [w for pair in zip(["the"] * 6, rare[:6]) for w in pair] + rare[6:]
+    kept = [w if w == "the" or w in rare[:1] + rare[8:] else f"z{k}" for k, w in enumerate(item)]
+    texts = [list(rng.choice(words, 100)) for _ in range(80)]
+    texts[7][30:50] = kept
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(0, " ".join(item[:14]) + ". " + " ".join(item[14:]))], "item_id long, text string")
+    found = decontaminate.matches(docs, bench).collect()
+    assert [(r["doc_id"], r["lcs"], r["answer_found"]) for r in found] == [(7, 13, True)]

@@ -1,7 +1,8 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-1. Every text is cut into words (lower case, letters and digits); a word is
-   its 32-bit hash. Word numbers are written once to the shared folder, and
+1. Every text is cut into words (lower case, letters and digits; in scripts
+   written without spaces each character is a word); a word is its 32-bit
+   hash. Word numbers are written once to the shared folder, and
    Spark sums in how many passages (runs of ``size`` words) each bucket of
    hashes occurs, which gives the inverse document frequencies.
 2. Randomised SVD of the TF-IDF matrix A of all passages: tasks sum
@@ -17,20 +18,28 @@
    the passage or of the item, whichever is less, and the longest common
    subsequence of the item and the stretch of the document around the passage
    must cover ``sure`` of the item's words, or ``likely`` of them if the
-   item's answer (its last sentence) is found in order there as well.
+   item's answer (its last sentence) is found in order there as well. A
+   candidate is left out before only where the words it shares with the item,
+   each as often as it occurs in both, are too few for that.
+5. Items with fewer than ``min_words`` words are too short for latent search:
+   they match where all their words stand in a row, found by walking a prefix
+   tree from every word of the documents. Their ``cosine`` is null, and
+   ``start_word`` is their first place.
 
 The benchmark is searched for in blocks of at most ``block_items`` items and
 ``block_words`` words (a longer item is a block of its own): the windows of one
 block go with the tasks, which map every document against it, and its matches
 are appended to the shared folder. An item lies in one block, so its best
-stretch of a document is found there. Defined results: null, empty and very short texts match nothing; items
-with fewer than ``min_words`` words are not searched for; repeated documents
-and items give rows each (rows of equal ids and figures once).
+stretch of a document is found there. Defined results: null and empty texts, and items without a word, match
+nothing; repeated documents and items give rows each (rows of equal ids and
+figures once).
 """
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from zlib import crc32
@@ -47,10 +56,18 @@ from zonelake.session import ensure_checkpoint_dir
 
 MARKS = bytes.maketrans(bytes(c for c in range(128) if not chr(c).isalnum()),
                         b" " * sum(not chr(c).isalnum() for c in range(128)))
+#: Marks of East Asian scripts, and characters of scripts without spaces
+#: (Thai, Lao, Tibetan, Myanmar, Khmer, Tai, kana, ideographs).
+EAST_MARKS = re.compile("[\u3000-\u3004\u3008-\u3020\u3030\u30fb\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65]")
+UNSPACED = re.compile("([\u0e01-\u0eff\u0f00-\u109f\u1780-\u17ff\u1950-\u19df\u1a20-\u1aaf\u3005-\u3007\u3021-\u302f"
+                      "\u3031-\u30fa\u30fc-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\ua000-\ua4cf"
+                      "\ua9e0-\ua9ff\uaa60-\uaa7f\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U0003ffff])")
 GROUPS = 16  # partial sums are added in this many groups before the driver adds them
 
 
 def words(text: str) -> list[int]:
+    if not text.isascii():
+        text = UNSPACED.sub(r" \1 ", EAST_MARKS.sub(" ", text))
     return list(map(crc32, text.lower().encode("utf-8", "replace").translate(MARKS).split()))
 
 
@@ -228,18 +245,63 @@ def common_subsequence(a: list[int], b: list[int]) -> int:
 
 def last_sentence(text: str) -> list[int]:
     """The item's answer: the words of its last sentence that has any."""
-    for part in reversed(text.replace("\n", ". ").split(". ")):
+    for part in reversed(re.split(r"\n|\. |[。．！？]", text)):
         if found := words(part):
             return found
     return []
 
 
+class Prefixes:
+    """Prefix tree of word sequences; finds each where its words stand in a
+    row. A node is its place in ``edges``, sorted (parent's number, word)."""
+
+    def __init__(self, items: list[tuple[int, list[int]]]):
+        number: dict[tuple, int] = {(): 0}
+        for _, own in items:
+            for n in range(1, len(own) + 1):
+                number.setdefault(tuple(own[:n]), len(number))
+        rows = sorted((number[p[:-1]] << 32 | p[-1], k, p) for p, k in number.items() if p)
+        self.edges = np.array([r[0] for r in rows], dtype=np.uint64)
+        self.nodes = np.array([r[1] for r in rows], dtype=np.uint64)
+        self.first = np.unique(np.array([own[0] for _, own in items], dtype=np.uint32))
+        ends: dict[int, list] = {}
+        for item_id, own in items:
+            ends.setdefault(number[tuple(own)], []).append(item_id)
+        self.ends = ends
+        self.is_end = np.zeros(len(number), dtype=bool)
+        self.is_end[list(ends)] = True
+
+    def found(self, ids: np.ndarray, counts: np.ndarray) -> Iterator[tuple]:
+        """``text, first place, words, item_id`` for each text and sequence."""
+        if not len(self.edges):
+            return
+        text = np.repeat(np.arange(len(counts)), counts)
+        start = np.cumsum(counts) - counts
+        at = np.flatnonzero(np.isin(ids, self.first))
+        node, n = np.zeros(len(at), dtype=np.uint64), 0
+        while len(at):
+            inside = at + n < (start + counts)[text[at]]
+            at, node = at[inside], node[inside]
+            key = node << np.uint64(32) | ids[at + n].astype(np.uint64)
+            place = np.minimum(np.searchsorted(self.edges, key), len(self.edges) - 1)
+            goes = self.edges[place] == key
+            at, node, n = at[goes], self.nodes[place[goes]], n + 1
+            done = np.flatnonzero(self.is_end[node.astype(np.int64)])
+            if len(done):
+                ended, where = node[done].astype(np.int64), at[done]
+                pair = text[where] * len(self.is_end) + ended
+                for j in np.unique(pair, return_index=True)[1].tolist():
+                    t = int(text[where[j]])
+                    for item_id in self.ends[int(ended[j])]:
+                        yield t, int(where[j] - start[t]), n, item_id
+
+
 def item_blocks(benchmark: DataFrame, s: Settings) -> Iterator[list[tuple]]:
     """All items as ``(item_id, words, answer)``, a block at a time."""
     block, size = [], 0
     for r in benchmark.select("item_id", "text").where("text is not null").toLocalIterator():
         own = words(r["text"])
-        if len(own) < s.min_words:
+        if not own:
             continue
         if block and (len(block) >= s.block_items or size + len(own) > s.block_words):
             yield block
@@ -276,8 +338,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, settings: Settings | None = N
 def block_matches(table: DataFrame, latent: tuple, items: list[tuple], s: Settings) -> tuple[DataFrame, Broadcast]:
     """The matches of one block of items, and what was sent to the tasks."""
     axes, idf, mean = latent
+    short = Prefixes([(item_id, own) for item_id, own, _ in items if len(own) < s.min_words])
+    items = [(item_id, own, answer, Counter(own)) for item_id, own, answer in items if len(own) >= s.min_words]
     windows, owner = [], []
-    for k, (_, own, _) in enumerate(items):
+    for k, (_, own, *_) in enumerate(items):
         starts = [*range(0, max(len(own) - s.size, 0) + 1, s.size // 2), max(len(own) - s.size, 0)]
         for at in sorted(set(starts)):
             b = bucket(np.array(own[at:at + s.size], np.uint32), s.bits)
@@ -285,20 +349,26 @@ def block_matches(table: DataFrame, latent: tuple, items: list[tuple], s: Settin
             owner.append(k)
     member = np.zeros((len(items), -(-(1 << s.bits) // 8)), dtype=np.uint8)
     weight = np.zeros(len(items), dtype=np.float32)
-    for k, (_, own, _) in enumerate(items):
+    for k, (_, own, *_) in enumerate(items):
         b = bucket(np.array(own, np.uint32), s.bits)
         member[k] = np.packbits(np.bincount(b, minlength=1 << s.bits) > 0)
         weight[k] = (idf[b] ** 2).sum()
-    target = np.array(windows, dtype=np.float32)
+    target = np.array(windows, dtype=np.float32).reshape(len(windows), axes.shape[1])
     target /= np.linalg.norm(target, axis=1, keepdims=True) + 1e-12
-    shared = table.sparkSession.sparkContext.broadcast((axes, idf, mean, target, np.array(owner), items, member, weight))
+    shared = table.sparkSession.sparkContext.broadcast((axes, idf, mean, target, np.array(owner), items, member, weight, short))
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        axes, idf, mean, target, owner, items, member, weight = shared.value
+        axes, idf, mean, target, owner, items, member, weight, short = shared.value
         for batch in batches:
             for a, b, c, d in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 ids, counts = unsqueeze(a, np.uint32), unsqueeze(b, np.int64)
                 doc, known = unsqueeze(c, np.int64), unsqueeze(d, bool)
+                rows = [(int(doc[t]) if known[t] else None, item_id, at, None, n, 1.0, True)
+                        for t, at, n, item_id in short.found(ids, counts)]
+                if rows:
+                    yield as_batch(rows)
+                if not len(target):
+                    continue
                 x, text, at = passages(ids, counts, axes, idf, s)
                 x -= mean
                 x /= np.linalg.norm(x, axis=1, keepdims=True) + 1e-12
@@ -323,13 +393,18 @@ def block_matches(table: DataFrame, latent: tuple, items: list[tuple], s: Settin
                               float(cosine[p[j], w[j]]), items)
                 rows = [(int(doc[t]) if known[t] else None, items[k][0], *v) for (t, k), v in sorted(best.items())]
                 if rows:
-                    yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], schema=arrow)
+                    yield as_batch(rows)
+
+    def as_batch(rows) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], schema=arrow)
 
     def judge(best, ids, counts, begin, t, at, k, cosine, items) -> None:
-        own, answer = items[k][1:]
+        own, answer, times = items[k][1:]
         low, high = max(at - len(own), 0), min(at + s.size + len(own), int(counts[t]))
         stretch = ids[begin[t] + low:begin[t] + high].tolist()
-        if len(set(own).intersection(stretch)) < s.likely * len(set(own)):
+        # no subsequence is longer than the words in common, each as often as in both
+        have = Counter(stretch)
+        if sum(min(n, have[x]) for x, n in times.items()) / len(own) < min(s.likely, s.sure):
             return
         lcs = densest(own, stretch)
         coverage = lcs / len(own)
