@@ -308,3 +308,16 @@ def test_decontamination_accepts_repeated_words_by_the_subsequence_rule(spark):
     bench = spark.createDataFrame([(0, " ".join(item[:14]) + ". " + " ".join(item[14:]))], "item_id long, text string")
     found = decontaminate.matches(docs, bench).collect()
     assert [(r["doc_id"], r["lcs"], r["answer_found"]) for r in found] == [(7, 13, True)]
+
+
+def test_toxicity_sample_goes_on_after_a_long_text(spark):
+    docs = spark.createDataFrame([(k, "word " * 20, "en") for k in range(40)]
+                                 + [(k, "long " * 400, "en") for k in range(40, 60)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)] + [(k, k % 2) for k in range(100, 2000)],
+                                   "doc_id long, toxic int")
+    texts, y, _, share = toxicity.sample(docs, labels, 16, 60, 4500)
+    # no text that fits is left out: the bound is used up
+    assert sum(len(t) for t in texts) * 5 == 4500 and set(y.tolist()) == {0, 1}
+    assert share == {0: 980, 1: 980}
+    assert len(toxicity.sample(docs, labels, 16, 60, 1999)[1]) == 19  # 9 x 100 characters in each half of 999, then one more
+    assert len(toxicity.sample(docs, labels, 16, 60, 100_000)[1]) == 60
