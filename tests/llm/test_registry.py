@@ -16,6 +16,10 @@ COLUMNS = {
     "op8_pii": {"doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"},
     "op9_katz": {"doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"},
     "op10_simhash": {"doc_id", "fingerprint", "component_id"},
+    "op11_repetition": {"doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                        "base_failed", "kept"},
+    "op12_phrases": {"lang", "rank", "phrase", "a", "l", "r", "n", "score"},
+    "op13_hard_negatives": {"anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"},
 }
 
 

@@ -6,7 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonelake.llm import decontaminate, hnsw, katz, langid, licenses, packing, pii, simhash, substrings, toxicity
+from zonelake.llm import (
+    bond, decontaminate, hnsw, katz, langid, licenses, oracle, packing, phrases, pii, repetition, simhash,
+    substrings, toxicity)
 from zonelake.llm.common import held_out, table
 
 
@@ -84,6 +86,24 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), longest=5, support=100, top=2000,
+                                contained_percent=100)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10)
+                               .otherwise(F.col("label")))
+    return bond.hard_negatives(moved, F.col("vec_id") % 50 == 0, positives=5, negatives=3,
+                               low_percent=50, high_percent=95, scale=256)
+
+
 def queries() -> dict:
     return {
         "op1_decontaminate": op1_decontaminate,
@@ -96,8 +116,11 @@ def queries() -> dict:
         "op8_pii": op8_pii,
         "op9_katz": op9_katz,
         "op10_simhash": op10_simhash,
+        "op11_repetition": op11_repetition,
+        "op12_phrases": op12_phrases,
+        "op13_hard_negatives": op13_hard_negatives,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.statements()
