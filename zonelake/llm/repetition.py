@@ -59,12 +59,16 @@ class Words:
         self.text = owner(first, starts)
         self.number = strings(data, first, end, inside).indices.to_numpy(zero_copy_only=False).astype(np.int64)
         # code points: every byte of a word but UTF-8's continuation bytes
-        self.upto = np.concatenate([[0], np.cumsum(inside & (data & 0xC0 != 0x80))])
-        self.chars = self.upto[end] - self.upto[first]
+        self.points = (inside & (data & 0xC0 != 0x80)).view(np.uint8)
+        self.chars = self.between(first)
 
     def __len__(self) -> int:
         return len(self.number)
 
+    def between(self, first: np.ndarray) -> np.ndarray:
+        """Code points of words from each position to the next one given."""
+        return np.add.reduceat(self.points, first, dtype=np.int64) if len(first) else np.zeros(0, np.int64)
+
     def total(self, values: np.ndarray, text: np.ndarray | None = None) -> np.ndarray:
         """Sums of whole numbers per text."""
         return np.bincount(self.text if text is None else text, values, self.n_texts).astype(np.int64)
@@ -140,7 +144,7 @@ def line_measures(data: np.ndarray, starts: np.ndarray, words: Words) -> dict[st
     """Lines with a word, and those equal to an earlier line of their text."""
     breaks = np.flatnonzero(data == 10)
     first = np.concatenate([[0], breaks[:-1] + 1]) if len(breaks) else breaks
-    chars = words.upto[breaks] - words.upto[first]
+    chars = words.between(first)
     number = strings(data, first, breaks, data != 10).indices.to_numpy(zero_copy_only=False).astype(np.int64)
     full = np.flatnonzero(chars > 0)
     text, number, chars = owner(first[full], starts), number[full], chars[full]
