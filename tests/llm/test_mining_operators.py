@@ -136,13 +136,14 @@ def spoken(seed=5, n=90):
     return [(t, ("en", "de", None, "en", "en")[i % 5]) for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("shard_bytes, bits", [(1 << 20, 20), (700, 20), (60, 12), (700, 6)])
-def test_phrases_match_brute_force_for_any_shard_size(spark, shard_bytes, bits):
-    """Down to shards of one text (local support 1) and a sieve that is full."""
+@pytest.mark.parametrize("shards, block_bytes, bits", [(1, 1 << 20, 20), (2, 700, 20), (50, 60, 12), (3, 700, 6)])
+def test_phrases_match_brute_force_for_any_shards(spark, shards, block_bytes, bits):
+    """Also with local support 1, blocks of one text and a sieve that is full."""
     rows = [*spoken(), (None, "en"), ("", None), ("the red fox " * 30, "en")]
     docs = odd_docs(spark, rows).repartition(3)
     every = [*rows, rows[0], rows[1]]
-    got = phrases.collocations(docs, longest=5, support=6, top=20, shard_bytes=shard_bytes, sieve_bits=bits)
+    got = phrases.collocations(docs, longest=5, support=6, top=20, shards=shards, block_bytes=block_bytes,
+                                sieve_bits=bits)
     assert sorted(map(tuple, got.collect())) == plain_phrases(every, 5, 6, 20)
     assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
 
@@ -162,9 +163,9 @@ def test_contained_percent(spark):
 
 
 def test_a_frequent_phrase_is_frequent_in_a_shard(spark):
-    """The mined candidates hold every frequent phrase, and not all phrases."""
+    """The mined candidates hold every frequent phrase."""
     docs = spark.createDataFrame(spoken(n=200), "text string, lang string").repartition(4)
-    words, totals, found = phrases.frequent(docs, 4, 8, shard_bytes=2000, sieve_bits=16)
+    words, totals, found = phrases.frequent(docs, 4, 8, shards=3, block_bytes=2000, sieve_bits=16)
     counts = plain_phrases(spoken(n=200), 4, 8, 10 ** 6, percent=10 ** 6)
     assert {(r["lang"], r["phrase"], r["f"]) for r in found.collect()} == {(r[0], r[2], r[3]) for r in counts}
 
