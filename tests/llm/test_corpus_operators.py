@@ -54,6 +54,20 @@ def test_simhash_components_match_brute_force(spark):
     assert simhash.near_duplicates(docs.where("false")).count() == 0
 
 
+def test_one_row_of_each_component_stays(spark):
+    a, b = "one two three four five six", "seven eight nine ten eleven twelve"
+    rows = [(7, a, "x"), (7, b, "y"), (9, b, "z"), (9, b, "z"), (None, a, "n"), (None, "only here without an id", "n"),
+            (None, "only here without an id", "n"), (12, None, "e"), (11, "", "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept_doc_id string").selectExpr(
+        "*", "1 as fp", "2 as kept_fp", "3 as KEPT_ID", "4 as first", "5 as root")
+    got = simhash.keep_first(docs)
+    assert got.columns == docs.columns
+    assert {(r["doc_id"], r["text"]) for r in got.collect()} == {
+        (7, a), (7, b), (None, "only here without an id"), (11, "")}
+    assert got.count() == 4
+    assert simhash.keep_first(docs.where("false")).count() == 0
+
+
 def test_simhash_large_anchors_are_split_exactly(spark):
     rng = np.random.default_rng(2)
     core = int(rng.integers(1 << 62))

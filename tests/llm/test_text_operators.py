@@ -136,6 +136,33 @@ def test_base_spans_equal_the_patterns():
         assert pii.base_spans(text) == want
 
 
+def test_wide_spans_equal_the_patterns():
+    rng = np.random.default_rng(6)
+    parts = ["a", "b.c", " ", "(at)", "[at]", "(dot)", ".", "@", "x-y", "555", "(212)", "-", "0199", "/", "4111", "+1 ", "é"]
+    for _ in range(4000):
+        text = "".join(rng.choice(parts, rng.integers(0, 14)))
+        base = pii.base_spans(text)
+        want, taken = [], [(s, e) for s, _, e in base]
+        for s, k, e in sorted((m.start(), pii.KINDS.index(kind), m.end()) for kind, pattern in pii.WIDE.items()
+                              for m in pattern.finditer(text)):
+            if all(e <= a or b <= s for a, b in taken):
+                want.append((s, k, e))
+                taken.append((s, e))
+        assert pii.wide_spans(text, base) == want, text
+
+
+def test_personal_data_reads_long_runs_once():
+    import time
+
+    start = time.perf_counter()
+    for text in ("0" * 5000 + ".1.1.1", "a" * 1_000_000 + " at", "1" * 1_000_000 + ".", "at (at)" * 100_000,
+                 "1.2." * 200_000, "a@" * 300_000, "+1" * 300_000, "a (at) b (dot) " * 50_000):
+        pii.wide_spans(text, pii.base_spans(text))
+    assert pii.base_spans("0" * 5000 + ".1.1.1") == [(0, 1, 5006)]
+    assert pii.base_spans("0" * 4000 + "256.1.1.1") == []
+    assert time.perf_counter() - start < 10
+
+
 def test_personal_data_keeps_base_and_masks(spark):
     rows = [(1, "mail a.b@c.org or 10.1.2.3"), (2, None), (3, ""), (None, "call +1 (212) 555-0100 now"),
             (4, "card 4111 1111 1111 1111"), (5, "ip 300.1.2.3 card 4111 1111 1111 1112"),
@@ -251,7 +278,14 @@ def test_decontamination_finds_copies_and_paraphrases(spark):
                                   "item_id long, text string")
     got = {(r["doc_id"], r["item_id"]) for r in decontaminate.matches(docs, bench).collect()}
     assert got == {(3, 0), (9, 1), (20, 2), (None, 0)}
-    assert decontaminate.remove(docs, bench).count() == 150
+    clashing = docs.selectExpr("*", "doc_id as bad_doc_id", "'r' as row", "1 as bad_row", "text as Fp")
+    kept = decontaminate.remove(clashing.unionByName(clashing.where("doc_id = 3").selectExpr(
+        "doc_id", "'own text of the same id' as text", "bad_doc_id", "row", "bad_row", "Fp")), bench)
+    assert kept.columns == clashing.columns
+    left = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    # by row: the contaminated row without an id goes, another text of a contaminated id stays
+    assert len(left) == 150 and [t for i, t in left if i == 3] == ["own text of the same id"]
+    assert not {None, 9, 20} & {i for i, _ in left}
     assert decontaminate.matches(docs, bench.where("false")).count() == 0
     assert decontaminate.matches(docs.where("false"), bench).count() == 0
 

@@ -50,6 +50,14 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(name: str, columns: Iterable[str]) -> str:
+    """``name``, or a longer one that none of ``columns`` has (in any case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def tasks_for(spark: SparkSession) -> int:
     """Partitions for an exchange keyed by a hash: the session's setting."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -51,7 +51,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonelake.llm.blocks import squeeze, unsqueeze
-from zonelake.llm.common import cut_lineage, map_slices, shared_table, texts_of
+from zonelake.llm.common import cut_lineage, fresh, map_slices, shared_table, texts_of
 from zonelake.session import ensure_checkpoint_dir
 
 MARKS = bytes.maketrans(bytes(c for c in range(128) if not chr(c).isalnum()),
@@ -430,8 +430,11 @@ def block_matches(table: DataFrame, latent: tuple, items: list[tuple], s: Settin
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, settings: Settings | None = None) -> DataFrame:
-    """``docs`` without the documents that match an item, all columns. Rows
-    without an id cannot be told apart and stay."""
-    bad = cut_lineage(matches(docs, benchmark, settings).where("doc_id is not null")
-                      .select(F.col("doc_id").alias("bad_doc_id")).distinct())
-    return docs.join(bad, F.col("doc_id") == F.col("bad_doc_id"), "left_anti")
+    """``docs`` without the rows that match an item, all columns. Rows are told
+    apart by a number of their own, so a row goes or stays by its own text,
+    whatever its id."""
+    row, bad_row = fresh("row", docs.columns), fresh("bad_row", docs.columns)
+    numbered = shared_table(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    bad = cut_lineage(matches(numbered.select(F.col(row).alias("doc_id"), "text"), benchmark, settings)
+                      .select(F.col("doc_id").alias(bad_row)).distinct())
+    return numbered.join(bad, F.col(row) == F.col(bad_row), "left_anti").drop(row)

@@ -22,6 +22,7 @@ repeated rows and null ids give equal rows.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -37,7 +38,8 @@ KINDS = ("email", "ip", "card", "phone")
 
 BASE = {
     "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
-    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    # a match starts with its first run of digits, or fails from all of them
+    "ip": re.compile(r"(?<![0-9])[0-9]++(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
     "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
@@ -75,7 +77,8 @@ def digits_of(span: str) -> str:
 def valid(kind: str, span: str) -> bool:
     """The check that a span of a base pattern must pass."""
     if kind == "ip":
-        return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in span.split("."))
+        parts = [p.lstrip("0") for p in span.split(".")]
+        return all(len(p) <= 3 and int(p or "0") <= 255 for p in parts)
     if kind == "card":
         d = digits_of(span)
         return 14 <= len(d) <= 19 and luhn(d)
@@ -121,22 +124,51 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+SPELT_AT = re.compile(r"\(at\)|\[at\]")
+SPELT_DOMAIN = re.compile(r" ?[A-Za-z0-9-]+(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]+)+")
+
+
+def spelt_email_spans(text: str) -> Iterator[tuple[int, int]]:
+    """The matches of the wide email pattern, found from their (at), so that a
+    long run of local characters is read once."""
+    done = 0
+    for m in SPELT_AT.finditer(text):
+        if m.start() < done:
+            continue
+        end = m.start() - (text[m.start() - 1:m.start()] == " ")
+        start = end
+        while start > done and text[start - 1] in LOCAL:
+            start -= 1
+        domain = SPELT_DOMAIN.match(text, m.end()) if start < end else None
+        if domain:
+            yield start, domain.end()
+            done = domain.end()
+
+
 def wide_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Candidates beyond the base: clear of every base span."""
     found = []
     for kind, pattern in WIDE.items():
-        if kind == "email" and "at" not in text:
-            continue
         k = KINDS.index(kind)
-        found += [(m.start(), k, m.end()) for m in pattern.finditer(text)]
+        if kind == "email":
+            found += [(a, k, b) for a, b in spelt_email_spans(text)] if "at" in text else []
+        else:
+            found += [(m.start(), k, m.end()) for m in pattern.finditer(text)]
     if not found:
         return []
-    taken = [(s, e) for s, _, e in base]
-    out = []
+    starts, ends = [], []  # what the base covers, as disjoint runs
+    for s, _, e in base:
+        if ends and s <= ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
+    out, done = [], 0
     for s, k, e in sorted(found):
-        if all(e <= a or b <= s for a, b in taken):
+        before = bisect_left(starts, e) - 1
+        if s >= done and (before < 0 or ends[before] <= s):
             out.append((s, k, e))
-            taken.append((s, e))
+            done = e
     return out
 
 

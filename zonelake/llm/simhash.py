@@ -35,8 +35,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from zonelake.llm.common import cut_lineage, map_slices, sums_by, tasks_for
+from zonelake.llm.common import cut_lineage, fresh, map_slices, shared_table, sums_by, tasks_for
 
 A_BITS, B_BITS = 33, 31
 BYTE_LANES = np.uint64(0x0101010101010101)
@@ -74,15 +75,15 @@ def fingerprints(texts: list[str], width: int) -> np.ndarray:
     return np.packbits(set_bits, axis=1, bitorder="little").view("<u8").reshape(-1)
 
 
-def with_fingerprints(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id, fp`` (the 64 bits as a signed long) for every row."""
+def with_fingerprints(docs: DataFrame, width: int, name: str = "fp") -> DataFrame:
+    """``docs`` with the 64 bits of each row's ``text`` as a signed long."""
 
     def run(part: pa.RecordBatch) -> pa.RecordBatch:
-        texts = [t or "" for t in part.column(1).to_pylist()]
-        return pa.RecordBatch.from_arrays(
-            [part.column(0), pa.array(fingerprints(texts, width).view(np.int64))], names=["doc_id", "fp"])
+        texts = part.column(part.schema.get_field_index("text"))
+        fp = fingerprints([t or "" for t in texts.to_pylist()], width).view(np.int64)
+        return pa.RecordBatch.from_arrays([*part.columns, pa.array(fp)], names=[*part.schema.names, name])
 
-    return map_slices(docs.select("doc_id", "text"), run, "doc_id long, fp long")
+    return map_slices(docs, run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
 
 
 def flips_by_syndrome(weight: int) -> list[np.ndarray]:
@@ -220,25 +221,35 @@ def component_roots(edges: DataFrame) -> DataFrame:
         before = now
 
 
+def rooted(marked: DataFrame, max_bits: int) -> DataFrame:
+    """``fp, first, root`` for each distinct fingerprint of ``marked``
+    (``doc_id, fp``): its smallest id and its component."""
+    distinct = cut_lineage(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    roots = component_roots(links(distinct, max_bits))
+    return (distinct.join(roots.withColumnRenamed("u", "fp"), "fp", "left")
+            .select("fp", "first", F.coalesce("v", "fp").alias("root")))
+
+
 def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 2) -> DataFrame:
     """``doc_id, fp, component_id`` for every row of ``docs``: components of
     fingerprints linked at ``max_bits`` or fewer differing bits, named by
     their smallest ``doc_id``."""
-    marked = cut_lineage(with_fingerprints(docs, width))
-    distinct = cut_lineage(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = component_roots(links(distinct, max_bits))
-    rooted = (distinct.join(roots.withColumnRenamed("u", "fp"), "fp", "left")
-              .select("fp", "first", F.coalesce("v", "fp").alias("root")))
-    names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(names, "root").select("fp", "component_id")
+    marked = cut_lineage(with_fingerprints(docs.select("doc_id", "text"), width).select("doc_id", "fp"))
+    placed = rooted(marked, max_bits)
+    names = placed.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = placed.join(names, "root").select("fp", "component_id")
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, width: int = 3, max_bits: int = 2) -> DataFrame:
-    """One document of each component, the one with the smallest id, all
-    columns. Of repeated rows with that id one stays; rows without an id
-    cannot be told apart and all stay."""
-    kept = (near_duplicates(docs, width, max_bits).where("doc_id = component_id")
-            .select(F.col("doc_id").alias("kept_doc_id")).distinct())
-    return (docs.join(kept, F.col("doc_id") == F.col("kept_doc_id"), "left_semi").dropDuplicates(["doc_id"])
-            .unionByName(docs.where(F.col("doc_id").isNull())))
+    """One row of each component, all columns: one with the smallest id (a null
+    id comes last), of those one with the smallest fingerprint, of equal ones
+    any. Rows that share an id but no component are kept apart."""
+    fp, same_fp, same_id = (fresh(name, docs.columns) for name in ("fp", "kept_fp", "kept_id"))
+    marked = shared_table(with_fingerprints(docs, width, fp), "fingerprints")
+    placed = rooted(marked.select("doc_id", F.col(fp).alias("fp")), max_bits)
+    best = F.min(F.struct(F.col("first").isNull().alias("last"), "first", "fp")).alias("best")
+    kept = cut_lineage(placed.groupBy("root").agg(best)
+                       .select(F.col("best.fp").alias(same_fp), F.col("best.first").alias(same_id)))
+    chosen = (F.col(fp) == F.col(same_fp)) & F.col("doc_id").eqNullSafe(F.col(same_id))
+    return marked.join(kept, chosen, "left_semi").dropDuplicates([fp]).select(*docs.columns)
