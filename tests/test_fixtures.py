@@ -1,6 +1,7 @@
-"""Request scenarios by field types, and the edge rows of FIXTURES.md §4."""
+"""Requests by the rules they meet, and the edge rows of FIXTURES.md §4."""
 
 import datetime as dt
+import itertools
 import json
 
 import pytest
@@ -15,56 +16,42 @@ from zonelake.sources import io
 
 TS = dt.datetime(2025, 11, 25, 10, 0, 0, 123456)
 
-# Field types of the request bodies a lake like this receives (FIXTURES.md §1):
-# payload fields per kind of source, s text, i whole number, f fraction, b flag.
-PAYLOADS = {
-    "plain": {"actor": "s", "action": "s", "at": "s", "details": {"where": "s", "via": "s"}},
-    "sensor": {"unit": "s", "at": "s", "values": {"heat": "i", "damp": "i"}},
-    "visit": {"visit": "s", "views": "i", "seconds": "i"},
-    "app": {"build": "s", "gesture": "s", "view": "s"},
-    "call": {"route": "s", "verb": "s", "code": "i", "millis": "i"},
-    "probe": {"alive": "b"},
-    "flat": {"unit": "s", "heat": "f", "damp": "i", "at": "s"},
-}
-META = {"plain": {"release": "s", "stage": "s"}, "sensor": {"load": "s", "nth": "i"},
-        "flat": {"place": "s", "release": "s"}}
+# Every combination of what the rules look at. A missing part is MISSING.
+MISSING = object()
+SOURCES = {"text": "north", "digits": "0456", "space": "a b", "null": None, "number": 5, "list": ["x"], "empty": "", "none": MISSING}
+DATA = {"object": {"x": 1}, "nested": {"x": {"y": [1, {"z": None}]}}, "array": [1, "a"], "text": "5", "number": 5,
+        "real": 2.5, "flag": False, "null": None, "none": MISSING}
+METADATA = {"object": {"m": 1}, "null": None, "none": MISSING}
 
 
-def made(fields, seed):
-    """A JSON object with a value of each field's type."""
-    kinds = {"s": lambda n: f"{n}-{seed}", "i": lambda n: len(n) * 10 + seed, "f": lambda n: seed + 0.25,
-             "b": lambda n: seed % 2 == 0}
-    return {n: made(t, seed) if isinstance(t, dict) else kinds[t](n) for n, t in fields.items()}
+def status_of(source, data):
+    """The rules: both keys must be there, the source must be text."""
+    if source is MISSING or data is MISSING or source == "":
+        return 400
+    return 200 if isinstance(source, str) else 500
 
 
 def bodies():
-    out = []
-    for seed, (kind, fields) in enumerate(PAYLOADS.items()):
-        for nth in range(5 if kind == "sensor" else 1):
-            body = {"source": f"{kind}_{nth % 3}" if kind == "sensor" else kind, "data": made(fields, seed + nth)}
-            if kind in META:
-                body["metadata"] = made(META[kind], seed + nth)
-            out.append((body, 200))
-    return [*out, ({"data": {"lone": "value"}}, 400)]
-
-
-REQUESTS = bodies()
+    for (s, source), (d, data), (m, metadata) in itertools.product(SOURCES.items(), DATA.items(), METADATA.items()):
+        parts = {"source": source, "data": data, "metadata": metadata}
+        yield f"{s}-{d}-{m}", {k: v for k, v in parts.items() if v is not MISSING}, status_of(source, data)
 
 
-def test_scenarios_end_to_end(spark, tmp_path):
-    rows = [(str(i), json.dumps(b), TS) for i, (b, _) in enumerate(REQUESTS)]
+def test_every_combination_end_to_end(spark, tmp_path):
+    requests = list(bodies())
+    rows = [(i, json.dumps(b), TS) for i, b, _ in requests]
     df = spark.createDataFrame(rows, "request_id string, body string, received_at timestamp_ntz")
     got = I.ingest(df)
-    status = {r.request_id: r.status_code for r in got.outcomes.collect()}
-    assert status == {str(i): s for i, (_, s) in enumerate(REQUESTS)}
+    assert {r.request_id: r.status_code for r in got.outcomes.collect()} == {i: s for i, _, s in requests}
     io.write_raw(got.accepted, str(tmp_path / "raw"))
     raw = io.read_raw(spark, str(tmp_path / "raw"))
     processed = P.process(raw, processing_time="2025-11-25 11:00:00")
-    n_ok = sum(1 for _, s in REQUESTS if s == 200)
-    assert processed.count() == n_ok  # every accepted record is distinct
-    stats = {r.source: r.total_records for r in C.source_statistics(processed).collect()}
-    assert stats["sensor_0"] == 2 and stats["sensor_1"] == 2 and stats["sensor_2"] == 1
-    # Metadata present -> 100, absent -> {} -> also 100 (metadata defaults to {}).
+    # of the accepted ones, a null payload goes and copies with other metadata count once
+    kept = {(b["source"], json.dumps(b["data"])) for _, b, s in requests if s == 200 and b["data"] is not None}
+    assert processed.count() == len(kept)
+    totals = {r.source: r.total_records for r in C.source_statistics(processed).collect()}
+    assert totals == {source: len(DATA) - 2 for source in ("north", "0456", "a b")}
+    # of copies the one with metadata stays, and an absent one is {}
     assert {r.quality_score for r in processed.collect()} == {100}
 
 

@@ -53,8 +53,24 @@ def test_no_python_udf_and_no_pairing(spark, sf_small, name):
 def test_duplicate_report_broadcasts_only_the_top_k(spark, sf_small):
     df = Q.duplicate_records(Lake(spark, sf_small).processed, 2024, 1, top=100)
     plan = _plan(df)
-    # The broadcast side is the limited top-k, never the whole table.
-    assert "BroadcastExchange" in plan
+    # What is broadcast is the limited top-k, never the whole table.
+    assert plan.count("BroadcastExchange") == 1
+    assert "TakeOrderedAndProject(limit=100" in plan.split("BroadcastExchange")[1][:400]
+
+
+@pytest.mark.parametrize("name", ["recent_raw", "ingestion_rate_by_hour", "processed_high_quality", "quality_by_source",
+                                  "processing_lag", "daily_report", "freshness", "duplicate_records", "raw_by_source",
+                                  "source_quality"])
+def test_date_predicates_reach_the_scan_as_a_time_range(spark, sf_small, name):
+    from zonelake.session import scoped_conf
+
+    with scoped_conf(spark, {"spark.sql.maxMetadataStringLength": "100000"}):
+        plan = _plan(registered()[name](spark, sf_small))
+    day = name in ("recent_raw", "processed_high_quality")
+    start, end = ("2024-01-15", "2024-01-16") if day else ("2024-01-01", "2024-02-01")
+    for scan in [line for line in plan.splitlines() if "FileScan parquet" in line]:
+        pushed = scan.split("PushedFilters:")[1]
+        assert f"GreaterThanOrEqual(ts,{start}T00:00)" in pushed and f"LessThan(ts,{end}T00:00)" in pushed, scan
 
 
 def test_denormalised_join_does_not_shuffle_the_processed_rows(spark, sf_small):

@@ -1,6 +1,7 @@
 """P1-P7 and C1-C4 on hand-written raw rows, plus the invariants between
 the zone tables on the driver's data."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from zonelake import schemas as S
@@ -104,9 +105,41 @@ def test_job_keeps_undated_rows_and_counts_them(spark, tmp_path):
     paths = [str(tmp_path / n) for n in ("raw", "processed", "quarantine")]
     io.write_raw(raw, paths[0])
     counts = process_job(spark, *paths, processing_time="2025-11-26 00:00:00")
+    assert counts.pop("run_id").startswith("r")
     assert counts == {"initial": 4, "after_null_filter": 3, "after_dedup": 2, "quarantined": 1}
     assert io.read_processed(spark, paths[1]).count() == 1
     assert [r.ingestion_timestamp for r in spark.read.parquet(paths[2]).collect()] == ["garbage"]
+    again = process_job(spark, *paths, processing_time="2025-11-27 00:00:00")
+    assert again["initial"] == 4 and again["quarantined"] == 0
+    assert io.read_processed(spark, paths[1]).count() == spark.read.parquet(paths[2]).count() == 1
+
+
+def test_ledger_reads_each_raw_file_once(spark, tmp_path, monkeypatch):
+    from zonelake.plans import jobs
+
+    def raw(rows):
+        return spark.createDataFrame(rows, "ingestion_timestamp string, source string, data string").select(
+            "ingestion_timestamp", "source", F.lit(None).cast("variant").alias("metadata"),
+            F.try_parse_json("data").alias("data"), F.lit("2025").alias("year"), F.lit("11").alias("month"),
+            F.lit("25").alias("day"))
+
+    paths = [str(tmp_path / n) for n in ("raw", "processed", "quarantine")]
+    run = lambda: jobs.process_job(spark, *paths, ledger_path=str(tmp_path / "ledger"))
+    sizes = lambda: (io.read_processed(spark, paths[1]).count(), spark.read.parquet(paths[2]).count())
+    io.write_raw(raw([("2025-11-25T10:00:00", "s", '{"a":1}'), ("garbage", "s", '{"b":1}')]), paths[0])
+    first = run()
+    assert (first["initial"], first["quarantined"], sizes()) == (2, 1, (1, 1))
+    assert run()["initial"] == 0 and sizes() == (1, 1)
+    io.write_raw(raw([("2025-11-25T11:00:00", "t", '{"a":2}'), ("2025-11-25T10:00:00", "s", '{"a":1}'),
+                      ("rubbish", "s", '{"b":1}')]), paths[0])
+    # a run that dies before its ledger entry is repeated under the same id and adds nothing twice
+    with monkeypatch.context() as m:
+        m.setattr(jobs.io, "write_processed", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            run()
+    third = run()
+    assert third["initial"] == 3 and third["run_id"] != first["run_id"] and sizes() == (2, 2)
+    assert run()["initial"] == 0 and sizes() == (2, 2)
 
 
 def test_rollups_keep_rows_with_a_date_but_no_time(spark):

@@ -7,12 +7,13 @@ from zonelake.functions.json import (  # noqa: F401
     has_field,
     is_number,
     kind,
-    py_repr,
     py_type_name,
     py_type_name_of_kind,
     strict_json,
+    top_kind,
     variant_string,
 )
+from zonelake.functions.pytext import json_string, py_json, py_str  # noqa: F401
 from zonelake.functions.time import (  # noqa: F401
     hour_floor,
     is_python_isoformat,

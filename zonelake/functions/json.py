@@ -37,7 +37,13 @@ def strict_json(text) -> Column:
 def kind(v) -> Column:
     """Top-level JSON kind of a VARIANT: OBJECT, ARRAY, STRING, BIGINT,
     DECIMAL, DOUBLE, BOOLEAN, VOID (JSON null), ... or NULL for SQL NULL."""
-    return F.regexp_extract(F.schema_of_variant(as_col(v)), r"^([A-Z_]+)", 1)
+    return F.substring_index(F.substring_index(F.schema_of_variant(as_col(v)), "<", 1), "(", 1)
+
+
+def top_kind(v) -> Column:
+    """``kind`` without describing the members of an object."""
+    c = as_col(v)
+    return F.when(F.try_variant_get(c, "$", "struct<>").isNotNull(), F.lit("OBJECT")).otherwise(kind(c))
 
 
 NUMBER_KINDS = ("BIGINT", "INT", "SMALLINT", "TINYINT", "DECIMAL", "DOUBLE", "FLOAT")
@@ -117,20 +123,3 @@ def py_type_name_of_kind(k) -> Column:
 def py_type_name(v) -> Column:
     """Name of the Python type ``json.loads`` would give this value."""
     return py_type_name_of_kind(kind(v))
-
-
-def py_repr(v, k=None) -> Column:
-    """Approximate Python ``repr`` of the decoded JSON value, for error text.
-
-    Exact for null, booleans, integers and plain strings; containers and
-    reals fall back to their canonical JSON text. ``k``: the value's kind
-    when already computed."""
-    c = as_col(v)
-    k = kind(c) if k is None else as_col(k)
-    s = F.try_variant_get(c, "$", "string")
-    return (
-        F.when(k == "VOID", F.lit("None"))
-        .when(k == "BOOLEAN", F.when(F.try_variant_get(c, "$", "boolean"), "True").otherwise("False"))
-        .when(k == "STRING", F.concat(F.lit("'"), F.replace(F.replace(s, F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'")), F.lit("'")))
-        .otherwise(F.to_json(c))
-    )

@@ -6,6 +6,8 @@ results do not depend on the session time zone.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -94,3 +96,10 @@ def raw_key(source, ts) -> Column:
         F.date_format(t, "'/year='yyyy'/month='MM'/day='dd'/'"),
         F.date_format(t, OBJECT_NAME_FORMAT), F.lit(".json"),
     )
+
+
+def period(year: int, month: int, day: int | None = None) -> tuple[str, str]:
+    """First instant of a month or day, and of the next one, as ISO text."""
+    first = _dt.date(year, month, day or 1)
+    after = first + _dt.timedelta(days=1) if day else _dt.date(year + month // 12, month % 12 + 1, 1)
+    return f"{first} 00:00:00", f"{after} 00:00:00"

@@ -20,3 +20,9 @@ def ts_literal(value) -> Column:
     if isinstance(value, _dt.datetime):
         value = value.isoformat(sep=" ")
     return F.lit(str(value)).cast("timestamp_ntz")
+
+
+def let(value, use) -> Column:
+    """``use(v)`` with ``value`` computed once, however often ``use`` names it
+    (a plain expression would be copied, and evaluated, at each place)."""
+    return F.transform(F.array(as_col(value)), use)[0]

@@ -1,17 +1,22 @@
 """Schema discovery (D2), schema drift (D3) and data-quality measures.
 
-All three are grouped aggregates over payload columns, combined map-side
-before the shuffle; their results are small (per source, field and kind, or
-per source and day), so the joins between them are joins of small tables.
+All are grouped aggregates over payload columns, combined map-side before the
+shuffle; their results are small (per source, path and kind, or per source,
+day and rule), so the joins between them are joins of small tables.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+from functools import reduce
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonelake.functions.json import NUMBER_KINDS, kind
-from zonelake.functions.time import parse_ts
+from zonelake.functions.json import kind, top_kind
+from zonelake.operators.rules import ACCEPTS, member_path, schema_of
+from zonelake.session import scratch_path
 
 
 def discover_schema(raw: DataFrame, payload: str = "data") -> DataFrame:
@@ -46,76 +51,162 @@ def field_profile(raw: DataFrame, payload: str = "data") -> DataFrame:
     )
 
 
-def _declared_kinds(schemas: dict) -> list[tuple[str, str, str]]:
-    """(source, field, JSON-Schema type) of the registered top-level
-    properties."""
+NAME = r"^[A-Za-z_][A-Za-z0-9_]*$"
+LEVELS = 3
+
+
+def _child_path(path: Column, name: Column) -> Column:
+    quoted = F.concat(F.lit("['"), F.replace(F.replace(name, F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'")), F.lit("']"))
+    return F.concat(path, F.when(F.regexp_like(name, F.lit(NAME)), F.concat(F.lit("."), name)).otherwise(quoted))
+
+
+def _opened(rows: DataFrame) -> DataFrame:
+    """One level deeper: an open container becomes itself, closed, and its
+    members, open if they are containers (``source, path, kind, v``; ``v`` is
+    NULL once a row is closed)."""
+    v, path, k = F.col("v"), F.col("path"), F.col("kind")
+    part = lambda p, value: F.struct(p.alias("path"), F.lit(None).cast("string").alias("kind"), value.alias("v"))
+    itself = F.array(F.struct(path.alias("path"), k.alias("kind"), F.lit(None).cast("variant").alias("v")))
+    members = F.transform(F.map_entries(F.try_variant_get(v, "$", "map<string,variant>")),
+                          lambda e: part(_child_path(path, e["key"]), e["value"]))
+    elements = F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x: part(F.concat(path, F.lit("[*]")), x))
+    rows = rows.select("source", F.inline(
+        F.when(v.isNotNull() & (k == "OBJECT"), F.concat(itself, members))
+        .when(v.isNotNull(), F.concat(itself, elements)).otherwise(itself)))
+    rows = rows.select("source", "path", F.coalesce("kind", top_kind("v")).alias("kind"), "v")
+    return rows.select("source", "path", "kind", F.when(F.col("kind").isin("OBJECT", "ARRAY"), F.col("v")).alias("v"))
+
+
+def payload_paths(raw: DataFrame, payload: str = "data", levels: int = LEVELS) -> DataFrame:
+    """Every path of the payloads, to any depth: ``source, path, kind, values``
+    (``$`` is the payload, ``.name`` a member, ``[*]`` the elements of an
+    array; ``values`` counts the values met there with that kind).
+
+    ``levels`` levels are opened in one plan and counted; only if containers
+    are left below them, these alone are written and opened further."""
+    spark = raw.sparkSession
+    rows = raw.where(F.col(payload).isNotNull()).select(
+        F.col("source"), F.lit("$").alias("path"), top_kind(payload).alias("kind"), F.col(payload).alias("v"))
+    rows = rows.select("source", "path", "kind", F.when(F.col("kind").isin("OBJECT", "ARRAY"), F.col("v")).alias("v"))
+    found = []
+    while True:
+        for _ in range(levels):
+            rows = _opened(rows)
+        is_open = F.col("v").isNotNull()
+        counts = rows.groupBy("source", "path", "kind").agg(
+            F.count_if(~is_open).alias("values"), F.count_if(is_open).alias("open"))
+        found.append(_stored(counts, "paths"))
+        if found[-1].where("open > 0").isEmpty():
+            break
+        rows = _stored(rows.where(is_open), "deeper")
+    total = reduce(DataFrame.unionByName, found)
+    return total.groupBy("source", "path", "kind").agg(F.sum("values").alias("values")).where("values > 0")
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared scratch folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def declared_paths(schemas: Mapping[str, Mapping]) -> list[tuple[str, str, str]]:
+    """(schema, path, JSON-Schema type) of every declared property, any depth."""
     out = []
-    for source, schema in schemas.items():
-        for name, sub in schema.get("properties", {}).items():
-            out.append((source, name, sub.get("type")))
-    return out
 
+    def walk(name: str, sub: Mapping, path: str) -> None:
+        if "type" in sub:
+            out.append((name, path, sub["type"]))
+        for p, below in sub.get("properties", {}).items():
+            plain = p.isascii() and p.isidentifier()
+            walk(name, below, f"{path}.{p}" if plain else member_path(path, p))
 
-def _compatible(kind_col, declared_col):
-    return (
-        ((declared_col == "string") & (kind_col == "STRING"))
-        | ((declared_col == "object") & (kind_col == "OBJECT"))
-        | ((declared_col == "array") & (kind_col == "ARRAY"))
-        | ((declared_col == "boolean") & (kind_col == "BOOLEAN"))
-        | ((declared_col == "number") & kind_col.isin(*NUMBER_KINDS))
-        | ((declared_col == "integer") & kind_col.isin("BIGINT", "INT", "SMALLINT", "TINYINT"))
-        | declared_col.isNull()
-    )
+    for name, schema in schemas.items():
+        walk(name, schema, "$")
+    return out
 
 
-def schema_diff(profile: DataFrame, schemas: dict) -> DataFrame:
-    """D3: compare discovered payload fields (``field_profile``) with the
-    registered schemas, for the sources that have one.
+def schema_diff(paths: DataFrame, schemas: Mapping[str, Mapping], matches=None) -> DataFrame:
+    """D3: discovered payload paths (``payload_paths``) against the registered
+    schemas, for every source that has one (``matches`` as in ``rule_set``) and
+    for schemas whose own name was never seen as a source.
 
-    One row per change: ``added`` (a field the schema does not declare;
-    compatible), ``removed`` (declared, never seen; breaking), and
+    One row per change: ``added`` (a path the schema does not declare;
+    compatible), ``removed`` (declared, never seen; breaking) and
     ``type_changed`` (seen with a kind the declared type rejects; breaking),
-    with the number of records showing it."""
-    spark = profile.sparkSession
-    declared = spark.createDataFrame(_declared_kinds(schemas), "source string, field string, declared string")
-    seen = profile.filter(F.col("field").isNotNull())
-    # Both sides are small aggregates (per source and field). The source
-    # filter is applied after the full join, on the small joined result.
-    j = seen.join(declared, ["source", "field"], "full_outer").filter(F.col("source").isin(*schemas.keys()))
-    # One pass over the joined rows (a union of three filtered copies would
-    # evaluate the whole upstream plan three times).
-    kind_c, decl = F.col("kind"), F.col("declared")
+    with the number of values showing it."""
+    spark = paths.sparkSession
+    matches = [(n, "exact", n) for n in schemas] if matches is None else list(matches)
+    seen = paths.withColumn("schema", schema_of(F.col("source"), matches)).where("schema is not null")
+    declared = spark.createDataFrame(declared_paths(schemas), "schema string, path string, declared string")
+    named = spark.createDataFrame([(p, n) for n, m, p in matches if m == "exact"], "source string, schema string")
+    # every side is an aggregate per source and path
+    expected = seen.select("source", "schema").unionByName(named).distinct().join(declared, "schema")
+    both = seen.join(expected, ["source", "schema", "path"], "full_outer")
+    accepted = F.coalesce(*(F.when(F.col("declared") == t, F.col("kind").isin(*kinds)) for t, kinds in ACCEPTS.items()))
     change = (
-        F.when(decl.isNull() & kind_c.isNotNull(), F.lit("added"))
-        .when(kind_c.isNull(), F.lit("removed"))
-        .when(~_compatible(kind_c, decl), F.lit("type_changed"))
+        F.when(F.col("declared").isNull(), F.lit("added"))
+        .when(F.col("kind").isNull(), F.lit("removed"))
+        .when(~accepted, F.lit("type_changed"))
     )
     return (
-        j.select(
-            "source", "field", change.alias("change"), "declared", "kind",
-            F.coalesce(F.col("records"), F.lit(0).cast("bigint")).alias("records"),
-        )
+        both.select("source", "path", change.alias("change"), "declared", "kind",
+                    F.coalesce(F.col("values"), F.lit(0).cast("bigint")).alias("values"))
         .filter(F.col("change").isNotNull())
         .withColumn("breaking", F.col("change") != "added")
     )
 
 
-def quality_metrics(processed: DataFrame, max_lag_seconds: int = 86400) -> DataFrame:
-    """Per source and day of the processed zone:
-
-    * ``completeness``: share of rows carrying metadata
-    * ``accuracy``: share whose payload is a JSON object
-    * ``consistency``: share whose partition date equals the date of the
-      ingestion timestamp
-    * ``timeliness``: share processed within ``max_lag_seconds``
-    """
-    ts = parse_ts("ingestion_timestamp")
-    lag = F.timestamp_diff("SECOND", ts, F.col("processing_timestamp").cast("timestamp_ntz"))
-    n = F.count(F.lit(1))
-    return processed.groupBy("source", "year", "month", "day").agg(
-        n.alias("records"),
-        (F.count("metadata") / n).alias("completeness"),
-        (F.count_if(F.col("data").startswith("{")) / n).alias("accuracy"),
-        (F.count_if(F.make_date("year", "month", "day") == F.to_date(ts)) / n).alias("consistency"),
-        (F.count_if(lag <= max_lag_seconds) / n).alias("timeliness"),
-    )
+class QualityRule(NamedTuple):
+    """A measure as data: ``condition`` is a SQL expression over a record, a
+    record passes where it is true; a group is in order if at least ``least``
+    of its records pass."""
+
+    measure: str
+    field: str
+    condition: str
+    least: float
+
+
+def quality_rules(max_lag_seconds: int = 86400) -> list[QualityRule]:
+    """Completeness of each envelope field, accuracy by the payload's
+    validation status, consistency of partition and time, timeliness."""
+    age = "timestampdiff(SECOND, try_cast(ingestion_timestamp as timestamp_ntz), processing_timestamp)"
+    return [
+        *(QualityRule("completeness", f, f"{f} is not null", 0.9)
+          for f in ("ingestion_timestamp", "source", "metadata", "data")),
+        QualityRule("accuracy", "data", "status = 'valid'", 0.5),
+        QualityRule("consistency", "ingestion_timestamp",
+                    "partition_date = to_date(try_cast(ingestion_timestamp as timestamp_ntz))", 0.95),
+        QualityRule("timeliness", "processing_timestamp", f"{age} <= {int(max_lag_seconds)}", 0.6),
+    ]
+
+
+def _passes(rule: QualityRule) -> Column:
+    return F.coalesce(F.expr(rule.condition), F.lit(False))
+
+
+def quality_metrics(records: DataFrame, rules: list[QualityRule], by: tuple = ("source", "partition_date")) -> DataFrame:
+    """One row per group and rule: records, those that pass, their share,
+    the least share and whether it is missed. All rules are counted in one
+    aggregation."""
+    counted = records.groupBy(*by).agg(F.count(F.lit(1)).alias("records"),
+                                       *(F.count_if(_passes(r)).alias(f"_n{i}") for i, r in enumerate(rules)))
+    rows = F.array(*(F.struct(F.lit(r.measure).alias("measure"), F.lit(r.field).alias("field"),
+                              F.col(f"_n{i}").alias("passed"), F.lit(float(r.least)).alias("least"))
+                     for i, r in enumerate(rules)))
+    share = F.col("passed") / F.col("records")
+    return counted.select(*by, "records", F.inline(rows)).select(
+        *by, "measure", "field", "records", "passed", share.alias("share"), "least", (share < F.col("least")).alias("missed"))
+
+
+def quality_alerts(metrics: DataFrame) -> DataFrame:
+    """The groups and rules that miss their least share."""
+    return metrics.where("missed").drop("missed")
+
+
+def failing_records(records: DataFrame, rules: list[QualityRule]) -> DataFrame:
+    """The records that fail a rule, with ``failed_rules``
+    (``measure:field`` in rule order)."""
+    failed = F.array_compact(F.array(*(F.when(~_passes(r), F.lit(f"{r.measure}:{r.field}")) for r in rules)))
+    return records.withColumn("failed_rules", failed).where(F.size("failed_rules") > 0)

@@ -2,10 +2,10 @@
 
 The reference reads one landed file at a time and checks its payload with a
 JSON-Schema validator. Here a DataFrame of documents (``key``, ``text``) is
-checked in one projection: the registered schemas (a JSON-Schema subset:
-``type``, ``required``, ``properties``) are compiled into native column
-expressions over the VARIANT payload, so the check runs inside whole-stage
-codegen with no Python on the executors and no shuffle.
+checked in one chain of projections. Schemas are rule rows (``rules.py``): a
+document is joined with the rules of its source's schema and evaluates those
+only, on the VARIANT payload, with no Python on the executors. The rule tables
+are configuration and small, so the joins broadcast them by their size.
 
 Per document the reference does, in order (fixed behaviour to match):
 
@@ -25,18 +25,13 @@ Per document the reference does, in order (fixed behaviour to match):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonelake.functions.json import (
-    NUMBER_KINDS,
-    field,
-    kind,
-    py_repr,
-    py_type_name_of_kind,
-    strict_json,
-)
-from zonelake.functions.time import is_python_isoformat, parse_ts
+from zonelake.functions.json import field, py_type_name_of_kind, strict_json, top_kind
+from zonelake.functions.pytext import json_string
+from zonelake.functions.time import is_python_isoformat, iso_text, parse_ts, raw_partition_values
+from zonelake.operators.rules import RuleSet, rule_errors, rule_set, with_rules
 from zonelake.schemas import SOURCE_SCHEMAS
 
 # Message texts of the reference validator.
@@ -48,139 +43,54 @@ ALERT_SUBJECT = "Data Validation Failure"
 # positions we do not reproduce).
 ERR_INVALID_JSON = "Invalid JSON"
 
-_INT_KINDS = ("BIGINT", "INT", "SMALLINT", "TINYINT")
+RESULT_COLUMNS = ("key", "status", "source", "errors", "error", "ts", "all_errors")
 
 
-def _is_type(v: Column, name: str, k: Column) -> Column:
-    if name == "object":
-        return k == "OBJECT"
-    if name == "array":
-        return k == "ARRAY"
-    if name == "string":
-        return k == "STRING"
-    if name == "number":
-        return k.isin(*NUMBER_KINDS)
-    if name == "integer":
-        d = F.try_variant_get(v, "$", "double")
-        return k.isin(*_INT_KINDS) | (k.isin("DECIMAL", "DOUBLE", "FLOAT") & (d == F.floor(d)))
-    if name == "boolean":
-        return k == "BOOLEAN"
-    if name == "null":
-        return k == "VOID"
-    raise ValueError(f"unsupported JSON-Schema type {name!r}")
-
-
-def _paths(schema: dict, prefix: tuple = ()) -> list[tuple]:
-    """Instance paths the schema looks at, root first."""
-    out = [prefix]
-    for name, sub in schema.get("properties", {}).items():
-        out.extend(_paths(sub, prefix + (name,)))
-    return out
-
-
-def _path_name(path: tuple) -> str:
-    return "$" + "".join("['" + p.replace("'", "\\'") + "']" for p in path)
-
-
-def _schema_errors(schema: dict, value, kind_of, path: tuple = ()) -> list[tuple[int, Column]]:
-    """All errors against ``schema`` in the validator's iteration order, as
-    (instance depth, message-or-NULL). ``value(path)`` / ``kind_of(path)``
-    give the VARIANT at an instance path and its kind (SQL NULL when
-    absent, in which case no error applies)."""
-    out: list[tuple[int, Column]] = []
-    depth = len(path)
-    k = kind_of(path)
-    for keyword, spec in schema.items():
-        if keyword == "type":
-            msg = F.concat(py_repr(value(path), k), F.lit(f" is not of type '{spec}'"))
-            out.append((depth, F.when(k.isNotNull() & ~_is_type(value(path), spec, k), msg)))
-        elif keyword == "required":
-            for name in spec:
-                out.append((depth, F.when((k == "OBJECT") & kind_of(path + (name,)).isNull(),
-                                          F.lit(f"'{name}' is a required property"))))
-        elif keyword == "properties":
-            # A property is checked only when its parent is an object; a path
-            # below a non-object resolves to NULL, so no extra test is needed.
-            for name, sub in spec.items():
-                out.extend(_schema_errors(sub, value, kind_of, path + (name,)))
-        else:
-            raise ValueError(f"unsupported JSON-Schema keyword {keyword!r}")
-    return out
-
-
-def best_schema_error(schema: dict, value, kind_of) -> Column:
-    """The message the validator raises: among all errors the one at the
-    shallowest instance path, ties going to the first in keyword and
-    property order. NULL when the instance is valid."""
-    by_depth: dict[int, list[Column]] = {}
-    for d, m in _schema_errors(schema, value, kind_of):
-        by_depth.setdefault(d, []).append(m)
-    return F.coalesce(*[m for d in sorted(by_depth) for m in by_depth[d]], F.lit(None).cast("string"))
-
-
-def validate(documents: DataFrame, key: str = "key", text: str = "text",
-             schemas: dict | None = None) -> DataFrame:
+def validate(documents: DataFrame, key: str = "key", text: str = "text", schemas: dict | None = None,
+             rules: RuleSet | None = None, keep: tuple = ()) -> DataFrame:
     """V1-V9: one result row per document: key, status (valid / invalid /
-    error), source, errors (invalid rows), error (error rows), and the
-    document's ingestion time (``ts``, NULL when absent or unparsable).
-
-    Built as a chain of projections, each naming its columns, so every
-    parse, path lookup and kind test runs once per row (an inlined
+    error), source, errors (invalid rows: the one best schema error, then the
+    timestamp error), error (error rows), the document's ingestion time
+    (``ts``, NULL when absent or unparsable), ``all_errors`` (invalid rows:
+    every error, in the order of the checks) and the input's columns ``keep``.
+
+    ``rules`` says which schema a source has; without it ``schemas`` are looked
+    up by exact name. Built as a chain of projections, each naming its columns,
+    so every parse, path lookup and kind test runs once per row (an inlined
     expression tree would repeat them for every use)."""
-    schemas = SOURCE_SCHEMAS if schemas is None else schemas
-    paths: list[tuple] = []
-    for schema in schemas.values():
-        for p in _paths(schema):
-            if p not in paths:
-                paths.append(p)
-    vcol = {p: f"_v{i}" for i, p in enumerate(paths)}
-    kcol = {p: f"_k{i}" for i, p in enumerate(paths)}
-
-    # 1. parse; 2. the document's members
-    s1 = documents.select(F.col(key).cast("string").alias("key"), strict_json(F.col(text)).alias("_d"))
-    s2 = s1.select(
-        "key", "_d", kind("_d").alias("_dk"),
-        field("_d", "source").alias("_src"),
-        field("_d", "ingestion_timestamp").alias("_tsv"),
-        *[F.try_variant_get(F.col("_d"), _path_name(("data",) + p), "variant").alias(vcol[p]) for p in paths],
-    )
-    # 3. their kinds
-    s3 = s2.select(
-        "key", "_dk", "_src", "_tsv", *vcol.values(),
-        kind("_src").alias("_sk"), kind("_tsv").alias("_tk"),
-        *[kind(vcol[p]).alias(kcol[p]) for p in paths],
-    )
-    # 4. source text, schema error, timestamp rule
+    rules = rules or rule_set(SOURCE_SCHEMAS if schemas is None else schemas)
+    kept = [F.col(c).alias(f"_keep{i}") for i, c in enumerate(keep)]
+    kept_names = [f"_keep{i}" for i in range(len(keep))]
+
+    # 1. parse; 2. the document's members; 3. their kinds
+    s1 = documents.select(F.col(key).cast("string").alias("key"), F.col(text).alias("_text"),
+                          strict_json(F.col(text)).alias("_d"), *kept)
+    s2 = s1.select("key", "_text", *kept_names, top_kind("_d").alias("_dk"), field("_d", "source").alias("_src"),
+                   field("_d", "ingestion_timestamp").alias("_tsv"), field("_d", "data").alias("_data"))
+    s3 = s2.select("key", "_text", *kept_names, "_dk", "_src", "_tsv", "_data",
+                   top_kind("_src").alias("_sk"), top_kind("_tsv").alias("_tk"), top_kind("_data").alias("_pk"))
     sk, tk, dk = F.col("_sk"), F.col("_tk"), F.col("_dk")
-    src_text = F.when(sk == "STRING", F.try_variant_get(F.col("_src"), "$", "string"))
-    schema_msg = F.lit(None).cast("string")
-    for name, schema in reversed(list(schemas.items())):
-        msg = best_schema_error(schema, lambda p: F.col(vcol[p]), lambda p: F.col(kcol[p]))
-        schema_msg = F.when(src_text == name, msg).otherwise(schema_msg)
-    ts_text = F.when(tk == "STRING", F.try_variant_get(F.col("_tsv"), "$", "string"))
     s4 = s3.select(
-        "key", "_dk", "_sk", "_tk",
-        src_text.alias("_src_text"),
+        "key", "_text", *kept_names, "_dk", "_sk", "_tk", "_data", "_pk",
+        F.when(sk == "STRING", F.try_variant_get(F.col("_src"), "$", "string")).alias("_src_text"),
         F.when(sk.isNotNull() & ~sk.isin("STRING", "VOID"), F.to_json("_src")).alias("_src_json"),
-        (dk == "OBJECT").alias("_is_obj"),
-        F.col(vcol[()]).isNotNull().alias("_has_data"),
-        schema_msg.alias("_schema_msg"),
-        ts_text.alias("_ts_text"),
-        (tk.isNotNull() & (tk == "STRING") & ~is_python_isoformat(ts_text)).alias("_bad_ts"),
+        F.when(tk == "STRING", F.try_variant_get(F.col("_tsv"), "$", "string")).alias("_ts_text"),
     )
-    # 5. outcome
-    is_obj, has_data = F.col("_is_obj"), F.col("_has_data")
-    # Built with CASE rather than array_compact (a lambda), so the
-    # projection stays inside whole-stage codegen.
-    schema_err = F.concat(F.lit(SCHEMA_PREFIX), F.col("_schema_msg"))
-    has_schema_err = F.col("_schema_msg").isNotNull()
-    bad_ts = F.coalesce(F.col("_bad_ts"), F.lit(False))
-    errors = (
-        F.when(has_schema_err & bad_ts, F.array(schema_err, F.lit(ERR_BAD_TIMESTAMP)))
-        .when(has_schema_err, F.array(schema_err))
-        .when(bad_ts, F.array(F.lit(ERR_BAD_TIMESTAMP)))
-        .otherwise(F.array().cast("array<string>"))
+    # 4. the schema's errors and the timestamp rule
+    is_obj = F.col("_dk") == "OBJECT"
+    s5 = with_rules(s4, rules).select(
+        "key", *kept_names, "_dk", "_sk", "_tk", "_src_text", "_src_json", "_ts_text",
+        F.col("_data").isNotNull().alias("_has_data"),
+        F.when(F.col("_rules").isNotNull() & F.col("_data").isNotNull(),
+               rule_errors(F.col("_data"), F.col("_pk"), F.col("_text"), F.col("_rules"))).alias("_failed"),
+        (tk.isNotNull() & (tk == "STRING") & ~is_python_isoformat(F.col("_ts_text"))).alias("_bad_ts"),
     )
+    # 5. outcome. Best error: shallowest instance path, then rule order.
+    failed, has_data = F.col("_failed"), F.col("_has_data")
+    none = F.array().cast("array<string>")
+    late = F.when(F.coalesce(F.col("_bad_ts"), F.lit(False)), F.array(F.lit(ERR_BAD_TIMESTAMP))).otherwise(none)
+    listed = F.coalesce(F.transform(failed, lambda e: F.concat(F.lit(SCHEMA_PREFIX), e["message"])), none)
+    best = F.when(F.size(failed) > 0, F.array(F.concat(F.lit(SCHEMA_PREFIX), F.array_min(failed)["message"]))).otherwise(none)
     error_text = (
         F.when(dk.isNull(), F.lit(ERR_INVALID_JSON))
         .when(~is_obj, F.concat(F.lit("'"), py_type_name_of_kind(dk), F.lit("' object has no attribute 'get'")))
@@ -195,21 +105,23 @@ def validate(documents: DataFrame, key: str = "key", text: str = "text",
         .when(sk.isNull(), F.lit("unknown"))
         .otherwise(F.coalesce(F.col("_src_text"), F.col("_src_json")))
     )
-    s5 = s4.select(
-        "key", source.alias("source"), errors.alias("_errors"), error_text.alias("error"),
-        has_data.alias("_has_data"), F.col("_ts_text"),
-    )
+    s6 = s5.select("key", *kept_names, source.alias("source"), F.concat(best, late).alias("_errors"),
+                   F.concat(listed, late).alias("_all"), error_text.alias("error"),
+                   has_data.alias("_has_data"), "_ts_text")
     has_errors = F.size("_errors") > 0
     status = (
         F.when(F.col("error").isNotNull(), F.lit("error"))
         .when(~F.col("_has_data") | has_errors, F.lit("invalid"))
         .otherwise(F.lit("valid"))
     )
-    out_errors = (
-        F.when(F.col("error").isNotNull(), F.lit(None).cast("array<string>"))
-        .when(~F.col("_has_data"), F.array(F.lit(ERR_MISSING_DATA)))
-        .when(has_errors, F.col("_errors"))
-    )
+
+    def of_invalid(errors: str) -> Column:
+        return (
+            F.when(F.col("error").isNotNull(), F.lit(None).cast("array<string>"))
+            .when(~F.col("_has_data"), F.array(F.lit(ERR_MISSING_DATA)))
+            .when(has_errors, F.col(errors))
+        )
+
     # The result row is emitted through ``inline`` of a one-element array.
     # A filter on the result (``status = 'invalid'``) then stays above the
     # generator and reads the computed columns; without it Catalyst pushes
@@ -220,11 +132,36 @@ def validate(documents: DataFrame, key: str = "key", text: str = "text",
         F.col("key"),
         status.alias("status"),
         F.col("source"),
-        out_errors.alias("errors"),
+        of_invalid("_errors").alias("errors"),
         F.col("error"),
         parse_ts("_ts_text").alias("ts"),
+        of_invalid("_all").alias("all_errors"),
+        *[F.col(n).alias(c) for n, c in zip(kept_names, keep)],
     )
-    return s5.select(F.inline(F.array(row)))
+    return s6.select(F.inline(F.array(row)))
+
+
+def write_split(results: DataFrame, path: str) -> None:
+    """V9: validated documents (``validate(..., keep=("text",))``) in one write,
+    below ``status=valid|invalid|error``: one evaluation, three readable
+    outputs. The path is replaced."""
+    results.hint("rebalance", "status").write.mode("overwrite").partitionBy("status").parquet(path)
+
+
+def read_split(spark: SparkSession, path: str, status: str) -> DataFrame:
+    """One output of ``write_split``."""
+    return spark.read.parquet(path).where(F.col("status") == status)
+
+
+def valid_envelopes(valid: DataFrame) -> DataFrame:
+    """The valid documents (``text``, ``source``, ``ts``) as raw records, for
+    the raw -> processed job: this is how valid data moves on. Documents that
+    are valid without an ingestion time have no raw partition and stay out."""
+    d = strict_json(F.col("text"))
+    parts = raw_partition_values("ts")
+    return valid.where(F.col("ts").isNotNull()).select(
+        iso_text("ts").alias("ingestion_timestamp"), "source", field(d, "metadata").alias("metadata"),
+        field(d, "data").alias("data"), *parts)
 
 
 def summary(results: DataFrame) -> DataFrame:
@@ -235,8 +172,8 @@ def summary(results: DataFrame) -> DataFrame:
 def alerts(results: DataFrame) -> DataFrame:
     """One alert row per invalid document (error rows raise none):
     subject, key and the message text the reference would publish, with the
-    error list as JSON indented by two spaces."""
-    quoted = F.transform("errors", lambda e: F.regexp_extract(F.to_json(F.array(e)), r"^\[(.*)\]$", 1))
+    error list as JSON (ASCII only) indented by two spaces."""
+    quoted = F.transform("errors", json_string)
     listing = F.concat(F.lit("[\n  "), F.array_join(quoted, ",\n  "), F.lit("\n]"))
     return results.filter(F.col("status") == "invalid").select(
         F.lit(ALERT_SUBJECT).alias("subject"),

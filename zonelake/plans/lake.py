@@ -12,7 +12,9 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from zonelake.functions.time import period
 from zonelake.operators.curate import daily_summary, hourly_metrics, source_statistics
 from zonelake.operators.process import process
 from zonelake.sources.tables import documents_to_raw, events_to_raw, load
@@ -28,13 +30,26 @@ RAW_SOURCE = "click"
 
 
 class Lake:
-    def __init__(self, spark: SparkSession, sf_dir: str, hash_mode: str = "sha256"):
+    def __init__(self, spark: SparkSession, sf_dir: str, hash_mode: str = "sha256",
+                 span: tuple[str, str] | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.hash_mode = hash_mode
+        self.span = span
+
+    def during(self, year: int, month: int, day: int | None = None) -> Lake:
+        """The lake of one month or day. A predicate on year, month and day,
+        which are derived from the time, becomes a range of the time itself,
+        which the scan can use to skip files and row groups. (Copies share
+        their time, so deduplication within a range is that of the whole.)"""
+        return Lake(self.spark, self.sf_dir, self.hash_mode, period(year, month, day))
 
     def table(self, name: str) -> DataFrame:
-        return load(self.spark, self.sf_dir, name)
+        df = load(self.spark, self.sf_dir, name)
+        if self.span and name == "events":
+            start, end = (F.lit(t).cast("timestamp_ntz") for t in self.span)
+            df = df.where((F.col("ts") >= start) & (F.col("ts") < end))
+        return df
 
     @cached_property
     def raw(self) -> DataFrame:

@@ -8,6 +8,8 @@ done with DuckDB's own JSON functions (``json_valid``, ``json_type``,
 
 from __future__ import annotations
 
+from zonelake.plans.oracle_validation import VALIDATION_ALERTS, VALIDATION_CTE
+
 REQUESTS_CTE = """
 req AS (
   SELECT CAST(event_id AS VARCHAR) AS request_id, CAST(ts AS TIMESTAMP) AS ts,
@@ -55,111 +57,6 @@ outcomes AS (
   FROM req_c
 )"""
 
-VALIDATION_CTE = """
-docs AS (
-  SELECT 'source=' || event_type || strftime(CAST(ts AS TIMESTAMP), '/year=%Y/month=%m/day=%d/%Y%m%d_%H%M%S_%f')
-           || '_' || CAST(event_id AS VARCHAR) || '.json' AS key,
-    CASE event_id % 10
-      WHEN 0 THEN '{"ingestion_timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '","source":"iot_sensor"'
-                  || ',"data":{"device_id":"dev-' || user_id || '","timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')
-                  || '","readings":{"temperature":' || CAST(value AS VARCHAR) || ',"humidity":' || (event_id % 100) || '}}}'
-      WHEN 1 THEN '{"ingestion_timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '","source":"iot_sensor"'
-                  || ',"data":{"timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '","readings":{"humidity":' || (event_id % 100) || '}}}'
-      WHEN 2 THEN '{"ingestion_timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '","source":"iot_sensor"'
-                  || ',"data":{"device_id":"dev-' || user_id || '","timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')
-                  || '","readings":{"temperature":"warm"}}}'
-      WHEN 3 THEN '{"ingestion_timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '","source":"api_events"'
-                  || ',"data":{"event_type":"' || event_type || '","user_id":"' || user_id || '","timestamp":"'
-                  || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '"}}'
-      WHEN 4 THEN '{"ingestion_timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '","source":"api_events"'
-                  || ',"data":{"event_type":"' || event_type || '","user_id":' || user_id || ',"timestamp":"'
-                  || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '"}}'
-      WHEN 5 THEN '{"ingestion_timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '","source":"' || event_type
-                  || '","data":' || props || '}'
-      WHEN 6 THEN '{"ingestion_timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '","source":"' || event_type || '"}'
-      WHEN 7 THEN '{"ingestion_timestamp":"' || strftime(ts, '%d/%m/%Y %H:%M') || '","source":"' || event_type
-                  || '","data":' || props || '}'
-      WHEN 8 THEN '{"ingestion_timestamp":' || CAST(event_id AS VARCHAR) || ',"source":"' || event_type
-                  || '","data":' || props || '}'
-      ELSE '[' || props || ']'
-    END AS text
-  FROM events
-),
-d1 AS (
-  SELECT key, text, json_valid(text) AS ok, CASE WHEN json_valid(text) THEN json_type(text) END AS dkind
-  FROM docs
-),
-d2 AS (
-  SELECT *,
-    CASE WHEN dkind = 'OBJECT' THEN list_contains(json_keys(text), 'data') END AS has_data,
-    CASE WHEN dkind = 'OBJECT' THEN json_type(text, '$.source') END AS skind,
-    CASE WHEN dkind = 'OBJECT' THEN text ->> '$.source' END AS src,
-    CASE WHEN dkind = 'OBJECT' THEN json_type(text, '$.ingestion_timestamp') END AS tkind,
-    CASE WHEN dkind = 'OBJECT' THEN text ->> '$.ingestion_timestamp' END AS ts_text,
-    CASE WHEN dkind = 'OBJECT' THEN json_type(text, '$.data') END AS pkind,
-    CASE WHEN dkind = 'OBJECT' AND json_type(text, '$.data') = 'OBJECT' THEN json_keys(text, '$.data') END AS pkeys
-  FROM d1
-),
-d3 AS (
-  SELECT *,
-    -- best schema error: shallowest instance path, then keyword order
-    CASE
-      WHEN src = 'iot_sensor' AND skind = 'VARCHAR' THEN CASE
-        WHEN pkind <> 'OBJECT' THEN (text -> '$.data') || ' is not of type ''object'''
-        WHEN NOT list_contains(pkeys, 'device_id') THEN '''device_id'' is a required property'
-        WHEN NOT list_contains(pkeys, 'timestamp') THEN '''timestamp'' is a required property'
-        WHEN NOT list_contains(pkeys, 'readings') THEN '''readings'' is a required property'
-        WHEN json_type(text, '$.data.device_id') <> 'VARCHAR' THEN (text -> '$.data.device_id') || ' is not of type ''string'''
-        WHEN json_type(text, '$.data.timestamp') <> 'VARCHAR' THEN (text -> '$.data.timestamp') || ' is not of type ''string'''
-        WHEN json_type(text, '$.data.readings') <> 'OBJECT' THEN (text -> '$.data.readings') || ' is not of type ''object'''
-        WHEN json_type(text, '$.data.readings.temperature') NOT IN ('UBIGINT', 'BIGINT', 'DOUBLE')
-          THEN '''' || (text ->> '$.data.readings.temperature') || ''' is not of type ''number'''
-        WHEN json_type(text, '$.data.readings.humidity') NOT IN ('UBIGINT', 'BIGINT', 'DOUBLE')
-          THEN '''' || (text ->> '$.data.readings.humidity') || ''' is not of type ''number'''
-      END
-      WHEN src = 'api_events' AND skind = 'VARCHAR' THEN CASE
-        WHEN pkind <> 'OBJECT' THEN (text -> '$.data') || ' is not of type ''object'''
-        WHEN NOT list_contains(pkeys, 'event_type') THEN '''event_type'' is a required property'
-        WHEN NOT list_contains(pkeys, 'user_id') THEN '''user_id'' is a required property'
-        WHEN NOT list_contains(pkeys, 'timestamp') THEN '''timestamp'' is a required property'
-        WHEN json_type(text, '$.data.event_type') <> 'VARCHAR' THEN (text -> '$.data.event_type') || ' is not of type ''string'''
-        WHEN json_type(text, '$.data.user_id') <> 'VARCHAR' THEN (text -> '$.data.user_id') || ' is not of type ''string'''
-        WHEN json_type(text, '$.data.timestamp') <> 'VARCHAR' THEN (text -> '$.data.timestamp') || ' is not of type ''string'''
-      END
-    END AS schema_msg
-  FROM d2
-),
-d4 AS (
-  SELECT *,
-    CASE WHEN NOT ok THEN 'Invalid JSON'
-         WHEN dkind = 'ARRAY' THEN '''list'' object has no attribute ''get'''
-         WHEN dkind <> 'OBJECT' THEN 'not an object'
-         WHEN NOT has_data THEN NULL
-         WHEN tkind IS NOT NULL AND tkind <> 'VARCHAR' THEN 'fromisoformat: argument must be str'
-    END AS error,
-    list_filter([CASE WHEN schema_msg IS NOT NULL THEN 'Schema validation failed: ' || schema_msg END,
-                 CASE WHEN tkind = 'VARCHAR' AND TRY_CAST(ts_text AS TIMESTAMP) IS NULL THEN 'Invalid timestamp format' END],
-                lambda x: x IS NOT NULL) AS errs
-  FROM d3
-),
-validation AS (
-  SELECT key,
-    CASE WHEN error IS NOT NULL THEN 'error'
-         WHEN NOT has_data THEN 'invalid'
-         WHEN len(errs) > 0 THEN 'invalid'
-         ELSE 'valid' END AS status,
-    CASE WHEN dkind <> 'OBJECT' OR dkind IS NULL THEN NULL
-         WHEN skind IS NULL THEN 'unknown'
-         WHEN skind = 'NULL' THEN NULL
-         ELSE src END AS source,
-    CASE WHEN error IS NOT NULL THEN NULL
-         WHEN NOT has_data THEN ['Missing ''data'' field']
-         WHEN len(errs) > 0 THEN errs END AS errors,
-    error,
-    CASE WHEN tkind = 'VARCHAR' THEN TRY_CAST(ts_text AS TIMESTAMP) END AS ts
-  FROM d4
-)"""
-
 ORACLE_SQL: dict[str, str] = {
     "ingest_outcomes": "WITH " + REQUESTS_CTE + """
 SELECT request_id, CAST(NULL AS INTEGER) AS item, status_code,
@@ -171,15 +68,10 @@ SELECT request_id, CAST(NULL AS INTEGER) AS item, status_code,
   CASE WHEN status_code = 200 THEN 'source=' || src || strftime(ts, '/year=%Y/month=%m/day=%d/%Y%m%d_%H%M%S_%f') || '.json' END AS key,
   src AS source, ts
 FROM outcomes""",
-    "validation_results": "WITH " + VALIDATION_CTE + "\nSELECT * FROM validation",
+    "validation_results": "WITH " + VALIDATION_CTE + "\nSELECT * EXCLUDE (text) FROM validation",
     "validation_summary": "WITH " + VALIDATION_CTE + """
 SELECT status, CAST(count(*) AS BIGINT) AS documents FROM validation GROUP BY status""",
-    "validation_alerts": "WITH " + VALIDATION_CTE + """
-SELECT 'Data Validation Failure' AS subject, key,
-  'Validation failed for ' || key || chr(10) || 'Errors: [' || chr(10) || '  '
-    || array_to_string(list_transform(errors, lambda e: '"' || e || '"'), ',' || chr(10) || '  ')
-    || chr(10) || ']' AS message
-FROM validation WHERE status = 'invalid'""",
+    "validation_alerts": "WITH " + VALIDATION_CTE + VALIDATION_ALERTS,
     "validation_metrics": "WITH " + VALIDATION_CTE + """,
 per_text AS (
   SELECT source, date_trunc('hour', ts) AS hour, coalesce(errors[1], error) AS failure,
@@ -260,6 +152,81 @@ KIND_OF = """CASE {t} WHEN 'VARCHAR' THEN 'STRING' WHEN 'UBIGINT' THEN 'BIGINT'
   WHEN 'DOUBLE' THEN 'DECIMAL' WHEN 'NULL' THEN 'VOID' ELSE {t} END"""
 
 
+SCHEMA_DIFF = """,
+payloads AS (
+  SELECT src AS source, text -> '$.data' AS data FROM d2 WHERE skind = 'VARCHAR' AND has_data
+    AND (src IN ('iot_sensor', 'api_events') OR starts_with(src, 'iot_sensor_'))
+),
+profile AS (
+  SELECT source, regexp_replace(fullkey, '\\[[0-9]+\\]', '[*]', 'g') AS path, """ + KIND_OF.format(t="type") + """ AS kind,
+    CAST(count(*) AS BIGINT) AS n
+  FROM (SELECT p.source, t.fullkey, t.type FROM payloads p, json_tree(p.data) t) GROUP BY ALL
+),
+declared(schema, path, declared) AS (VALUES
+  ('iot_sensor', '$', 'object'), ('iot_sensor', '$.device_id', 'string'), ('iot_sensor', '$.timestamp', 'string'),
+  ('iot_sensor', '$.readings', 'object'), ('iot_sensor', '$.readings.temperature', 'number'),
+  ('iot_sensor', '$.readings.humidity', 'number'),
+  ('api_events', '$', 'object'), ('api_events', '$.event_type', 'string'), ('api_events', '$.user_id', 'string'),
+  ('api_events', '$.timestamp', 'string')),
+expected AS (
+  SELECT source, path, declared FROM declared d JOIN
+    (SELECT DISTINCT source, CASE source WHEN 'api_events' THEN 'api_events' ELSE 'iot_sensor' END AS schema FROM profile
+     UNION SELECT 'iot_sensor', 'iot_sensor' UNION SELECT 'api_events', 'api_events') s USING (schema)
+),
+fits(declared, kind) AS (VALUES ('object', 'OBJECT'), ('string', 'STRING'), ('number', 'BIGINT'), ('number', 'DECIMAL'))
+SELECT source, path,
+  CASE WHEN e.declared IS NULL THEN 'added' WHEN p.kind IS NULL THEN 'removed' ELSE 'type_changed' END AS change,
+  e.declared, p.kind, coalesce(p.n, 0) AS values, e.declared IS NOT NULL AS breaking
+FROM profile p FULL JOIN expected e USING (source, path)
+WHERE (e.declared, p.kind) NOT IN (SELECT (declared, kind) FROM fits) OR e.declared IS NULL OR p.kind IS NULL"""
+
+GENERATIONS = """,
+generations AS (
+  SELECT CASE WHEN n IN (0, 3) THEN 1 ELSE 2 END AS version, regexp_replace(src, '^iot_sensor_[0-9]$', 'iot_sensor') AS source,
+    text -> '$.data' AS data
+  FROM (SELECT *, CAST(regexp_extract(key, '_([0-9]+)[.]json$', 1) AS BIGINT) % 16 AS n FROM d2) WHERE n IN (0, 3, 1, 2, 4, 10)
+),
+kinds AS (
+  SELECT version, source, path, string_agg(DISTINCT kind, '|' ORDER BY kind) AS kinds FROM (
+    SELECT version, source, regexp_replace(t.fullkey, '\\[[0-9]+\\]', '[*]', 'g') AS path, """ + KIND_OF.format(t="t.type") + """ AS kind
+    FROM generations g, json_tree(g.data) t) GROUP BY version, source, path
+)"""
+
+SENSOR_TOTALS = """
+SELECT @by, CAST(count(*) AS BIGINT) AS records, CAST(count(data ->> '$.device_id') AS BIGINT) AS devices,
+  CAST(sum(CAST(data ->> '$.readings.humidity' AS BIGINT)) AS BIGINT) AS humidity,
+  CAST(count(*) FILTER (WHERE json_type(data, '$.readings.temperature') = 'VARCHAR') AS BIGINT) AS text_temperatures,
+  CAST(count(*) FILTER (WHERE json_type(data, '$.readings.temperature') IN ('UBIGINT', 'BIGINT', 'DOUBLE')) AS BIGINT) AS number_temperatures,
+  CAST(sum(coalesce(json_array_length(data, '$.readings.tags'), 0)) AS BIGINT) AS tags
+FROM @from GROUP BY @by"""
+
+QUALITY = """,
+records AS (
+  SELECT key, status, source,
+    CASE WHEN tkind = 'VARCHAR' THEN ts_text END AS stamp, d.dkind = 'OBJECT' AND json_exists(d.text, '$.metadata') AS has_meta,
+    d.has_data, strptime(regexp_extract(key, '/([0-9]{8}_[0-9]{6})_[0-9]+_[0-9]+[.]json$', 1), '%Y%m%d_%H%M%S') AS landed,
+    CAST(regexp_extract(key, '_([0-9]+)[.]json$', 1) AS BIGINT) AS number
+  FROM validation JOIN d2 d USING (key)
+),
+tested AS (
+  SELECT key, source, CAST(landed AS DATE) AS partition_date, r.no, r.measure, r.field, r.least,
+    coalesce(CASE r.no
+      WHEN 1 THEN stamp IS NOT NULL WHEN 2 THEN source IS NOT NULL WHEN 3 THEN has_meta WHEN 4 THEN has_data
+      WHEN 5 THEN status = 'valid'
+      WHEN 6 THEN CAST(landed AS DATE) = CAST(TRY_CAST(stamp AS TIMESTAMP) AS DATE)
+      ELSE date_sub('second', TRY_CAST(stamp AS TIMESTAMP), landed + to_hours(number % 36)) <= 86400 END, false) AS ok
+  FROM records, (VALUES (1, 'completeness', 'ingestion_timestamp', 0.9::DOUBLE), (2, 'completeness', 'source', 0.9),
+    (3, 'completeness', 'metadata', 0.9), (4, 'completeness', 'data', 0.9), (5, 'accuracy', 'data', 0.5),
+    (6, 'consistency', 'ingestion_timestamp', 0.95), (7, 'timeliness', 'processing_timestamp', 0.6)) r(no, measure, field, least)
+),
+measured AS (
+  SELECT source, partition_date, measure, field, CAST(count(*) AS BIGINT) AS records,
+    CAST(count(*) FILTER (WHERE ok) AS BIGINT) AS passed, count(*) FILTER (WHERE ok) / count(*) AS share,
+    any_value(least) AS least, count(*) FILTER (WHERE ok) / count(*) < any_value(least) AS missed
+  FROM tested GROUP BY source, partition_date, no, measure, field
+)"""
+
+
 def _more() -> dict[str, str]:
     from zonelake.plans.oracle import CURATED, DOC_RAW_CTE, PROCESSED, RAW, _fill
 
@@ -280,35 +247,12 @@ members AS (
 SELECT source, field, """ + KIND_OF.format(t="json_type(data, '$.\"' || field || '\"')") + """ AS kind,
   CAST(count(*) AS BIGINT) AS records
 FROM members GROUP BY ALL""",
-        "schema_diff": "WITH " + VALIDATION_CTE + """,
-payloads AS (
-  SELECT src AS source, text -> '$.data' AS data FROM d2
-  WHERE skind = 'VARCHAR' AND src IN ('iot_sensor', 'api_events') AND pkind = 'OBJECT'
-),
-profile AS (
-  SELECT source, field, """ + KIND_OF.format(t="json_type(data, '$.\"' || field || '\"')") + """ AS kind,
-    CAST(count(*) AS BIGINT) AS records
-  FROM (SELECT source, unnest(json_keys(data)) AS field, data FROM payloads) GROUP BY ALL
-),
-declared(source, field, declared) AS (VALUES
-  ('iot_sensor', 'device_id', 'string'), ('iot_sensor', 'timestamp', 'string'), ('iot_sensor', 'readings', 'object'),
-  ('api_events', 'event_type', 'string'), ('api_events', 'user_id', 'string'), ('api_events', 'timestamp', 'string'))
-SELECT p.source, p.field, 'added' AS change, CAST(NULL AS VARCHAR) AS declared, p.kind, p.records, false AS breaking
-FROM profile p ANTI JOIN declared d ON p.source = d.source AND p.field = d.field
-UNION ALL
-SELECT p.source, p.field, 'type_changed', d.declared, p.kind, p.records, true
-FROM profile p JOIN declared d ON p.source = d.source AND p.field = d.field
-WHERE NOT ((d.declared = 'string' AND p.kind = 'STRING') OR (d.declared = 'object' AND p.kind = 'OBJECT'))
-UNION ALL
-SELECT d.source, d.field, 'removed', d.declared, CAST(NULL AS VARCHAR), CAST(0 AS BIGINT), true
-FROM declared d ANTI JOIN profile p ON p.source = d.source AND p.field = d.field""",
-        "quality_metrics": PROCESSED + """
-SELECT source, year, month, day, CAST(count(*) AS BIGINT) AS records,
-  count(metadata) / count(*) AS completeness,
-  count(*) FILTER (WHERE starts_with(data, '{')) / count(*) AS accuracy,
-  count(*) FILTER (WHERE make_date(year, month, day) = CAST(CAST(ingestion_timestamp AS TIMESTAMP) AS DATE)) / count(*) AS consistency,
-  count(*) FILTER (WHERE date_sub('second', CAST(ingestion_timestamp AS TIMESTAMP), processing_timestamp) <= 86400) / count(*) AS timeliness
-FROM processed_data GROUP BY source, year, month, day""",
+        "schema_diff": "WITH " + VALIDATION_CTE + SCHEMA_DIFF,
+        "quality_metrics": "WITH " + VALIDATION_CTE + QUALITY + "\nSELECT * FROM measured",
+        "quality_alerts": "WITH " + VALIDATION_CTE + QUALITY + "\nSELECT * EXCLUDE (missed) FROM measured WHERE missed",
+        "quality_failures": "WITH " + VALIDATION_CTE + QUALITY + """
+SELECT key, string_agg(measure || ':' || field, ',' ORDER BY no) AS failed_rules
+FROM tested WHERE NOT ok GROUP BY key""",
         "denormalized": CURATED + """
 SELECT p.*, s.total_records AS source_total_records, s.avg_quality AS source_avg_quality,
        s.first_seen AS source_first_seen, s.last_seen AS source_last_seen
@@ -365,6 +309,41 @@ FROM marked GROUP BY ALL""",
 SELECT source, output,
   CAST(count(*) FILTER (WHERE output <> 'hourly' OR substr(ingestion_timestamp, 18, 2) >= '10') AS BIGINT) AS records
 FROM processed_data, (VALUES ('daily'), ('source'), ('hourly')) o(output) GROUP BY ALL""",
+        "schema_versions": "WITH " + VALIDATION_CTE + GENERATIONS + """
+SELECT source, path,
+  CASE WHEN o.kinds IS NULL THEN 'added' WHEN n.kinds IS NULL THEN 'removed'
+       WHEN o.kinds IN ('BIGINT', 'DECIMAL', 'BIGINT|DECIMAL') AND n.kinds IN ('BIGINT', 'DECIMAL', 'BIGINT|DECIMAL') THEN 'widened'
+       ELSE 'type_changed' END AS change, o.kinds AS old_kinds, n.kinds AS new_kinds,
+  o.kinds IS NOT NULL AND (n.kinds IS NULL OR NOT (o.kinds IN ('BIGINT', 'DECIMAL', 'BIGINT|DECIMAL')
+                                                   AND n.kinds IN ('BIGINT', 'DECIMAL', 'BIGINT|DECIMAL'))) AS breaking
+FROM (SELECT * FROM kinds WHERE version = 1) o FULL JOIN (SELECT * FROM kinds WHERE version = 2) n USING (source, path)
+WHERE o.kinds IS DISTINCT FROM n.kinds""",
+        "merged_versions": "WITH " + VALIDATION_CTE + GENERATIONS + SENSOR_TOTALS.replace("@by", "version").replace(
+            "@from", "generations WHERE source = 'iot_sensor'"),
+        "discovered_table": "WITH " + VALIDATION_CTE + GENERATIONS + SENSOR_TOTALS.replace("@by", "ingestion_date").replace(
+            "@from", """(SELECT text -> '$.data' AS data, CAST(CAST(ts_text AS TIMESTAMP) AS DATE) AS ingestion_date FROM d2
+                     WHERE CAST(regexp_extract(key, '_([0-9]+)[.]json$', 1) AS BIGINT) % 16 IN (0, 1, 2, 10)) g"""),
+        "validated_outputs": "WITH " + VALIDATION_CTE + """
+SELECT status AS output, source, CAST(count(*) AS BIGINT) AS documents, CAST(sum(length(text)) AS BIGINT) AS chars,
+  CAST(sum(coalesce(len(all_errors), 0)) AS BIGINT) AS errors
+FROM validation GROUP BY ALL
+UNION ALL
+SELECT 'processed', source, CAST(count(DISTINCT (ts, CAST(text -> '$.data' AS VARCHAR))) AS BIGINT), 0, 0
+FROM validation WHERE status = 'valid' AND ts IS NOT NULL AND source IS NOT NULL GROUP BY source""",
+        "streaming_validation": "WITH " + VALIDATION_CTE + ", alerts AS (" + VALIDATION_ALERTS + """)
+SELECT status, CAST(count(*) AS BIGINT) AS documents, CAST(sum(length(text)) AS BIGINT) AS chars FROM validation GROUP BY status
+UNION ALL SELECT 'alert', CAST(count(*) AS BIGINT), CAST(sum(length(message)) AS BIGINT) FROM alerts""",
+        "accepted_envelopes": "WITH " + REQUESTS_CTE + """
+SELECT src AS source, strftime(o.ts, '%Y-%m-%dT%H:%M:%S.%f') AS ingestion_timestamp,
+  CASE WHEN json_exists(body, '$.metadata') THEN CAST(body -> '$.metadata' AS VARCHAR) ELSE '{}' END AS metadata,
+  nullif(CAST(body -> '$.data' AS VARCHAR), 'null') AS data,
+  strftime(o.ts, '%Y') AS year, strftime(o.ts, '%m') AS month, strftime(o.ts, '%d') AS day
+FROM outcomes o JOIN req USING (request_id) WHERE status_code = 200""",
+        "curated_tables": CURATED + """
+SELECT 'daily' AS output, source, CAST(make_date(year, month, day) AS VARCHAR) AS period, record_count AS records,
+  avg_quality_score AS quality, first_ingestion AS first FROM daily_summary
+UNION ALL SELECT 'hourly', source, strftime(hour_start, '%Y-%m-%d %H:%M:%S'), events_per_hour, avg_quality, NULL FROM hourly_metrics
+UNION ALL SELECT 'source', source, NULL, total_records, avg_quality, first_seen FROM source_statistics""",
         "freshness_alarms": PROCESSED + """
 SELECT 'no_data' AS rule, source, max(ingestion_timestamp) AS last_data_received,
   date_sub('minute', CAST(max(ingestion_timestamp) AS TIMESTAMP), TIMESTAMP '2024-01-31 01:45:00') AS value, 120 AS threshold

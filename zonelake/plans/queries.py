@@ -45,7 +45,7 @@ def recent_raw(raw: DataFrame, year: int, month: int, day: int, limit: int = 10)
         canonical_json("data").alias("data"),
         canonical_json("metadata").alias("metadata"),
     )
-    return rows.orderBy(F.col("ingestion_timestamp").desc(), "source", F.col("data").asc_nulls_last()).limit(limit)
+    return rows.orderBy(F.col("ingestion_timestamp").desc_nulls_last(), F.col("source").asc_nulls_last(), F.col("data").asc_nulls_last()).limit(limit)
 
 
 def records_by_source(raw: DataFrame) -> DataFrame:
@@ -83,7 +83,7 @@ def raw_by_source(raw: DataFrame, source: str, year: int, month: int, limit: int
         "month",
         "day",
     )
-    return rows.orderBy("ingestion_timestamp", F.col("data").asc_nulls_last()).limit(limit)
+    return rows.orderBy(F.col("ingestion_timestamp").asc_nulls_last(), F.col("data").asc_nulls_last()).limit(limit)
 
 
 # ---------------------------------------------------------- processed zone
@@ -96,7 +96,7 @@ def processed_high_quality(processed: DataFrame, year: int, month: int, day: int
         (F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day)
         & (F.col("quality_score") >= min_score)
     ).select("source", "ingestion_timestamp", "processing_timestamp", "quality_score", "data")
-    return rows.orderBy("ingestion_timestamp", "source", "data").limit(limit)
+    return rows.orderBy(*(F.col(c).asc_nulls_last() for c in ("ingestion_timestamp", "source", "data"))).limit(limit)
 
 
 def quality_by_source(processed: DataFrame, year: int, month: int, high: int = 90) -> DataFrame:
@@ -170,9 +170,10 @@ def duplicate_records(processed: DataFrame, year: int, month: int, top: int = 10
     top_hashes = counts.filter(F.col("duplicate_count") > 1).orderBy(
         F.col("duplicate_count").desc(), F.col("record_hash")
     ).limit(top)
+    # at most ``top`` rows of 64 characters
     return month_rows.join(F.broadcast(top_hashes), "record_hash").select(
         "record_hash", "duplicate_count", "ingestion_timestamp"
-    )
+    ).orderBy(F.col("duplicate_count").desc(), "record_hash", F.col("ingestion_timestamp").asc_nulls_last())
 
 
 def source_quality(processed: DataFrame, year: int, month: int) -> DataFrame:
@@ -180,7 +181,7 @@ def source_quality(processed: DataFrame, year: int, month: int) -> DataFrame:
     of_month = processed.filter((F.col("year") == year) & (F.col("month") == month))
     return of_month.groupBy("source").agg(
         F.count(F.lit(1)).alias("record_count"), F.avg("quality_score").alias("avg_quality")
-    ).orderBy("source")
+    ).orderBy(F.col("source").asc_nulls_last())
 
 
 # ------------------------------------------------------------ curated zone

@@ -68,7 +68,7 @@ def _hourly_metrics(lake: Lake) -> DataFrame:
 @register("recent_raw")
 def _recent_raw(lake: Lake) -> DataFrame:
     """Q1."""
-    return Q.recent_raw(lake.raw, YEAR, MONTH, DAY)
+    return Q.recent_raw(lake.during(YEAR, MONTH, DAY).raw, YEAR, MONTH, DAY)
 
 
 @register("records_by_source")
@@ -80,31 +80,31 @@ def _records_by_source(lake: Lake) -> DataFrame:
 @register("ingestion_rate_by_hour")
 def _ingestion_rate_by_hour(lake: Lake) -> DataFrame:
     """Q3."""
-    return Q.ingestion_rate_by_hour(lake.raw, YEAR, MONTH)
+    return Q.ingestion_rate_by_hour(lake.during(YEAR, MONTH).raw, YEAR, MONTH)
 
 
 @register("processed_high_quality")
 def _processed_high_quality(lake: Lake) -> DataFrame:
     """Q4."""
-    return Q.processed_high_quality(lake.processed, YEAR, MONTH, DAY)
+    return Q.processed_high_quality(lake.during(YEAR, MONTH, DAY).processed, YEAR, MONTH, DAY)
 
 
 @register("quality_by_source")
 def _quality_by_source(lake: Lake) -> DataFrame:
     """Q5."""
-    return Q.quality_by_source(lake.processed, YEAR, MONTH)
+    return Q.quality_by_source(lake.during(YEAR, MONTH).processed, YEAR, MONTH)
 
 
 @register("processing_lag")
 def _processing_lag(lake: Lake) -> DataFrame:
     """Q6."""
-    return Q.processing_lag(lake.processed, YEAR, MONTH)
+    return Q.processing_lag(lake.during(YEAR, MONTH).processed, YEAR, MONTH)
 
 
 @register("daily_report")
 def _daily_report(lake: Lake) -> DataFrame:
     """Q7."""
-    return Q.daily_report(lake.daily_summary, YEAR, MONTH)
+    return Q.daily_report(lake.during(YEAR, MONTH).daily_summary, YEAR, MONTH)
 
 
 @register("source_overview")
@@ -128,7 +128,7 @@ def _week_over_week(lake: Lake) -> DataFrame:
 @register("freshness")
 def _freshness(lake: Lake) -> DataFrame:
     """Q11."""
-    return Q.freshness(lake.processed, YEAR, MONTH, AS_OF)
+    return Q.freshness(lake.during(YEAR, MONTH).processed, YEAR, MONTH, AS_OF)
 
 
 @register("data_volume")
@@ -146,16 +146,16 @@ def _document_volume(lake: Lake) -> DataFrame:
 @register("duplicate_records")
 def _duplicate_records(lake: Lake) -> DataFrame:
     """Q13."""
-    return Q.duplicate_records(lake.processed, YEAR, MONTH)
+    return Q.duplicate_records(lake.during(YEAR, MONTH).processed, YEAR, MONTH)
 
 
 @register("raw_by_source")
 def _raw_by_source(lake: Lake) -> DataFrame:
     """Q14."""
-    return Q.raw_by_source(lake.raw, RAW_SOURCE, YEAR, MONTH)
+    return Q.raw_by_source(lake.during(YEAR, MONTH).raw, RAW_SOURCE, YEAR, MONTH)
 
 
 @register("source_quality")
 def _source_quality(lake: Lake) -> DataFrame:
     """Q15."""
-    return Q.source_quality(lake.processed, YEAR, MONTH)
+    return Q.source_quality(lake.during(YEAR, MONTH).processed, YEAR, MONTH)

@@ -4,20 +4,30 @@ become request bodies and landed documents), so the work grows with them."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonelake.functions.json import field, strict_json, variant_string
+from zonelake import schemas as S
+from zonelake.functions.json import NUMBER_KINDS, canonical_json, field, kind, strict_json, variant_string
 from zonelake.operators import curate as C
+from zonelake.operators import evolution as Ev
 from zonelake.operators import ingest as I
 from zonelake.operators import monitor as M
 from zonelake.operators import quality as Qa
 from zonelake.operators import validate as V
+from zonelake.operators.process import process
+from zonelake.operators.rules import rule_set
+from zonelake.plans.jobs import curate_job, process_job
 from zonelake.plans.lake import AS_OF, Lake
 from zonelake.plans.registry import register
-from zonelake import schemas as S
-from zonelake.schemas import SOURCE_SCHEMAS
-from zonelake.sources.tables import events_to_batches, events_to_documents, events_to_requests, flawed_raw
+from zonelake.schemas import SOURCE_MATCHES, SOURCE_SCHEMAS
+from zonelake.session import scratch_path
+from zonelake.sources import io
+from zonelake.sources.tables import (
+    VALIDATION_TEMPLATES, events_to_batches, events_to_documents, events_to_requests, flawed_raw)
+from zonelake.streaming.incremental import process_stream, validate_stream
 
 
 #: Some sources, not all, are silent for two hours by then.
@@ -40,8 +50,11 @@ def _ingest_outcomes(lake: Lake) -> DataFrame:
 # ------------------------------------------------------------ validation
 
 
-def _validation(lake: Lake) -> DataFrame:
-    return V.validate(events_to_documents(lake.table("events")))
+def _validation(lake: Lake, keep: tuple = ()) -> DataFrame:
+    """Landed documents against the registered schemas, which devices' sources
+    meet by prefix."""
+    rules = rule_set(SOURCE_SCHEMAS, SOURCE_MATCHES)
+    return V.validate(events_to_documents(lake.table("events")), rules=rules, keep=keep)
 
 
 @register("validation_results")
@@ -117,42 +130,195 @@ def _field_profile(lake: Lake) -> DataFrame:
 
 @register("schema_diff")
 def _schema_diff(lake: Lake) -> DataFrame:
-    """D3: landed payloads against the registered source schemas."""
-    return Qa.schema_diff(Qa.field_profile(_document_payloads(lake)), SOURCE_SCHEMAS)
+    """D3: landed payloads, at every depth, against the source schemas."""
+    return Qa.schema_diff(Qa.payload_paths(_document_payloads(lake)), SOURCE_SCHEMAS, SOURCE_MATCHES)
+
+
+def _quality_records(lake: Lake) -> DataFrame:
+    """Landed documents as envelope records with their validation status, the
+    date of the folder they lie in, and a processing time that is up to 35
+    hours after the landing time in their name."""
+    d = _validation(lake, keep=("text",)).withColumn("_d", strict_json(F.col("text")))
+    name = F.regexp_extract("key", r"/([0-9]{8}_[0-9]{6})_[0-9]+_([0-9]+)\.json$", 1)
+    number = F.regexp_extract("key", r"_([0-9]+)\.json$", 1).cast("long")
+    landed = F.to_timestamp_ntz(name, F.lit("yyyyMMdd_HHmmss"))
+    return d.select(
+        "source", variant_string(field("_d", "ingestion_timestamp")).alias("ingestion_timestamp"),
+        field("_d", "metadata").alias("metadata"), field("_d", "data").alias("data"), "status",
+        F.to_date(landed).alias("partition_date"),
+        F.timestamp_add("HOUR", number % 36, landed).alias("processing_timestamp"), "key")
 
 
 @register("quality_metrics")
 def _quality_metrics(lake: Lake) -> DataFrame:
-    """Completeness, accuracy, consistency, timeliness per source/day."""
-    return Qa.quality_metrics(lake.processed)
+    """Seven rules of four measures per source and day."""
+    return Qa.quality_metrics(_quality_records(lake), Qa.quality_rules())
+
+
+@register("quality_alerts")
+def _quality_alerts(lake: Lake) -> DataFrame:
+    """Sources and days that miss the least share of a rule."""
+    return Qa.quality_alerts(Qa.quality_metrics(_quality_records(lake), Qa.quality_rules()))
+
+
+@register("quality_failures")
+def _quality_failures(lake: Lake) -> DataFrame:
+    """Every failing record with the rules it fails."""
+    return Qa.failing_records(_quality_records(lake), Qa.quality_rules()).select(
+        "key", F.array_join("failed_rules", ",").alias("failed_rules"))
 
 
 @register("denormalized")
 def _denormalized(lake: Lake) -> DataFrame:
     """Processed rows with their source statistics, which are written
     first and read back as the curated table."""
-    from zonelake.session import scratch_path
-    from zonelake.sources import io
 
     path = scratch_path(lake.spark, "source_statistics")
     io.write_source_statistics(lake.source_statistics, path)
     return C.denormalize(lake.processed, lake.spark.read.schema(S.SOURCE_STATISTICS).parquet(path))
 
 
+def _sensor_payloads(lake: Lake, *templates: int) -> DataFrame:
+    """Raw records of the landed documents made by some templates."""
+    docs = events_to_documents(lake.table("events").where((F.col("event_id") % VALIDATION_TEMPLATES).isin(*templates)))
+    d = docs.select(strict_json(F.col("text")).alias("_d"))
+    row = F.struct(
+        variant_string(field("_d", "ingestion_timestamp")).alias("ingestion_timestamp"),
+        F.regexp_replace(variant_string(field("_d", "source")), "^iot_sensor_[0-9]$", "iot_sensor").alias("source"),
+        field("_d", "data").alias("data"))
+    # through ``inline``, so that a filter on the source is not pushed into the parsing
+    return d.select(F.inline(F.array(row)))
+
+
+#: Templates of two generations of traffic: the second has text and objects
+#: for temperatures, numbers for users, lists of tags and missing members.
+GENERATIONS = {1: (0, 3), 2: (1, 2, 4, 10)}
+
+
+@register("schema_versions")
+def _schema_versions(lake: Lake) -> DataFrame:
+    """D3: two versions of the payload schemas written to the version table,
+    and the changes between them."""
+    path = scratch_path(lake.spark, "schema_versions")
+    for version, templates in GENERATIONS.items():
+        Ev.write_version(Qa.payload_paths(_sensor_payloads(lake, *templates)), path, version)
+    return Ev.version_changes(Ev.read_versions(lake.spark, path), 1, 2)
+
+
+@register("merged_versions")
+def _merged_versions(lake: Lake) -> DataFrame:
+    """D3: typed files of two versions, each written with its own payload type,
+    read under the merged type."""
+    spark, path = lake.spark, scratch_path(lake.spark, "typed")
+    parts = {v: _sensor_payloads(lake, *t).where("source = 'iot_sensor'") for v, t in GENERATIONS.items()}
+    paths = {v: Qa.payload_paths(p) for v, p in parts.items()}
+    types = {v: Ev.payload_type(p) for v, p in paths.items()}
+    for v, rows in parts.items():
+        Ev.write_typed(rows, types[v], path, v)
+    merged = Ev.payload_type(paths[1].unionByName(paths[2]))
+    rows = Ev.read_merged(spark, path, types, merged)
+    return _sensor_totals(rows, "version")
+
+
+def _sensor_totals(rows: DataFrame, by: str) -> DataFrame:
+    temperature = F.col("data.readings.temperature")
+    return rows.groupBy(by).agg(
+        F.count(F.lit(1)).alias("records"), F.count("data.device_id").alias("devices"),
+        F.sum("data.readings.humidity").alias("humidity"),
+        F.count_if(kind(temperature) == "STRING").alias("text_temperatures"),
+        F.count_if(kind(temperature).isin(*NUMBER_KINDS)).alias("number_temperatures"),
+        F.sum(F.coalesce(F.size("data.readings.tags"), F.lit(0)).cast("long")).alias("tags"))
+
+
+@register("discovered_table")
+def _discovered_table(lake: Lake) -> DataFrame:
+    """A source with conflicting kinds registered as a catalog table from
+    its discovered schema, and read back through the table."""
+    path = scratch_path(lake.spark, "discovered")
+    raw = _sensor_payloads(lake, 0, 1, 2, 10).where("source = 'iot_sensor'")
+    ddl = Ev.payload_type(Qa.payload_paths(raw))
+    table = Ev.register_discovered(lake.spark, path.rsplit("/", 1)[1].replace("-", "_"), raw, ddl, path)
+    return _sensor_totals(table, "ingestion_date")
+
+
+@register("validated_outputs")
+def _validated_outputs(lake: Lake) -> DataFrame:
+    """V9: validated documents in one split write, each output read back, and
+    the valid ones moved on through raw -> processed."""
+    path = scratch_path(lake.spark, "validated")
+    V.write_split(_validation(lake, keep=("text",)), path)
+    outputs = {s: V.read_split(lake.spark, path, s) for s in ("valid", "invalid", "error")}
+    moved = process(V.valid_envelopes(outputs["valid"]), processing_time="2024-02-01 00:00:00")
+    rows = [df.select(F.lit(s).alias("output"), "source", F.length("text").alias("chars"),
+                      F.size(F.coalesce("all_errors", F.array())).alias("errors")) for s, df in outputs.items()]
+    rows.append(moved.select(F.lit("processed").alias("output"), "source", F.lit(0).alias("chars"), F.lit(0).alias("errors")))
+    return reduce(DataFrame.unionByName, rows).groupBy("output", "source").agg(
+        F.count(F.lit(1)).alias("documents"), F.sum("chars").alias("chars"), F.sum("errors").alias("errors"))
+
+
+@register("streaming_validation")
+def _streaming_validation(lake: Lake) -> DataFrame:
+    """Landed documents as a stream, each micro-batch validated once and
+    written as results by status and as alerts."""
+    spark, root = lake.spark, scratch_path(lake.spark, "streaming_validation")
+    docs = events_to_documents(lake.table("events"))
+    docs.repartition(3, "key").write.parquet(f"{root}/landed")
+    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/landed")
+    validate_stream(stream, f"{root}/results", f"{root}/alerts", f"{root}/checkpoint",
+                    rules=rule_set(SOURCE_SCHEMAS, SOURCE_MATCHES)).awaitTermination()
+    results = spark.read.parquet(f"{root}/results").select("status", F.length("text").alias("chars"))
+    sent = spark.read.parquet(f"{root}/alerts").select(F.lit("alert").alias("status"), F.length("message").alias("chars"))
+    return results.unionByName(sent).groupBy("status").agg(
+        F.count(F.lit(1)).alias("documents"), F.sum("chars").alias("chars"))
+
+
+@register("accepted_envelopes")
+def _accepted_envelopes(lake: Lake) -> DataFrame:
+    """The raw records of accepted requests, with the metadata default,
+    the time stamp and the partition values, landed and read back."""
+    path = scratch_path(lake.spark, "accepted")
+    io.write_raw(I.accepted(I.classify(_requests(lake))), path)
+    return io.read_raw(lake.spark, path).select(
+        "source", "ingestion_timestamp", canonical_json("metadata").alias("metadata"), canonical_json("data").alias("data"),
+        "year", "month", "day")
+
+
+@register("curated_tables")
+def _curated_tables(lake: Lake) -> DataFrame:
+    """The job's three written tables, read back."""
+    root = scratch_path(lake.spark, "curated")
+    io.write_processed(lake.processed, f"{root}/processed")
+    curate_job(lake.spark, f"{root}/processed", f"{root}/curated")
+    read = lambda name, schema: io.read_curated(lake.spark, f"{root}/curated/{name}", schema)
+    daily = read("daily_summary", S.DAILY_SUMMARY)
+    hourly = read("hourly_metrics", S.HOURLY_METRICS)
+    stats = read("source_statistics", S.SOURCE_STATISTICS)
+    day = F.make_date("year", "month", "day").cast("string")
+    none = F.lit(None).cast("string")
+    return (daily.select(F.lit("daily").alias("output"), "source", day.alias("period"), F.col("record_count").alias("records"),
+                         F.col("avg_quality_score").alias("quality"), F.col("first_ingestion").alias("first"))
+            .unionByName(hourly.select(F.lit("hourly").alias("output"), "source", F.col("hour_start").cast("string").alias("period"),
+                                       F.col("events_per_hour").alias("records"), F.col("avg_quality").alias("quality"),
+                                       none.alias("first")))
+            .unionByName(stats.select(F.lit("source").alias("output"), "source", none.alias("period"),
+                                      F.col("total_records").alias("records"), F.col("avg_quality").alias("quality"),
+                                      F.col("first_seen").alias("first"))))
+
+
 @register("quarantine")
 def _quarantine(lake: Lake) -> DataFrame:
     """The raw zone with broken timestamps, missing payloads and
-    exact copies, through the batch job; rows per output and partition."""
-    from zonelake.plans.jobs import process_job
-    from zonelake.session import scratch_path
-    from zonelake.sources import io
-
+    exact copies, through the batch job with its run ledger: the first days,
+    the same again (nothing new), then the rest; rows per output and
+    partition."""
     root = scratch_path(lake.spark, "quarantine")
-    io.write_raw(flawed_raw(lake.raw.drop("_processing_ts")), f"{root}/raw")
-    process_job(lake.spark, f"{root}/raw", f"{root}/processed", f"{root}/quarantine",
-                processing_time="2024-02-01 00:00:00")
+    raw = flawed_raw(lake.raw.drop("_processing_ts"))
+    for part in (F.col("day") <= "20", F.lit(False), F.col("day") > "20"):
+        io.write_raw(raw.where(part), f"{root}/raw")
+        process_job(lake.spark, f"{root}/raw", f"{root}/processed", f"{root}/quarantine", ledger_path=f"{root}/ledger",
+                    processing_time="2024-02-01 00:00:00")
     kept = io.read_processed(lake.spark, f"{root}/processed")
-    apart = lake.spark.read.schema(S.PROCESSED).parquet(f"{root}/quarantine")
+    apart = lake.spark.read.schema(S.PROCESSED).parquet(f"{root}/quarantine").select(*S.PROCESSED.fieldNames())
     rows = kept.withColumn("output", F.lit("processed")).unionByName(apart.withColumn("output", F.lit("quarantine")))
     return rows.groupBy("output", "source", "year", "month", "day").agg(
         F.count(F.lit(1)).alias("records"), F.sum("quality_score").alias("score"))
@@ -215,9 +381,6 @@ def _incremental_process(lake: Lake) -> DataFrame:
     part an ``availableNow`` stream processes the new files into the
     processed zone. Result: rows per processed partition and a sum over
     their fingerprints, which must equal the batch job's."""
-    from zonelake.session import scratch_path
-    from zonelake.sources import io
-    from zonelake.streaming.incremental import process_stream
 
     spark = lake.spark
     root = scratch_path(spark, "incremental")

@@ -132,3 +132,11 @@ SOURCE_SCHEMAS = {
         },
     },
 }
+
+# Which sources the schemas are for, as (schema, match, pattern). Devices send
+# ``iot_sensor_<n>``; the reference looks up exact names only.
+SOURCE_MATCHES = (
+    ("iot_sensor", "exact", "iot_sensor"),
+    ("iot_sensor", "prefix", "iot_sensor_"),
+    ("api_events", "exact", "api_events"),
+)

@@ -83,6 +83,34 @@ def read_curated(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
+def read_raw_files(spark: SparkSession, root: str, files: list[str]) -> DataFrame:
+    """S1 for some files of the raw zone ``root`` (hive layout)."""
+    return spark.read.schema(S.RAW_TABLE).option("basePath", root).json(files).select(*S.RAW_TABLE.fieldNames())
+
+
+def list_files(spark: SparkSession, root: str, pattern: str = "*.json") -> DataFrame:
+    """``path, length`` of the files below ``root``; contents are not read."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+            .load(root).select("path", "length"))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, in whatever store it names."""
+    fs, p = _store(spark, path)
+    return fs.exists(p)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder of a finished job."""
+    fs, p = _store(spark, path)
+    fs.delete(p, True)
+
+
+def _store(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 # ------------------------------------------------------------------ writers
 
 

@@ -120,7 +120,7 @@ def events_to_requests(events: DataFrame) -> DataFrame:
 
 
 # Raw documents for the validator, one per event, chosen by
-# ``event_id % 10``. Fixed templates (source, payload):
+# ``event_id % 16``. Fixed templates (source, payload):
 #   0  iot_sensor, complete reading              -> valid
 #   1  iot_sensor, device_id missing             -> invalid (required)
 #   2  iot_sensor, temperature is a string       -> invalid (type, depth 2)
@@ -131,7 +131,15 @@ def events_to_requests(events: DataFrame) -> DataFrame:
 #   7  bad ingestion_timestamp text              -> invalid (timestamp)
 #   8  ingestion_timestamp is a number           -> error
 #   9  document is a JSON array                  -> error
-VALIDATION_TEMPLATES = 10
+#  10  iot_sensor_<0-2>, complete, metadata      -> valid (schema by prefix)
+#  11  iot_sensor_<0-2>, four errors, quotes,
+#      containers and reals to print             -> invalid
+#  12  no source                                 -> valid ('unknown')
+#  13  api_events, payload is an array           -> invalid (type, depth 0)
+#  14  source is null, no schema                 -> valid (source NULL)
+#  15  iot_sensor_<0-2>, temperature is an
+#      object, bad timestamp                     -> invalid (two errors)
+VALIDATION_TEMPLATES = 16
 
 
 def events_to_documents(events: DataFrame) -> DataFrame:
@@ -143,6 +151,7 @@ def events_to_documents(events: DataFrame) -> DataFrame:
     uid = F.col("user_id").cast("string")
     temp = F.col("value").cast("string")
     hum = (F.col("event_id") % 100).cast("string")
+    device = F.concat(F.lit("iot_sensor_"), (F.col("event_id") % 3).cast("string"))
 
     def obj(*parts) -> Column:
         return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
@@ -164,6 +173,15 @@ def events_to_documents(events: DataFrame) -> DataFrame:
                             ',"source":"', F.col("event_type"), '","data":', F.col("props"), "}"))
         .when(sel == 8, obj('{"ingestion_timestamp":', F.col("event_id").cast("string"), ',"source":"', F.col("event_type"),
                             '","data":', F.col("props"), "}"))
+        .when(sel == 10, obj(head(device), ',"metadata":{"batch":', uid, '},"data":{"device_id":', dev, ',"timestamp":', q(ts_text),
+                             ',"readings":{"temperature":', temp, ',"humidity":', hum, ',"tags":["a",', hum, "]}}}"))
+        .when(sel == 11, obj(head(device), ',"data":{"readings":{"humidity":true,"temperature":"it\'s ', hum, '"},"device_id":["it\'s",',
+                             temp, ',null,{"z":1.50,"a":"é"}]}}'))
+        .when(sel == 12, obj('{"ingestion_timestamp":', q(ts_text), ',"data":', F.col("props"), "}"))
+        .when(sel == 13, obj(head("api_events"), ',"data":[', F.col("props"), ",", hum, "]}"))
+        .when(sel == 14, obj('{"ingestion_timestamp":', q(ts_text), ',"source":null,"data":', F.col("props"), "}"))
+        .when(sel == 15, obj('{"ingestion_timestamp":"soon","source":"', device, '","data":{"device_id":', dev, ',"timestamp":', q(ts_text),
+                             ',"readings":{"temperature":{"value":', hum, ',"unit":"°C"},"humidity":', hum, "}}}"))
         .otherwise(obj("[", F.col("props"), "]"))
     )
     key = F.concat(

@@ -8,6 +8,7 @@
 * ``dedup_stream`` (X2): streaming deduplication with bounded state.
 * ``hourly_metrics_stream`` (X3): windowed counts with a watermark.
 * ``ingest_stream`` (X1): request files -> raw zone + outcomes.
+* ``validate_stream`` (X1): landed documents -> results by status + alerts.
 
 Checkpoints must live in shared storage (the session's
 ``spark.checkpoint.dir`` on a cluster).
@@ -23,6 +24,8 @@ from zonelake import schemas as S
 from zonelake.functions.time import parse_ts, utc_naive
 from zonelake.operators import ingest as I
 from zonelake.operators import process as P
+from zonelake.operators import validate as V
+from zonelake.operators.rules import RuleSet
 from zonelake.session import ensure_checkpoint_dir
 from zonelake.sources import io
 
@@ -61,7 +64,7 @@ def process_stream(spark: SparkSession, raw_path: str, processed_path: str, chec
         rows = P.process(batch, processing_time=processing_time, hash_mode=hash_mode).checkpoint()
         _replace_batch(P.quarantine(rows), quarantine_path, batch_id)
         out = P.valid_rows(rows)
-        if _exists(spark, processed_path):
+        if io.exists(spark, processed_path):
             out = P.exclude_existing(out, io.read_processed(spark, processed_path))
         io.write_processed(out, processed_path)
 
@@ -122,11 +125,23 @@ def ingest_stream(spark: SparkSession, requests_path: str, raw_path: str, outcom
     return _trigger(w, available_now, interval).start()
 
 
-def _replace_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def validate_stream(documents: DataFrame, results_path: str, alerts_path: str, checkpoint: str, rules: RuleSet | None = None,
+                    available_now: bool = True, interval: str | None = None) -> StreamingQuery:
+    """A stream of landed documents (``key, text``) validated; each
+    micro-batch is evaluated once and checkpointed, then written as results with
+    their documents (below ``batch_id=<n>/status=<s>``) and as alert rows for
+    the invalid ones. Both folders of a batch are replaced when it is retried,
+    so a failure between the writes gives no alert twice."""
+    ensure_checkpoint_dir(documents.sparkSession)
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        results = V.validate(batch, rules=rules, keep=("text",)).checkpoint()
+        V.write_split(results, f"{results_path}/batch_id={batch_id}")
+        _replace_batch(V.alerts(results), alerts_path, batch_id)
+
+    w = documents.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    return _trigger(w, available_now, interval).start()
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def _replace_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
