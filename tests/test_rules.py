@@ -53,6 +53,8 @@ def test_rule_sets_are_tables(spark, tmp_path):
         R.rule_set({"x": {"pattern": "a"}})
     with pytest.raises(ValueError):
         R.rule_set(SOURCE_SCHEMAS, [("iot_sensor", "suffix", "x")])
+    with pytest.raises(ValueError):
+        R.rule_set({"x": {"required": ["both ' and \""]}})
 
 
 def test_all_errors_in_order_and_the_best_one(spark):
@@ -92,7 +94,7 @@ def plain_paths(value, path="$"):
     yield path, kinds[type(value)]
     if isinstance(value, dict):
         for k, v in value.items():
-            yield from plain_paths(v, f"{path}.{k}" if k.isascii() and k.isidentifier() else R.member_path(path, k))
+            yield from plain_paths(v, Qa.member(path, k))
     if isinstance(value, list):
         for v in value:
             yield from plain_paths(v, f"{path}[*]")

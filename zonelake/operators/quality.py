@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonelake.functions.json import kind, top_kind
-from zonelake.operators.rules import ACCEPTS, member_path, schema_of
+from zonelake.operators.rules import ACCEPTS, schema_of
 from zonelake.session import scratch_path
 
 
@@ -110,6 +110,14 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def member(path: str, name: str) -> str:
+    """The path of a member as ``payload_paths`` writes it."""
+    if name.isascii() and name.isidentifier():
+        return f"{path}.{name}"
+    escaped = name.replace("\\", "\\\\").replace("'", "\\'")
+    return f"{path}['{escaped}']"
+
+
 def declared_paths(schemas: Mapping[str, Mapping]) -> list[tuple[str, str, str]]:
     """(schema, path, JSON-Schema type) of every declared property, any depth."""
     out = []
@@ -118,8 +126,7 @@ def declared_paths(schemas: Mapping[str, Mapping]) -> list[tuple[str, str, str]]
         if "type" in sub:
             out.append((name, path, sub["type"]))
         for p, below in sub.get("properties", {}).items():
-            plain = p.isascii() and p.isidentifier()
-            walk(name, below, f"{path}.{p}" if plain else member_path(path, p))
+            walk(name, below, member(path, p))
 
     for name, schema in schemas.items():
         walk(name, schema, "$")

@@ -37,8 +37,11 @@ class RuleSet(NamedTuple):
 
 
 def member_path(path: str, name: str) -> str:
-    escaped = name.replace("\\", "\\\\").replace("'", "\\'")
-    return f"{path}['{escaped}']"
+    """The path of a member for VARIANT lookups, which know no escapes."""
+    if not name or "?" in name or "'" in name and '"' in name:
+        raise ValueError(f"no lookup path for a member named {name!r}")
+    quote = '"' if "'" in name else "'"
+    return f"{path}[{quote}{name}{quote}]"
 
 
 def rule_rows(name: str, schema: Mapping) -> list[tuple]:
@@ -169,7 +172,7 @@ def rule_errors(payload: Column, payload_kind: Column, document: Column, rules:
         text = F.call_function("get_json_object", document, F.concat(F.lit("$['data']"), F.substr(path, F.lit(2))))
         return (F.when(k == "VOID", F.lit("None")).when(k == "BOOLEAN", F.initcap(F.to_json(v)))
                 .when(k == "STRING", py_str(F.try_variant_get(v, "$", "string")))
-                .otherwise(F.coalesce(py_json(text), F.to_json(v))))
+                .otherwise(py_json(F.coalesce(text, F.to_json(v)))))
 
     def message(r: Column) -> Column:
         shown = let(kind_at(r["path"]), lambda k: printed(value(r["path"]), k, r["path"]))
