@@ -62,7 +62,7 @@ EAST_MARKS = re.compile("[\u3000-\u3004\u3008-\u3020\u3030\u30fb\uff01-\uff0f\uf
 UNSPACED = re.compile("([\u0e01-\u0eff\u0f00-\u109f\u1780-\u17ff\u1950-\u19df\u1a20-\u1aaf\u3005-\u3007\u3021-\u302f"
                       "\u3031-\u30fa\u30fc-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\ua000-\ua4cf"
                       "\ua9e0-\ua9ff\uaa60-\uaa7f\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U0003ffff])")
-GROUPS = 16  # partial sums are added in this many groups before the driver adds them
+GROUPS = 16  # ranges of a sum, each added up by one reducer
 
 
 def words(text: str) -> list[int]:
@@ -132,7 +132,12 @@ def passages(ids: np.ndarray, counts: np.ndarray, axes: np.ndarray, idf: np.ndar
 
 def summed(table: DataFrame, fn, width: int) -> np.ndarray:
     """``width`` numbers to which ``fn(ids, counts, total)`` adds for every
-    slice, summed per task, then per group of tasks, then on the driver."""
+    slice. As many tasks as the cluster runs at a time share the slices, so the
+    number of partial sums follows the cluster and not the data; a sum is cut
+    into ranges, each added up by one reducer, and only the ranges' totals reach
+    the driver."""
+    ends = np.linspace(0, width, GROUPS + 1).astype(np.int64)
+    schema = pa.schema([("part", pa.int32()), ("total", pa.binary())])
 
     def per_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
@@ -143,22 +148,49 @@ def summed(table: DataFrame, fn, width: int) -> np.ndarray:
                 if len(ids):
                     fn(ids, unsqueeze(b, np.int64), total)
         if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([squeeze(total)], pa.binary())], names=["total"])
+            for k in range(GROUPS):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k], pa.int32()), pa.array([squeeze(total[ends[k]:ends[k + 1]])], pa.binary())], schema=schema)
 
-    def per_group(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(width)
+    def per_range(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own: dict[int, np.ndarray] = {}
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                total += unsqueeze(t, np.float64)
-        yield pa.RecordBatch.from_arrays([pa.array([squeeze(total)], pa.binary())], names=["total"])
-
-    groups = table.select("ids", "counts").mapInArrow(per_task, "total binary").repartition(GROUPS)
+            for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                x = unsqueeze(t, np.float64)
+                own[k] = own[k] + x if k in own else x
+        for k, x in own.items():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([squeeze(x)], pa.binary())], schema=schema)
+
+    tasks = max(2 * table.sparkSession.sparkContext.defaultParallelism, 1)
+    parts = table.select("ids", "counts").coalesce(tasks).mapInArrow(per_task, "part int, total binary")
     total = np.zeros(width)
-    for r in groups.mapInArrow(per_group, "total binary").toLocalIterator():
-        total += unsqueeze(bytes(r[0]), np.float64)
+    for r in parts.repartition(GROUPS, "part").mapInArrow(per_range, "part int, total binary").toLocalIterator():
+        total[ends[r[0]]:ends[r[0] + 1]] = unsqueeze(bytes(r[1]), np.float64)
     return total
 
 
+def bucket_sums(rows: np.ndarray, passage: np.ndarray, b: np.ndarray, bits: int, few: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct buckets of the words ``b`` and, for each, the sum of its words'
+    passages' ``rows``. Rare buckets add one word of each at a time, frequent
+    ones go through a count matrix."""
+    order = b.astype(np.uint16).argsort(kind="stable") if bits <= 16 else b.argsort(kind="stable")
+    b, at = b[order], passage[order]
+    first = np.flatnonzero(np.diff(b, prepend=-1))
+    n = np.diff(first, append=len(b))
+    out = np.zeros((len(first), rows.shape[1]), dtype=rows.dtype)
+    for k in range(few):
+        rare = np.flatnonzero((n > k) & (n <= few))
+        out[rare] += rows[at[first[rare] + k]]
+    often = np.flatnonzero(n > few)
+    step = max((1 << 18) // max(len(rows), 1), 1)
+    for k in range(0, len(often), step):
+        own = often[k:k + step]
+        word = np.repeat(first[own] - (np.cumsum(n[own]) - n[own]), n[own]) + np.arange(n[own].sum())
+        pair = np.repeat(np.arange(len(own)), n[own]) * len(rows) + at[word]
+        out[own] = np.bincount(pair, minlength=len(own) * len(rows)).reshape(len(own), -1).astype(rows.dtype) @ rows
+    return b[first], out
+
+
 def word_table(docs: DataFrame) -> DataFrame:
     """Slices of documents as arrays: ``doc_ids, known, ids, counts``."""
 
@@ -209,10 +241,8 @@ def latent_axes(table: DataFrame, s: Settings, seed: int = 11) -> tuple[np.ndarr
         text = np.repeat(np.arange(len(counts)), counts)
         nth = np.arange(len(ids)) - np.repeat(np.cumsum(counts) - counts, counts)
         passage = (np.cumsum(runs) - runs)[text] + nth // s.size
-        back = rows / np.sqrt(norm + 1e-9)[:, None]
-        order = b.astype(np.uint16).argsort(kind="stable") if s.bits <= 16 else b.argsort(kind="stable")
-        firsts = np.flatnonzero(np.diff(b[order], prepend=-1))
-        total.reshape(size, wide)[b[order][firsts]] += np.add.reduceat(back[passage[order]], firsts, axis=0)
+        own, back = bucket_sums(rows / np.sqrt(norm + 1e-9)[:, None], passage, b, s.bits)
+        total.reshape(size, wide)[own] += back
 
     q, _ = np.linalg.qr(summed(table, power, size * wide).reshape(size, wide) * idf[:, None])
     basis = with_zero((q * idf[:, None]).astype(np.float32))
@@ -383,18 +413,66 @@ def block_matches(table: DataFrame, latent: tuple, items: list[tuple], s: Settin
                 step = max((1 << 21) // len(target), 1)
                 for k in range(0, len(x), step):
                     cosine = x[k:k + step] @ target.T
-                    p, w = np.divmod(np.flatnonzero(cosine >= s.cosine), len(target))
-                    item, own = owner[w], spot[k + p]
-                    bits = member[item[:, None], b[own] >> 3] >> (7 - (b[own] & 7)) & 1
-                    share = (value[own] * bits).sum(axis=1)
-                    fits = np.flatnonzero(share >= s.overlap * np.minimum(whole[k + p], weight[item]))
-                    for j in fits.tolist():
-                        judge(best, ids, counts, begin, int(text[k + p[j]]), int(at[k + p[j]]), int(item[j]),
-                              float(cosine[p[j], w[j]]), items)
+                    near = np.flatnonzero(cosine >= s.cosine)
+                    p, w = np.divmod(near, len(target))
+                    # the windows of an item meet a passage once, at their best cosine
+                    p, item, close = best_of(p, owner[w], cosine.reshape(-1)[near])
+                    p += k
+                    fits = weighs(spot[p], item, whole[p], b, value, member, weight)
+                    p, item, close = p[fits], item[fits], close[fits]
+                    may = could(ids, begin[text[p]], at[p], counts[text[p]], item, items)
+                    for t, a, i, c in zip(text[p[may]].tolist(), at[p[may]].tolist(), item[may].tolist(), close[may].tolist()):
+                        judge(best, ids, counts, begin, t, a, i, c, items)
                 rows = [(int(doc[t]) if known[t] else None, items[k][0], *v) for (t, k), v in sorted(best.items())]
                 if rows:
                     yield as_batch(rows)
 
+    def best_of(p, item, cosine):
+        """Distinct (passage, item) pairs with their largest cosine; pairs come
+        sorted, as an item's windows stand together."""
+        first = np.flatnonzero((np.diff(p, prepend=-1) != 0) | (np.diff(item, prepend=-1) != 0))
+        return p[first], item[first], np.maximum.reduceat(cosine, first) if len(first) else cosine
+
+    def weighs(spot, item, whole, b, value, member, weight) -> np.ndarray:
+        """Which pairs share enough of their words' weight."""
+        out = np.zeros(len(item), dtype=bool)
+        for k in range(0, len(item), 1 << 11):
+            own, i = spot[k:k + (1 << 11)], item[k:k + (1 << 11)]
+            bits = member[i[:, None], b[own] >> 3] >> (7 - (b[own] & 7)) & 1
+            share = (value[own] * bits).sum(axis=1)
+            out[k:k + (1 << 11)] = share >= s.overlap * np.minimum(whole[k:k + (1 << 11)], weight[i])
+        return out
+
+    def could(ids, begin, at, counts, item, items) -> np.ndarray:
+        """Which pairs' stretches hold enough of the item's words: all its
+        words, however often the stretch has them, an upper bound of what
+        ``judge`` counts. Compared as arrays, items of like length together."""
+        lengths = np.fromiter((len(i[1]) for i in items), np.int64, len(items))[item]
+        out = np.zeros(len(item), dtype=bool)
+        order, k = np.argsort(lengths, kind="stable"), 0
+        while k < len(order):
+            # as many pairs as fit, by the longest item among them
+            n = 1
+            while k + n < len(order) and n < 4096 and 2 * n * lengths[order[min(k + 2 * n, len(order)) - 1]] * (
+                    s.size + 2 * lengths[order[min(k + 2 * n, len(order)) - 1]]) <= 1 << 23:
+                n *= 2
+            rows = order[k:k + n]
+            most = int(lengths[rows].max())
+            low = np.maximum(at[rows] - lengths[rows], 0)
+            high = np.minimum(at[rows] + s.size + lengths[rows], counts[rows])
+            place = low[:, None] + np.arange(s.size + 2 * most)
+            stretch = np.where(place < high[:, None], ids[np.minimum(begin[rows][:, None] + place, len(ids) - 1)].astype(np.int64), -1)
+            own = np.full((len(rows), most), -2, dtype=np.int64)
+            for r, i in enumerate(item[rows].tolist()):
+                own[r, :len(items[i][1])] = items[i][1]
+            if most <= 512:
+                have = (own[:, :, None] == stretch[:, None, :]).any(axis=2).sum(axis=1)
+            else:
+                have = np.array([np.isin(a, c).sum() for a, c in zip(own, stretch)])
+            out[rows] = have / lengths[rows] >= min(s.likely, s.sure)
+            k += n
+        return out
+
     def as_batch(rows) -> pa.RecordBatch:
         return pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], schema=arrow)
 
