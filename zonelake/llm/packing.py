@@ -20,6 +20,8 @@ from __future__ import annotations
 
 import os
 import re
+import string
+import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -68,16 +70,26 @@ class ChunkEncoder:
     encoded once and kept, up to ``keep`` chunks and as many older ones.
     Chunks of Latin letters are one word each, which its last token marks as
     ended: they are encoded many at a time, in lower case (as the tokenizer
-    does). A chunk of such letters and closing marks is the word's ids and the
-    marks' ids."""
+    does) and by the model and byte alphabet alone: on such words the rest of
+    the tokenizer (composition, lower case, splitting) does nothing, which is
+    checked on the words themselves. A chunk of such letters and closing ASCII
+    marks is the word's ids and the marks' ids (one run of marks is one word)."""
 
-    MARKS = ".,;:!?"
+    MARKS = string.punctuation
 
     def __init__(self, path: str, keep: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.bare = Tokenizer.from_file(path)
+        self.bare.normalizer = None
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        # the shortcut is for tokenizers built this way; others take their own path for every word
+        probe = "abc ünïcödé straße ƀ zzzqx"
+        if self.ids(self.bare, probe).tolist() != self.ids(self.tokenizer, probe).tolist():
+            self.bare = self.tokenizer
         self.keep = keep
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -85,11 +97,15 @@ class ChunkEncoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
+    @staticmethod
+    def ids(tokenizer, text: str) -> np.ndarray:
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+
     def words(self, words: list[str]) -> None:
         for k in range(0, len(words), 2000):
             part = words[k:k + 2000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids,
-                           dtype="<u4")
+            text = " ".join(part)
+            ids = self.ids(self.bare if unicodedata.is_normalized("NFC", text) else self.tokenizer, text)
             ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
             if len(ends) != len(part):
                 raise ValueError("the tokenizer's words do not end with a marked token")
@@ -115,7 +131,7 @@ class ChunkEncoder:
                 continue
             head = chunk.rstrip(self.MARKS)
             # Latin letters up to U+017F: composed, and lower case letter by letter but for U+0130
-            if head.isalpha() and max(head) < "\u0180" and "\u0130" not in head:
+            if head.isalpha() and (head.isascii() or max(head) < "\u0180" and "\u0130" not in head):
                 low, tail = head.lower(), chunk[len(head):]
                 plain.add(low)
                 if low != chunk:
@@ -135,8 +151,8 @@ class ChunkEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         per_text = [chunks_of(t) for t in texts]
         self.learn(set().union(*per_text))
-        known = self.known
-        return [b"".join([known[c] for c in chunks]) for chunks in per_text]
+        ids_of = self.known.__getitem__
+        return [b"".join(map(ids_of, chunks)) for chunks in per_text]
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
