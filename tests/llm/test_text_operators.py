@@ -261,6 +261,20 @@ def test_common_subsequence_equals_dynamic_program():
         assert decontaminate.common_subsequence(a, b) == t[-1, -1]
 
 
+def test_words_and_bucket_sums_of_slices_equal_plain_ones():
+    texts = ["Ab, c-d  é!", "", " \t", "日本x語。a", "A" * 50, "\x00\x1fz", "ab ab ab"]
+    ids, counts = decontaminate.words_of(texts)
+    assert ids.tolist() == [w for t in texts for w in decontaminate.words(t)]
+    assert counts.tolist() == [len(decontaminate.words(t)) for t in texts]
+    assert [len(x) for x in decontaminate.words_of([""])] == [0, 1]
+    rng = np.random.default_rng(2)
+    rows, passage, b = rng.normal(size=(50, 5)), rng.integers(0, 50, 4000), rng.zipf(1.3, 4000) % 700
+    own, got = decontaminate.bucket_sums(rows, passage, b, 15)
+    want = np.zeros((700, 5))
+    np.add.at(want, b, rows[passage])
+    assert np.allclose(want[own], got) and not want[np.setdiff1d(np.arange(700), own)].any()
+
+
 def test_decontamination_finds_copies_and_paraphrases(spark):
     rng = np.random.default_rng(7)
     words = [f"{a}{b}{c}" for a in "bcdfgklm" for b in "aeiou" for c in "nrst"]

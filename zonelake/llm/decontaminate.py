@@ -52,6 +52,7 @@ from pyspark.sql import functions as F
 
 from zonelake.llm.blocks import squeeze, unsqueeze
 from zonelake.llm.common import cut_lineage, fresh, map_slices, shared_table, texts_of
+from zonelake.llm.words import owner, runs, strings
 from zonelake.session import ensure_checkpoint_dir
 
 MARKS = bytes.maketrans(bytes(c for c in range(128) if not chr(c).isalnum()),
@@ -65,10 +66,28 @@ UNSPACED = re.compile("([\u0e01-\u0eff\u0f00-\u109f\u1780-\u17ff\u1950-\u19df\u1
 GROUPS = 16  # ranges of a sum, each added up by one reducer
 
 
-def words(text: str) -> list[int]:
+def spaced(text: str) -> bytes:
+    """The text's words, in lower case, between spaces."""
     if not text.isascii():
         text = UNSPACED.sub(r" \1 ", EAST_MARKS.sub(" ", text))
-    return list(map(crc32, text.lower().encode("utf-8", "replace").translate(MARKS).split()))
+    return text.lower().encode("utf-8", "replace").translate(MARKS)
+
+
+def words(text: str) -> list[int]:
+    return list(map(crc32, spaced(text).split()))
+
+
+def words_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``words`` of all texts in a row, and how many each has; a word that
+    occurs often is hashed once."""
+    parts = [spaced(t) for t in texts]
+    starts = np.concatenate([[0], np.cumsum([len(p) + 1 for p in parts], dtype=np.int64)])
+    data = np.frombuffer(b" ".join(parts) + b" ", dtype=np.uint8)
+    inside = data != 32
+    first, end = runs(inside)
+    coded = strings(data, first, end, inside)
+    hashes = np.fromiter(map(crc32, coded.dictionary.to_pylist()), np.uint32, len(coded.dictionary))
+    return hashes[coded.indices.to_numpy(zero_copy_only=False)], np.bincount(owner(first, starts), minlength=len(texts))
 
 
 @dataclass
@@ -195,9 +214,7 @@ def word_table(docs: DataFrame) -> DataFrame:
     """Slices of documents as arrays: ``doc_ids, known, ids, counts``."""
 
     def run(part: pa.RecordBatch) -> pa.RecordBatch:
-        per_text = [words(t) for t in texts_of(part)]
-        counts = np.array([len(w) for w in per_text], dtype=np.int64)
-        ids = np.fromiter((w for t in per_text for w in t), np.uint32, int(counts.sum()))
+        ids, counts = words_of(texts_of(part))
         known = part.column(0).is_valid().to_numpy(zero_copy_only=False)
         doc = part.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
         return pa.RecordBatch.from_arrays(
@@ -409,7 +426,9 @@ def block_matches(table: DataFrame, latent: tuple, items: list[tuple], s: Settin
                 first = begin[text] + at
                 spot = first[:, None] + np.arange(s.size)
                 spot = np.where(spot < (begin + counts)[text][:, None], spot, len(ids))
-                whole = value[spot].sum(axis=1)
+                worth = value[spot]
+                whole = worth.sum(axis=1)
+                byte, bit = (b >> 3)[spot], (7 - (b & 7)).astype(np.uint8)[spot]
                 step = max((1 << 21) // len(target), 1)
                 for k in range(0, len(x), step):
                     cosine = x[k:k + step] @ target.T
@@ -418,7 +437,7 @@ def block_matches(table: DataFrame, latent: tuple, items: list[tuple], s: Settin
                     # the windows of an item meet a passage once, at their best cosine
                     p, item, close = best_of(p, owner[w], cosine.reshape(-1)[near])
                     p += k
-                    fits = weighs(spot[p], item, whole[p], b, value, member, weight)
+                    fits = weighs(p, item, worth, whole, byte, bit, member, weight)
                     p, item, close = p[fits], item[fits], close[fits]
                     may = could(ids, begin[text[p]], at[p], counts[text[p]], item, items)
                     for t, a, i, c in zip(text[p[may]].tolist(), at[p[may]].tolist(), item[may].tolist(), close[may].tolist()):
@@ -433,14 +452,15 @@ def block_matches(table: DataFrame, latent: tuple, items: list[tuple], s: Settin
         first = np.flatnonzero((np.diff(p, prepend=-1) != 0) | (np.diff(item, prepend=-1) != 0))
         return p[first], item[first], np.maximum.reduceat(cosine, first) if len(first) else cosine
 
-    def weighs(spot, item, whole, b, value, member, weight) -> np.ndarray:
+    def weighs(p, item, worth, whole, byte, bit, member, weight) -> np.ndarray:
         """Which pairs share enough of their words' weight."""
         out = np.zeros(len(item), dtype=bool)
+        flat = member.reshape(-1)
         for k in range(0, len(item), 1 << 11):
-            own, i = spot[k:k + (1 << 11)], item[k:k + (1 << 11)]
-            bits = member[i[:, None], b[own] >> 3] >> (7 - (b[own] & 7)) & 1
-            share = (value[own] * bits).sum(axis=1)
-            out[k:k + (1 << 11)] = share >= s.overlap * np.minimum(whole[k:k + (1 << 11)], weight[i])
+            at, i = p[k:k + (1 << 11)], item[k:k + (1 << 11)]
+            bits = flat.take(byte[at] + (i * member.shape[1])[:, None]) >> bit[at] & 1
+            share = np.einsum("ij,ij->i", worth[at], bits.astype(worth.dtype))
+            out[k:k + (1 << 11)] = share >= s.overlap * np.minimum(whole[at], weight[i])
         return out
 
     def could(ids, begin, at, counts, item, items) -> np.ndarray:
