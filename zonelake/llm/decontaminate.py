@@ -42,6 +42,7 @@ import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -52,7 +53,6 @@ from pyspark.sql import functions as F
 
 from zonelake.llm.blocks import squeeze, unsqueeze
 from zonelake.llm.common import cut_lineage, fresh, map_slices, shared_table, texts_of
-from zonelake.llm.words import owner, runs, strings
 from zonelake.session import ensure_checkpoint_dir
 
 MARKS = bytes.maketrans(bytes(c for c in range(128) if not chr(c).isalnum()),
@@ -78,16 +78,10 @@ def words(text: str) -> list[int]:
 
 
 def words_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """``words`` of all texts in a row, and how many each has; a word that
-    occurs often is hashed once."""
-    parts = [spaced(t) for t in texts]
-    starts = np.concatenate([[0], np.cumsum([len(p) + 1 for p in parts], dtype=np.int64)])
-    data = np.frombuffer(b" ".join(parts) + b" ", dtype=np.uint8)
-    inside = data != 32
-    first, end = runs(inside)
-    coded = strings(data, first, end, inside)
-    hashes = np.fromiter(map(crc32, coded.dictionary.to_pylist()), np.uint32, len(coded.dictionary))
-    return hashes[coded.indices.to_numpy(zero_copy_only=False)], np.bincount(owner(first, starts), minlength=len(texts))
+    """``words`` of all texts in a row, and how many each has."""
+    per_text = [words(t) for t in texts]
+    counts = np.fromiter(map(len, per_text), np.int64, len(per_text))
+    return np.fromiter(chain.from_iterable(per_text), np.uint32, int(counts.sum())), counts
 
 
 @dataclass
