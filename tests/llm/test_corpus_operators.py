@@ -6,6 +6,7 @@ import math
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 import xxhash
 
 from zonelake.llm import hnsw, katz, simhash, substrings
@@ -138,6 +139,37 @@ def test_repeated_substrings_match_brute_force(spark):
     assert substrings.repeated_spans(frame.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("clusters", [1, 40, 400])
+def test_nearest_neighbours_on_tight_clusters(spark, clusters):
+    rng = np.random.default_rng(clusters)
+    centre = rng.normal(size=(clusters, 64))
+    v = centre[rng.integers(0, clusters, 8000)] + rng.normal(size=(8000, 64)) * 0.006
+    frame = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(v)], "vec_id long, embedding array<double>")
+    asked = np.arange(0, 8000, 80)
+    got: dict[int, set] = {}
+    for r in hnsw.nearest(frame, frame.where("vec_id % 80 = 0"), k=20, block_rows=30, lane_blocks=2).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    score = v[asked] @ v.T
+    score[np.arange(len(asked)), asked] = -np.inf
+    true = np.argsort(-score, axis=1)[:, :20]
+    hits = [len(got[int(q)] & set(t.tolist())) for q, t in zip(asked, true)]
+    assert np.mean(hits) / 20 >= 0.95 and min(hits) > 0
+
+
+def test_every_graph_node_is_reachable():
+    rng = np.random.default_rng(5)
+    for v in (np.repeat(np.eye(6), 70, axis=0) + rng.normal(size=(420, 6)) * 1e-4, rng.normal(size=(500, 3)), np.ones((1, 4))):
+        x, tables, entry = hnsw.build(v, 2)
+        for level, table in enumerate(tables):
+            seen, front = {entry}, [entry]
+            while front:
+                front = list({int(n) for f in front for n in table[f] if n >= 0} - seen)
+                seen.update(front)
+            assert seen >= set(np.flatnonzero((table >= 0).any(axis=1)).tolist())
+            if level == 0:
+                assert len(seen) == len(x)
+
+
 def test_nearest_neighbours_reach_the_recall(spark):
     rng = np.random.default_rng(5)
     v = rng.normal(size=(1500, 24)) * rng.uniform(0.5, 2, (1500, 1))

@@ -7,13 +7,14 @@ of 32-bit neighbour numbers). Queries are grouped into blocks; every shard
 answers every block with a best-first search down the levels, and the shard
 results are merged by score. Shards and blocks are of bounded size, and a
 (shard, block) pair is one unit of work, so neither side has to fit anywhere
-as a whole.
+as a whole. A shard's graph is read once for several blocks.
 
 Largest inner product is turned into nearest neighbour by one more component,
 sqrt(R^2 - |x|^2) with R the shard's largest norm. Equal vectors of a shard
 are one node that carries all their ids, so a very common vector does not
-clog the graph. Building takes candidates for a node among the nodes already
-in its level, in blocks, and keeps those nearer to it than to a kept one.
+clog the graph. Nodes are inserted in random order: a node's candidates are the
+nearest of the nodes already in its level, in blocks, and those nearer to it
+than to a kept one stay. Every node of a level can be reached from its entry.
 
 Scores are exact inner products in double precision of the original vectors.
 
@@ -34,7 +35,8 @@ from pyspark.sql import functions as F
 
 from zonelake.llm.common import shared_table
 
-DEGREE, BASE_DEGREE = 16, 32
+DEGREE, BASE_DEGREE = 16, 64
+UPPER_WIDTH = 32
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -50,7 +52,6 @@ def levels_of(n: int, seed: int) -> np.ndarray:
     """Geometric levels, so that each one holds about 1/DEGREE of the one below."""
     u = np.random.default_rng(seed).random(n)
     level = np.floor(-np.log(u) / np.log(DEGREE)).astype(int)
-    level[0] = level.max()  # the entry point
     return level
 
 
@@ -69,40 +70,80 @@ def diverse(dist: np.ndarray, between: np.ndarray, degree: int) -> np.ndarray:
     return keep | spare & (np.cumsum(spare, axis=1) <= room[:, None])
 
 
-def level_graph(x: np.ndarray, nodes: np.ndarray, degree: int, wide: int = 48, block: int = 256) -> np.ndarray:
-    """Neighbour table (all vectors x degree, -1 where empty) of one level:
-    each node's diverse neighbours, and the links back, thinned the same way."""
-    table = np.full((len(x), degree), -1, dtype=np.int32)
-    if len(nodes) < 2:
-        return table
-    y, wide = x[nodes], min(wide, len(nodes) - 1)
-    square = (y * y).sum(axis=1)
-    forward = []
-    for at in range(0, len(nodes), block):
-        d = square[at:at + block, None] + square - 2 * y[at:at + block] @ y.T
-        d[np.arange(len(d)), np.arange(at, at + len(d))] = np.inf
-        near = np.argpartition(d, wide - 1, axis=1)[:, :wide]
-        dist = np.take_along_axis(d, near, axis=1)
-        order = dist.argsort(axis=1, kind="stable")
-        near, dist = np.take_along_axis(near, order, axis=1), np.take_along_axis(dist, order, axis=1)
-        z = y[near]
-        between = square[near][:, :, None] + square[near][:, None, :] - 2 * z @ z.transpose(0, 2, 1)
-        r, c = np.nonzero(diverse(dist, between, degree // 2))
-        forward.append(np.stack([r + at, near[r, c]], axis=1))
-    edges = np.concatenate(forward)
-    both = np.unique(np.concatenate([edges, edges[:, ::-1]]), axis=0)
-    d = ((y[both[:, 0]] - y[both[:, 1]]) ** 2).sum(axis=1)
-    both = both[np.lexsort((d, both[:, 0]))]
-    first = np.searchsorted(both[:, 0], np.arange(len(nodes)))
-    nth = np.arange(len(both)) - first[both[:, 0]]
-    fits = nth < degree
-    table[nodes[both[fits, 0]], nth[fits]] = nodes[both[fits, 1]]
-    # a node whose links back were all thinned away must stay reachable
-    linked = np.zeros(len(x), dtype=bool)
-    linked[table[table >= 0]] = True
-    for k in np.flatnonzero(~linked[nodes]):
-        other = table[nodes[k]][0]
-        table[other, degree - 1] = nodes[k]
+def nearest_first(dist: np.ndarray, wide: int) -> np.ndarray:
+    """Columns of the ``wide`` least of each row, in order."""
+    near = np.argpartition(dist, wide - 1, axis=1)[:, :wide] if wide < dist.shape[1] else np.tile(
+        np.arange(dist.shape[1]), (len(dist), 1))
+    return np.take_along_axis(near, np.take_along_axis(dist, near, axis=1).argsort(axis=1, kind="stable"), axis=1)
+
+
+def level_graph(x: np.ndarray, nodes: np.ndarray, degree: int, wide: int = 64, block: int = 256) -> np.ndarray:
+    """Neighbour table (all vectors x degree, -1 where empty) of one level.
+    ``nodes`` are inserted in the order given, the first one is the entry: a
+    node links to diverse ones among the nearest of those before it, and these
+    links stay, so that the early nodes' long ones do. The other half of a row
+    takes links back from later nodes, thinned the same way."""
+    n, half = len(nodes), degree // 2
+    own = np.full((n, degree), -1, dtype=np.int32)  # by insertion order
+    if n > 1:
+        y = x[nodes]
+        square = (y * y).sum(axis=1)
+
+        def chosen(near, dist, room):
+            z = y[near]
+            between = square[near][:, :, None] + square[near][:, None, :] - 2 * z @ z.transpose(0, 2, 1)
+            return np.nonzero(diverse(dist, between, room))
+
+        forward = []
+        for at in range(1, n, block):
+            end = min(at + block, n)
+            d = square[at:end, None] + square[:end] - 2 * y[at:end] @ y[:end].T
+            d[np.arange(end) >= np.arange(at, end)[:, None]] = np.inf  # inserted later
+            near = nearest_first(d, wide)
+            r, c = chosen(near, np.take_along_axis(d, near, axis=1), half)
+            forward.append(np.stack([r + at, near[r, c]], axis=1))
+        edges = np.concatenate(forward)
+        own[edges[:, 0], np.arange(len(edges)) - np.searchsorted(edges[:, 0], edges[:, 0])] = edges[:, 1]
+        d = ((y[edges[:, 0]] - y[edges[:, 1]]) ** 2).sum(axis=1)
+        back = edges[np.lexsort((d, edges[:, 1]))][:, ::-1]
+        nth = np.arange(len(back)) - np.searchsorted(back[:, 0], back[:, 0])
+        dist = np.full((n, wide), np.inf, dtype=y.dtype)
+        near = np.zeros((n, wide), dtype=np.int64)
+        back, nth = back[nth < wide], nth[nth < wide]
+        near[back[:, 0], nth] = back[:, 1]
+        dist[back[:, 0], nth] = ((y[back[:, 0]] - y[back[:, 1]]) ** 2).sum(axis=1)
+        for at in range(0, n, block):
+            r, c = chosen(near[at:at + block], dist[at:at + block], half)
+            own[r + at, half + np.arange(len(r)) - np.searchsorted(r, r)] = near[r + at, c]
+        own = reachable(y, own)
+    table = np.full((len(x), own.shape[1]), -1, dtype=np.int32)
+    table[nodes] = np.where(own >= 0, nodes[own], -1)
+    return table
+
+
+def reachable(y: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The table with every node reachable from the first one: a node that no
+    path leads to is linked from the nearest reachable node with an empty
+    place; where there is none, the table gets one more column."""
+    done = np.zeros(len(y), dtype=bool)
+
+    def spread(front: np.ndarray) -> None:
+        while len(front):
+            done[front] = True
+            front = np.unique(table[front])
+            front = front[front >= 0]
+            front = front[~done[front]]
+
+    spread(np.array([0]))
+    while not done.all():
+        k = int(np.argmin(done))
+        free = np.flatnonzero(done & (table < 0).any(axis=1))
+        if not len(free):
+            table = np.pad(table, ((0, 0), (0, 1)), constant_values=-1)
+            free = np.flatnonzero(done)
+        other = free[((y[free] - y[k]) ** 2).sum(axis=1).argmin()]
+        table[other, np.argmin(table[other])] = k
+        spread(np.array([k]))
     return table
 
 
@@ -111,42 +152,25 @@ def build(v: np.ndarray, seed: int) -> tuple[np.ndarray, list[np.ndarray], int]:
     norm = (v * v).sum(axis=1)
     x = np.concatenate([v, np.sqrt(np.maximum(norm.max() - norm, 0))[:, None]], axis=1).astype(np.float32)
     level = levels_of(len(x), seed)
-    tables = [level_graph(x, np.flatnonzero(level >= k), DEGREE if k else BASE_DEGREE)
+    order = np.random.default_rng(seed + 1).permutation(len(x))
+    order = order[(-level[order]).argsort(kind="stable")]  # upper nodes come first, so their links are long below, too
+    entry = int(order[0])
+    tables = [level_graph(x, order[level[order] >= k], DEGREE if k else BASE_DEGREE)
               for k in range(level.max() + 1)]
-    return x, tables, 0
-
-
-def search(x: np.ndarray, tables: list[np.ndarray], entry: int, q: np.ndarray, width: int) -> np.ndarray:
-    """Best-first search of all queries at once; per query the ``width`` best
-    nodes found (-1 where fewer), best first. ``q`` has the zero component."""
-    n, rows = len(x), np.arange(len(q))
-    at = np.full(len(q), entry)
-    score = (x[at] * q).sum(axis=1)
-    for table in tables[:0:-1]:  # greedy descent
-        while True:
-            near = table[at]
-            s = np.where(near >= 0, np.einsum("qkd,qd->qk", x[near], q), -np.inf)
-            k = s.argmax(axis=1)
-            better = s[rows, k] > score
-            if not better.any():
-                break
-            at = np.where(better, near[rows, k], at)
-            score = np.where(better, s[rows, k], score)
-    seen = np.zeros((len(q), n), dtype=bool)
-    seen[rows, at] = True
+    return x, tables, entry
+
+
+def walk(x: np.ndarray, table: np.ndarray, q: np.ndarray, start: np.ndarray, width: int) -> np.ndarray:
+    """Best-first search of one level for all queries at once, from each
+    query's row of ``start`` (distinct nodes, -1 where fewer); per query the
+    ``width`` best nodes found, best first."""
+    rows = np.arange(len(q))
+    seen = np.zeros((len(q), len(x)), dtype=bool)
     best = np.full((len(q), width), -1, dtype=np.int64)
     value = np.full((len(q), width), -np.inf, dtype=np.float32)
     opened = np.ones((len(q), width), dtype=bool)
-    best[:, 0], value[:, 0], opened[:, 0] = at, score, False
-    live = rows
-    while len(live):
-        k = np.where(opened[live], -np.inf, value[live]).argmax(axis=1)
-        going = ~opened[live, k]
-        live, k = live[going], k[going]
-        if not len(live):
-            break
-        opened[live, k] = True
-        near = tables[0][best[live, k]]
+
+    def meet(live: np.ndarray, near: np.ndarray) -> None:
         fresh = (near >= 0) & ~seen[live[:, None], np.maximum(near, 0)]
         r, c = np.nonzero(fresh)
         seen[live[r], near[r, c]] = True
@@ -159,9 +183,32 @@ def search(x: np.ndarray, tables: list[np.ndarray], entry: int, q: np.ndarray, w
         best[live] = np.take_along_axis(ids, order, axis=1)
         value[live] = np.take_along_axis(vals, order, axis=1)
         opened[live] = np.take_along_axis(done, order, axis=1)
+
+    meet(rows, start)
+    live = rows
+    while len(live):
+        k = np.where(opened[live], -np.inf, value[live]).argmax(axis=1)
+        going = ~opened[live, k]
+        live, k = live[going], k[going]
+        if not len(live):
+            break
+        opened[live, k] = True
+        meet(live, table[best[live, k]])
     return best
 
 
+def search(x: np.ndarray, tables: list[np.ndarray], entry: int, q: np.ndarray, width: int,
+           upper: int = UPPER_WIDTH) -> np.ndarray:
+    """The ``width`` best nodes found for each query (-1 where fewer), best
+    first. All nodes that a level finds, up to ``upper``, are where the next
+    one starts, so a query is not bound to the cluster it came down in. ``q``
+    has the zero component."""
+    found = np.full((len(q), 1), entry, dtype=np.int64)
+    for k in range(len(tables) - 1, -1, -1):
+        found = walk(x, tables[k], q, found, width if k == 0 else min(upper, width))
+    return found
+
+
 def exact_scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * b).sum(axis=-1)
 
@@ -200,25 +247,33 @@ def query_blocks(queries: DataFrame, blocks: int) -> DataFrame:
     return dealt.groupBy("block", "dim").applyInPandas(one, "block int, dim int, qids binary, q binary")
 
 
-def answer(row, k: int, width: int) -> pd.DataFrame:
+class Graph:
+    """A row of ``index``, opened."""
+
+    def __init__(self, row):
+        self.key = (row.shard, row.dim, row.lane)
+        self.ids, self.offsets = np.frombuffer(row.ids, np.int64), np.frombuffer(row.offsets, np.int64)
+        self.v = np.frombuffer(row.v, np.float64).reshape(-1, row.dim)
+        norm = (self.v * self.v).sum(axis=1)
+        self.x = np.concatenate([self.v, np.sqrt(np.maximum(norm.max() - norm, 0))[:, None]], axis=1).astype(np.float32)
+        self.tables = [np.frombuffer(t, np.int32).reshape(len(self.x), -1) for t in row.tables]
+        self.entry = int(row.entry)
+
+
+def answer(g: Graph, row, k: int, width: int) -> pd.DataFrame:
     """The ``k`` best of one shard for each query of one block, own id apart."""
-    ids, offsets = np.frombuffer(row.ids, np.int64), np.frombuffer(row.offsets, np.int64)
-    v = np.frombuffer(row.v, np.float64).reshape(-1, row.dim)
-    norm = (v * v).sum(axis=1)
-    x = np.concatenate([v, np.sqrt(np.maximum(norm.max() - norm, 0))[:, None]], axis=1).astype(np.float32)
-    tables = [np.frombuffer(t, np.int32).reshape(len(x), -1) for t in row.tables]
     qids, q = np.frombuffer(row.qids, np.int64), np.frombuffer(row.q, np.float64).reshape(-1, row.dim)
     out = []
     for at in range(0, len(q), 256):
         part = q[at:at + 256]
-        found = search(x, tables, row.entry, np.pad(part, ((0, 0), (0, 1))).astype(np.float32), width)
+        found = search(g.x, g.tables, g.entry, np.pad(part, ((0, 0), (0, 1))).astype(np.float32), width)
         r, c = np.nonzero(found >= 0)
         node = found[r, c]
-        score = exact_scores(v[node], part[r])
+        score = exact_scores(g.v[node], part[r])
         # each node stands for its first k + 1 ids: one of them may be the query's own
-        copies = np.minimum(offsets[node + 1] - offsets[node], k + 1)
-        pick = np.repeat(offsets[node], copies) + np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies)
-        hit = pd.DataFrame({"query_id": qids[at:at + 256][np.repeat(r, copies)], "vec_id": ids[pick],
+        copies = np.minimum(g.offsets[node + 1] - g.offsets[node], k + 1)
+        pick = np.repeat(g.offsets[node], copies) + np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies)
+        hit = pd.DataFrame({"query_id": qids[at:at + 256][np.repeat(r, copies)], "vec_id": g.ids[pick],
                             "score": np.repeat(score, copies)})
         hit = hit[hit["query_id"] != hit["vec_id"]].sort_values(
             ["query_id", "score", "vec_id"], ascending=[True, False, True])
@@ -227,25 +282,36 @@ def answer(row, k: int, width: int) -> pd.DataFrame:
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, width: int = 160,
-            shard_rows: int = 8192, block_rows: int = 2048) -> DataFrame:
+            shard_rows: int = 8192, block_rows: int = 2048, lane_blocks: int = 16) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row of ``queries`` its
-    ``k`` nearest other rows of ``vectors`` found (both ``vec_id, embedding``)."""
+    ``k`` nearest other rows of ``vectors`` found (both ``vec_id, embedding``).
+    A task opens a shard's graph and passes a lane of ``lane_blocks`` query
+    blocks along it."""
     base = shared_table(usable(vectors), "vectors")
     asked = usable(queries)
     shards = max(1, -(-base.count() // shard_rows))
     graphs = shared_table(index(base, shards), "hnsw")
     blocks = max(1, -(-asked.count() // block_rows))
+    lanes = -(-blocks // lane_blocks)
     # each block goes to every shard: a stated query set against all rows, in blocks
-    spread = query_blocks(asked, blocks).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    pairs = (graphs.join(spread, ["shard", "dim"])
-             .repartition(min(shards * blocks, 100_000), "shard", "block"))
+    spread = (query_blocks(asked, blocks)
+              .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+              .withColumn("lane", F.floor(F.col("block") / lane_blocks).cast("int")).drop("block"))
+    laned = graphs.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
+    streams = (laned.unionByName(spread, allowMissingColumns=True)
+               .repartition(min(shards * lanes, 100_000), "shard", "dim", "lane")
+               .sortWithinPartitions("shard", "dim", "lane", F.col("qids").isNotNull()))
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        graph = None
         for pdf in batches:
             for row in pdf.itertuples():
-                yield answer(row, k, width)
+                if row.qids is None:
+                    graph = Graph(row)
+                elif graph is not None and graph.key == (row.shard, row.dim, row.lane):
+                    yield answer(graph, row, k, width)
 
-    found = pairs.mapInPandas(run, "query_id long, vec_id long, score double")
+    found = streams.mapInPandas(run, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
