@@ -32,7 +32,7 @@ def test_language_id_edges(spark):
     kept = langid.keep_known(docs, model)
     assert kept.schema == docs.schema and kept.count() == 6
     empty = docs.where("false")
-    assert langid.train(empty).languages == []
+    assert langid.train(empty).starts == []
     assert langid.predict(docs, langid.train(empty)).where("lang_pred != 'und'").count() == 0
 
 
@@ -42,11 +42,27 @@ def test_language_scores_match_a_plain_sum(spark):
     text = "the mat und schön"
     ids, starts, counts, _ = langid.gram_ids(["katze", text], 10)
     span = slice(starts[1], starts[1] + counts[1])
+    block = model.block(0)
     logs = [float(row[ids[0][span]].sum() + row[ids[1][span]].sum()) + p
-            for row, p in zip(model.log_prob.astype(float), model.log_prior)]
-    names, score = model.predict(["katze", text])
-    assert names[1] == model.languages[int(np.argmax(logs))]
-    assert score[1] == pytest.approx(1 / np.exp(np.array(logs) - max(logs)).sum(), rel=1e-4)
+            for row, p in zip(block.log_prob.astype(float), block.log_prior)]
+    asked = spark.createDataFrame([(1, "katze"), (2, text)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in langid.predict(asked, model).collect()}
+    assert got[2]["lang_pred"] == block.names[int(np.argmax(logs))]
+    assert got[2]["score"] == pytest.approx(1 / np.exp(np.array(logs) - max(logs)).sum(), rel=1e-4)
+
+
+def test_languages_in_blocks_give_the_same(spark):
+    rng = np.random.default_rng(4)
+    rows = [(k, " ".join("".join(rng.choice(list("abcdefgh")[k % 7:k % 7 + 2], 5)) for _ in range(6)), f"l{k % 7}", 0, 0.5)
+            for k in range(70)] + [(70, None, "l1", 0, 0.5), (71, "12", "l2", 0, 0.5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, best_mass long, best_log double")
+    whole, cut = langid.train(docs, bits=8), langid.train(docs, bits=8, block_languages=3)
+    assert [len(m.starts) for m in (whole, cut)] == [1, 3]
+    a, b = (sorted(langid.predict(docs, m).collect()) for m in (whole, cut))
+    assert [r[:2] for r in a] == [r[:2] for r in b]
+    assert np.allclose([r[2] for r in a], [r[2] for r in b], rtol=1e-9)
+    kept = langid.keep_known(docs, cut)
+    assert kept.schema == docs.schema and kept.count() == langid.keep_known(docs, whole).count() > 0
 
 
 def test_toxicity_learns_and_handles_edges(spark):
