@@ -293,13 +293,14 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, width: int = 16
     graphs = shared_table(index(base, shards), "hnsw")
     blocks = max(1, -(-asked.count() // block_rows))
     lanes = -(-blocks // lane_blocks)
+    tasks = min(shards * lanes, 100_000)
     # each block goes to every shard: a stated query set against all rows, in blocks
     spread = (query_blocks(asked, blocks)
               .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
               .withColumn("lane", F.floor(F.col("block") / lane_blocks).cast("int")).drop("block"))
     laned = graphs.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
     streams = (laned.unionByName(spread, allowMissingColumns=True)
-               .repartition(min(shards * lanes, 100_000), "shard", "dim", "lane")
+               .repartitionById(tasks, ((F.col("shard") * lanes + F.col("lane")) % tasks).cast("int"))
                .sortWithinPartitions("shard", "dim", "lane", F.col("qids").isNotNull()))
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
