@@ -39,6 +39,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -271,17 +272,28 @@ def latent_axes(table: DataFrame, s: Settings, seed: int = 11) -> tuple[np.ndarr
     return (basis @ turn).astype(np.float32), idf32, (got[wide * wide:] / n @ turn).astype(np.float32)
 
 
-def common_subsequence(a: list[int], b: list[int]) -> int:
-    """Length of the longest common subsequence, by bit-parallel rows."""
+def places(a: list[int]) -> dict[int, int]:
+    """Where each word stands, as bits."""
     masks: dict[int, int] = {}
     for k, x in enumerate(a):
         masks[x] = masks.get(x, 0) | 1 << k
-    full = (1 << len(a)) - 1
+    return masks
+
+
+def subsequence(n: int, masks: Iterable[int]) -> int:
+    """Length of the longest common subsequence of ``n`` words and others
+    given by their places among them, by bit-parallel rows."""
+    full = (1 << n) - 1
     v = full
-    for y in b:
-        u = v & masks.get(y, 0)
+    for m in masks:
+        u = v & m
         v = ((v + u) | (v - u)) & full
-    return len(a) - v.bit_count()
+    return n - v.bit_count()
+
+
+def common_subsequence(a: list[int], b: list[int]) -> int:
+    masks = places(a)
+    return subsequence(len(a), [masks[y] for y in b if y in masks])
 
 
 def last_sentence(text: str) -> list[int]:
@@ -400,6 +412,7 @@ def block_matches(table: DataFrame, latent: tuple, items: list[tuple], s: Settin
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         axes, idf, mean, target, owner, items, member, weight, short = shared.value
+        spots: dict[int, dict[int, int]] = {}
         for batch in batches:
             for a, b, c, d in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 ids, counts = unsqueeze(a, np.uint32), unsqueeze(b, np.int64)
@@ -435,7 +448,7 @@ def block_matches(table: DataFrame, latent: tuple, items: list[tuple], s: Settin
                     p, item, close = p[fits], item[fits], close[fits]
                     may = could(ids, begin[text[p]], at[p], counts[text[p]], item, items)
                     for t, a, i, c in zip(text[p[may]].tolist(), at[p[may]].tolist(), item[may].tolist(), close[may].tolist()):
-                        judge(best, ids, counts, begin, t, a, i, c, items)
+                        judge(best, spots, ids, counts, begin, t, a, i, c, items)
                 rows = [(int(doc[t]) if known[t] else None, items[k][0], *v) for (t, k), v in sorted(best.items())]
                 if rows:
                     yield as_batch(rows)
@@ -460,7 +473,8 @@ def block_matches(table: DataFrame, latent: tuple, items: list[tuple], s: Settin
     def could(ids, begin, at, counts, item, items) -> np.ndarray:
         """Which pairs' stretches hold enough of the item's words: all its
         words, however often the stretch has them, an upper bound of what
-        ``judge`` counts. Compared as arrays, items of like length together."""
+        ``judge`` counts. Compared as arrays, items of like length together;
+        the two numbers that fill the rows up could only raise the bound."""
         lengths = np.fromiter((len(i[1]) for i in items), np.int64, len(items))[item]
         out = np.zeros(len(item), dtype=bool)
         order, k = np.argsort(lengths, kind="stable"), 0
@@ -475,8 +489,8 @@ def block_matches(table: DataFrame, latent: tuple, items: list[tuple], s: Settin
             low = np.maximum(at[rows] - lengths[rows], 0)
             high = np.minimum(at[rows] + s.size + lengths[rows], counts[rows])
             place = low[:, None] + np.arange(s.size + 2 * most)
-            stretch = np.where(place < high[:, None], ids[np.minimum(begin[rows][:, None] + place, len(ids) - 1)].astype(np.int64), -1)
-            own = np.full((len(rows), most), -2, dtype=np.int64)
+            stretch = np.where(place < high[:, None], ids[np.minimum(begin[rows][:, None] + place, len(ids) - 1)], np.uint32(0xFFFFFFFF))
+            own = np.full((len(rows), most), 0xFFFFFFFE, dtype=np.uint32)
             for r, i in enumerate(item[rows].tolist()):
                 own[r, :len(items[i][1])] = items[i][1]
             if most <= 512:
@@ -490,7 +504,7 @@ def block_matches(table: DataFrame, latent: tuple, items: list[tuple], s: Settin
     def as_batch(rows) -> pa.RecordBatch:
         return pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], schema=arrow)
 
-    def judge(best, ids, counts, begin, t, at, k, cosine, items) -> None:
+    def judge(best, spots, ids, counts, begin, t, at, k, cosine, items) -> None:
         own, answer, times = items[k][1:]
         low, high = max(at - len(own), 0), min(at + s.size + len(own), int(counts[t]))
         stretch = ids[begin[t] + low:begin[t] + high].tolist()
@@ -498,7 +512,10 @@ def block_matches(table: DataFrame, latent: tuple, items: list[tuple], s: Settin
         have = Counter(stretch)
         if sum(min(n, have[x]) for x, n in times.items()) / len(own) < min(s.likely, s.sure):
             return
-        lcs = densest(own, stretch)
+        masks = spots.get(k) or places(own)
+        if len(own) <= 1024:  # kept for the item's next candidate
+            spots[k] = masks
+        lcs = densest(own, masks, stretch)
         coverage = lcs / len(own)
         answered = bool(answer) and common_subsequence(answer, stretch) == len(answer)
         if coverage >= s.sure or coverage >= s.likely and answered:
@@ -506,15 +523,21 @@ def block_matches(table: DataFrame, latent: tuple, items: list[tuple], s: Settin
             if old is None or (lcs, cosine) > (old[2], old[1]):
                 best[t, k] = (low, cosine, lcs, coverage, answered)
 
-    def densest(own, stretch) -> int:
+    def densest(own, masks, stretch) -> int:
         """The most of the item in any part of the stretch not much longer
-        than the item, so that scattered common words do not add up."""
+        than the item, so that scattered common words do not add up. Only the
+        item's own words count, and a part with no more of them than the best
+        so far has in order cannot have more."""
         room = len(own) + len(own) // 4 + 2
-        if len(stretch) <= room:
-            return common_subsequence(own, stretch)
-        step = max(len(own) // 8, 1)
-        return max(common_subsequence(own, stretch[a:a + room]) for a in
-                   [*range(0, len(stretch) - room, step), len(stretch) - room])
+        at = [k for k, x in enumerate(stretch) if x in masks]
+        shared = [masks[stretch[k]] for k in at]
+        step, last = max(len(own) // 8, 1), max(len(stretch) - room, 0)
+        most = 0
+        for a in [*range(0, last, step), last]:
+            low, high = bisect_left(at, a), bisect_left(at, a + room)
+            if high - low > most:
+                most = max(most, subsequence(len(own), shared[low:high]))
+        return most
 
     names = [f.split()[0] for f in SCHEMA.split(", ")]
     arrow = pa.schema(list(zip(names, [pa.int64()] * 3 + [pa.float64(), pa.int64(), pa.float64(), pa.bool_()])))
