@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import pytest
 
-from zonelake.llm import decontaminate, langid, licenses, packing, pii, toxicity
+from zonelake.llm import decontaminate, langid, licenses, oracle, packing, pii, toxicity
 from zonelake.llm.registry import tokenizer_path
 
 DOCS = "doc_id long, text string, lang string, score string, `row` int"
@@ -219,6 +219,11 @@ BSD2 = ("Redistribution and use in source and binary forms, with or without\nmod
         "   list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above "
         "copyright notice,\n   this list of conditions and the following disclaimer in the documentation.\n")
 APACHE = 'Licensed under the Apache License, Version 2.0 (the "License");\n'
+LIBRARY = ("This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General "
+           "Public\nLicense as published by the Free Software Foundation; either\nversion {0} of the License, or (at your "
+           "option) any later version.\n\nThis library is distributed in the hope that it will be useful,\nbut WITHOUT ANY "
+           "WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.\n")
+CC = "This work is licensed under the Creative Commons Attribution{0} 4.0 International License."
 #: The notices as their licences print them.
 NOTICES = [
     ("MIT", 'Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated '
@@ -252,9 +257,38 @@ NOTICES = [
     ("Unlicense", "This is free and unencumbered software released into the public domain.\n"),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby "
             "granted, provided that the above\ncopyright notice and this permission notice appear in all copies.\n"),
+    ("LGPL-2.1-or-later", LIBRARY.format("2.1")), ("LGPL-3.0-or-later", LIBRARY.format("3")),
+    ("AGPL-3.0-or-later", GPL.format(":", ",", 3).replace("GNU General Public\nLicense", "GNU Affero General Public License")
+     .replace("GNU General \nPublic License", "GNU Affero General Public License")
+     .replace("GNU General Public License as", "GNU Affero General Public License as")),
+    ("Zlib", "This software is provided 'as-is', without any express or implied\nwarranty. In no event will the authors be "
+             "held liable for any damages\narising from the use of this software.\n\nPermission is granted to anyone to use "
+             "this software for any purpose,\nincluding commercial applications, and to alter it and redistribute it\n"
+             "freely, subject to the following restrictions:\n"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0.\n(See accompanying file LICENSE_1_0.txt)\n"),
+    ("EPL-2.0", "This program and the accompanying materials are made\navailable under the terms of the Eclipse Public "
+                "License 2.0\nwhich is available at https://www.eclipse.org/legal/epl-2.0/\n\nMore.\n"),
+    ("CC-BY-SA-4.0", CC.format("-ShareAlike")), ("CC-BY-NC-4.0", CC.format("-NonCommercial")),
+    ("CC-BY-ND-4.0", CC.format("-NoDerivatives")), ("CC-BY-NC-SA-4.0", CC.format("-NonCommercial-ShareAlike")),
 ]
 
 
+def test_licences_equal_the_statement(spark):
+    import duckdb
+
+    texts = [t for _, t in NOTICES]
+    odd = [None, "", "  \n\n ", "No license: here!", " Released under the MIT license. \n \n\tReleased under the MIT License!",
+           "Released under\nthe MIT License.\nReleased under the MIT License.", "free-software. This program is free-software:",
+           "".join(texts), "\n".join(reversed(texts)), texts[0] * 3 + texts[2], "x " * 50000 + texts[-1]]
+    rows = [(k % 17 or None, t) for k, t in enumerate(texts + texts[:3] + odd)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", docs.toArrow())
+    want = con.sql(oracle.licenses()).fetchall()
+    key = lambda r: (r[0] or 0, *r[1:])
+    assert sorted(map(tuple, licenses.scan(docs).collect()), key=key) == sorted(want, key=key) and len(want) > 40
+
+
 def test_licences_of_the_notices_as_printed(spark):
     docs = spark.createDataFrame([(k, text) for k, (_, text) in enumerate(NOTICES)], "doc_id long, text string").cache()
     got = {}

@@ -78,6 +78,25 @@ SENTENCES = {
     "cc0.short": "this work is dedicated to the public domain under cc0 1 0",
     "mpl2.short": "this source code form is subject to the terms of the mozilla public license v",
     "unlicense.short": "this is free and unencumbered software released into the public domain",
+    "lgpl.library": "this library is free software",
+    "lgpl.redistribute": "you can redistribute it and or modify it under the terms of the gnu lesser general public "
+                         "license as published by the free software foundation",
+    "lgpl2.either": "either version 2 1 of the license or at your option any later version",
+    "lgpl.useful": "this library is distributed in the hope that it will be useful but without any warranty",
+    "agpl.redistribute": "you can redistribute it and or modify it under the terms of the gnu affero general public license "
+                         "as published by the free software foundation either version 3 of the license or at your "
+                         "option any later version",
+    "zlib.asis": "this software is provided as is without any express or implied warranty",
+    "zlib.grant": "permission is granted to anyone to use this software for any purpose including commercial applications "
+                  "and to alter it and redistribute it freely subject to the following restrictions",
+    "boost.short": "distributed under the boost software license version 1 0",
+    "epl2.header": "this program and the accompanying materials are made available under the terms of the eclipse public "
+                   "license 2 0 which is available at https www eclipse org legal epl 2 0",
+    "ccbysa4.long": "this work is licensed under the creative commons attribution sharealike 4 0 international license",
+    "ccbync4.long": "this work is licensed under the creative commons attribution noncommercial 4 0 international license",
+    "ccbynd4.long": "this work is licensed under the creative commons attribution noderivatives 4 0 international license",
+    "ccbyncsa4.long": "this work is licensed under the creative commons attribution noncommercial sharealike 4 0 "
+                      "international license",
     "isc.grant": "permission to use copy modify and or distribute this software for any purpose with or without fee "
                  "is hereby granted provided that the above copyright notice and this permission notice appear in "
                  "all copies",
@@ -110,6 +129,16 @@ RULES = [
     ("MPL-2.0", ["mpl2.short"]),
     ("Unlicense", ["unlicense.short"]),
     ("ISC", ["isc.grant"]),
+    ("LGPL-2.1-or-later", ["lgpl.library", "lgpl.redistribute", "lgpl2.either", "lgpl.useful", "gpl.implied"]),
+    ("LGPL-3.0-or-later", ["lgpl.library", "lgpl.redistribute", "gpl3.either", "lgpl.useful", "gpl.implied"]),
+    ("AGPL-3.0-or-later", ["gpl.program", "agpl.redistribute", "gpl.useful", "gpl.implied"]),
+    ("Zlib", ["zlib.asis", "zlib.grant"]),
+    ("BSL-1.0", ["boost.short"]),
+    ("EPL-2.0", ["epl2.header"]),
+    ("CC-BY-SA-4.0", ["ccbysa4.long"]),
+    ("CC-BY-NC-4.0", ["ccbync4.long"]),
+    ("CC-BY-ND-4.0", ["ccbynd4.long"]),
+    ("CC-BY-NC-SA-4.0", ["ccbyncsa4.long"]),
 ]
 
 #: A sentence ends at a line break between blank lines, or at . ! ? : ; before

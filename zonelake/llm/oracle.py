@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from zonelake.llm.licenses import HINT, RULES, SENTENCES
 from zonelake.llm.repetition import DUP, LIMITS, TOP
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -115,4 +116,37 @@ FROM neg WHERE rank <= 3"""
 
 
 def statements() -> dict[str, str]:
-    return {"op11_repetition": repetition(), "op12_phrases": PHRASES, "op13_hard_negatives": NEGATIVES}
+    return {"op5_licenses": licenses(), "op11_repetition": repetition(), "op12_phrases": PHRASES, "op13_hard_negatives": NEGATIVES}
+
+
+def licenses() -> str:
+    """Sentences cut, looked up and put in order with joins; then one step a
+    rule over a string with a character for each sentence found."""
+    space = r"[ \t\n\x0B\f\r]"
+    letter = {x: chr(0x100 + k) for k, x in enumerate(SENTENCES)}
+    known = ", ".join(f"('{x}', '{letter[x]}', '{text}')" for x, text in SENTENCES.items())
+    parts = [f"""
+known(id, letter, sentence) AS (VALUES {known}),
+docs AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents WHERE text IS NOT NULL),
+cut AS (SELECT rid, string_split(regexp_replace(regexp_replace(text, '([.!?:;]){space}+', '\\1' || chr(1), 'g'),
+                                                '\\n{space}*\\n', chr(1), 'g'), chr(1)) AS pieces FROM docs),
+pieces AS (SELECT rid, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS place FROM cut),
+forms AS (SELECT rid, place, form, min(line) AS line FROM (
+    SELECT rid, place, 0 AS line, regexp_replace(piece, '{space}+', ' ', 'g') AS form FROM pieces
+    UNION ALL
+    SELECT rid, place, generate_subscripts(ls, 1), unnest(ls)
+    FROM (SELECT rid, place, string_split(piece, chr(10)) AS ls FROM pieces)) GROUP BY ALL),
+found AS (SELECT rid, string_agg(letter, '' ORDER BY place, line, id) AS s0
+          FROM forms JOIN known ON sentence = trim(regexp_replace(lower(form), '[^a-z0-9]+', ' ', 'g'))
+          WHERE regexp_matches(form, '{HINT}') GROUP BY rid)"""]
+    last, rows = "found", []
+    for k, (name, sequence) in enumerate(RULES):
+        pattern = f"([^{letter[sequence[0]]}]*)".join(letter[x] for x in sequence)
+        kept = "".join(f"\\{i + 1}" for i in range(len(sequence) - 1))
+        parts.append(f"""
+r{k} AS (SELECT rid, len(regexp_extract_all(s{k}, '{pattern}')) AS n, regexp_replace(s{k}, '{pattern}', '{kept}', 'g') AS s{k + 1}
+         FROM {last})""")
+        last = f"r{k}"
+        rows.append(f"SELECT rid, '{name}' AS license, '{'+'.join(sequence)}' AS rule, n FROM r{k} WHERE n > 0")
+    return ("WITH " + ",".join(parts) + " SELECT doc_id, license, rule, CAST(n AS BIGINT) AS n_matches FROM ("
+            + " UNION ALL ".join(rows) + ") JOIN docs USING (rid)")
