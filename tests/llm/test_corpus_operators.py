@@ -6,6 +6,7 @@ import math
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 
@@ -263,3 +264,22 @@ def test_pipeline_matches_its_operators(spark, sf_small):
     last = p.STAGES[-1][1](spark, docs, sf_small)
     assert {r[0] for r in last.select("doc_id").distinct().collect()} == {r[0] for r in docs.select("doc_id").collect()}
     assert docs.count() < spark.read.parquet(f"{sf_small}/documents.parquet").count()
+
+
+def test_nearest_neighbours_search_few_graphs(spark, monkeypatch):
+    """Rows that fit one graph are searched in one, by several tasks."""
+    seen, index = [], hnsw.index
+    monkeypatch.setattr(hnsw, "index", lambda vectors, shards, *a: seen.append(shards) or index(vectors, shards, *a))
+    v = np.random.default_rng(5).normal(size=(9000, 6)).astype(np.float32)
+    frame = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(9000), "embedding": v.tolist()}),
+                                  "vec_id long, embedding array<double>")
+    got = hnsw.nearest(frame, frame.where("vec_id % 200 = 0"), k=5, block_rows=10).toPandas()
+    assert seen == [1] and len(got) == 45 * 5
+    w = v.astype(float)
+    score = w[::200] @ w.T
+    score[np.arange(45), np.arange(45) * 200] = -np.inf
+    best = np.argsort(-score, axis=1)[:, :5]
+    own = got.sort_values(["query_id", "rank"])["vec_id"].to_numpy().reshape(45, 5)
+    assert np.mean([len(set(a) & set(b)) / 5 for a, b in zip(own, best)]) >= 0.95
+    long = np.random.default_rng(6).random((3, 9001))
+    assert (hnsw.nearest_first(long, 64) == np.argsort(long, axis=1)[:, :64]).all()

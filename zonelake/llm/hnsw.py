@@ -71,7 +71,15 @@ def diverse(dist: np.ndarray, between: np.ndarray, degree: int) -> np.ndarray:
 
 
 def nearest_first(dist: np.ndarray, wide: int) -> np.ndarray:
-    """Columns of the ``wide`` least of each row, in order."""
+    """Columns of the ``wide`` least of each row, in order. In a long row, they
+    lie in the ``wide`` groups of columns with the least minima."""
+    groups = dist.shape[1] // 16
+    if groups > 4 * wide:
+        low = dist[:, :16 * groups].reshape(len(dist), 16, groups).min(axis=1)
+        pick = np.argpartition(low, wide - 1, axis=1)[:, :wide]
+        some = np.concatenate([(pick[:, None, :] + groups * np.arange(16)[:, None]).reshape(len(dist), -1),
+                               np.tile(np.arange(16 * groups, dist.shape[1]), (len(dist), 1))], axis=1)
+        return np.take_along_axis(some, nearest_first(np.take_along_axis(dist, some, axis=1), wide), axis=1)
     near = np.argpartition(dist, wide - 1, axis=1)[:, :wide] if wide < dist.shape[1] else np.tile(
         np.arange(dist.shape[1]), (len(dist), 1))
     return np.take_along_axis(near, np.take_along_axis(dist, near, axis=1).argsort(axis=1, kind="stable"), axis=1)
@@ -97,8 +105,10 @@ def level_graph(x: np.ndarray, nodes: np.ndarray, degree: int, wide: int = 64, b
         forward = []
         for at in range(1, n, block):
             end = min(at + block, n)
-            d = square[at:end, None] + square[:end] - 2 * y[at:end] @ y[:end].T
-            d[np.arange(end) >= np.arange(at, end)[:, None]] = np.inf  # inserted later
+            d = (-2 * y[at:end]) @ y[:end].T
+            d += square[:end]
+            d += square[at:end, None]
+            d[:, at:][np.triu_indices(end - at)] = np.inf  # inserted later
             near = nearest_first(d, wide)
             r, c = chosen(near, np.take_along_axis(d, near, axis=1), half)
             forward.append(np.stack([r + at, near[r, c]], axis=1))
@@ -225,6 +235,9 @@ def index(vectors: DataFrame, shards: int, seed: int = 1) -> DataFrame:
         ids = pdf["vec_id"].to_numpy()[order]
         offsets = np.concatenate([[0], np.cumsum(np.bincount(place))])
         _, tables, entry = build(v, seed)
+        single = v.astype(np.float32)
+        if (single == v).all():  # half the bytes for the same values
+            v = single
         return pd.DataFrame({
             "shard": pdf["shard"].iloc[:1].to_numpy(), "dim": [v.shape[1]], "ids": [ids.tobytes()],
             "offsets": [offsets.astype(np.int64).tobytes()], "v": [v.tobytes()],
@@ -253,7 +266,8 @@ class Graph:
     def __init__(self, row):
         self.key = (row.shard, row.dim, row.lane)
         self.ids, self.offsets = np.frombuffer(row.ids, np.int64), np.frombuffer(row.offsets, np.int64)
-        self.v = np.frombuffer(row.v, np.float64).reshape(-1, row.dim)
+        size = len(row.v) // (len(self.offsets) - 1) // row.dim
+        self.v = np.frombuffer(row.v, f"f{size}").reshape(-1, row.dim).astype(np.float64)
         norm = (self.v * self.v).sum(axis=1)
         self.x = np.concatenate([self.v, np.sqrt(np.maximum(norm.max() - norm, 0))[:, None]], axis=1).astype(np.float32)
         self.tables = [np.frombuffer(t, np.int32).reshape(len(self.x), -1) for t in row.tables]
@@ -282,7 +296,7 @@ def answer(g: Graph, row, k: int, width: int) -> pd.DataFrame:
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, width: int = 160,
-            shard_rows: int = 8192, block_rows: int = 2048, lane_blocks: int = 16) -> DataFrame:
+            shard_rows: int = 65536, block_rows: int = 512, lane_blocks: int = 64) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row of ``queries`` its
     ``k`` nearest other rows of ``vectors`` found (both ``vec_id, embedding``).
     A task opens a shard's graph and passes a lane of ``lane_blocks`` query
@@ -292,12 +306,12 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, width: int = 16
     shards = max(1, -(-base.count() // shard_rows))
     graphs = shared_table(index(base, shards), "hnsw")
     blocks = max(1, -(-asked.count() // block_rows))
-    lanes = -(-blocks // lane_blocks)
+    lanes = max(-(-blocks // lane_blocks), min(blocks, -(-4 // shards)))  # several tasks for a single shard, too
     tasks = min(shards * lanes, 100_000)
     # each block goes to every shard: a stated query set against all rows, in blocks
     spread = (query_blocks(asked, blocks)
               .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-              .withColumn("lane", F.floor(F.col("block") / lane_blocks).cast("int")).drop("block"))
+              .withColumn("lane", (F.col("block") % lanes).cast("int")).drop("block"))
     laned = graphs.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
     streams = (laned.unionByName(spread, allowMissingColumns=True)
                .repartitionById(tasks, ((F.col("shard") * lanes + F.col("lane")) % tasks).cast("int"))
