@@ -419,3 +419,30 @@ def test_toxicity_sample_goes_on_after_a_long_text(spark):
     assert share == {0: 980, 1: 980}
     assert len(toxicity.sample(docs, labels, 16, 60, 1999)[1]) == 19  # 9 x 100 characters in each half of 999, then one more
     assert len(toxicity.sample(docs, labels, 16, 60, 100_000)[1]) == 60
+
+
+def test_toxicity_learns_from_every_labelled_row(spark):
+    # words in four texts each, which only all rows together show four times
+    rows = [(k, f"only{k // 4} word " + "plain " * 5, "en") for k in range(4400)]
+    rows += [(k, f"good{k % 9} plain word", "en") for k in range(4400, 4500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, int(k < 4400)) for k in range(4500)], "doc_id long, toxic int")
+    net = toxicity.train(docs, labels, rounds=1, more_rounds=1)
+    ids, _ = toxicity.word_ids([f"only{k}" for k in range(1100)], net.bits)
+    assert (net.slot[ids] < len(net.embed) - 1).all()
+
+
+def test_toxicity_shards_and_long_texts(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice([f"w{k}" for k in range(50)], 30)) + (" awful" if k % 4 == 0 else "") for k in range(320)]
+    texts[0] = "w1 " * 50_000 + texts[0]  # longer than a run
+    docs = spark.createDataFrame([(k, t, "en") for k, t in enumerate(texts)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(320)], "doc_id long, toxic int")
+    a, b = (toxicity.train(d, labels, rounds=6, batch=8, shard_rows=80) for d in (docs, docs.repartition(5)))
+    assert (a.embed == b.embed).all() and a.out_bias == b.out_bias and a.shift == b.shift and a.by_lang == b.by_lang
+    got = toxicity.score(docs, a).collect()
+    assert np.mean([(r["score"] >= 0.3) == (r["doc_id"] % 4 == 0) for r in got]) > 0.95
+    # the places found are those of a plain search
+    ids, counts = toxicity.word_ids(texts[:5], a.bits)
+    top, _, _ = toxicity.peaks(a, np.split(ids, np.cumsum(counts)[:-1]))
+    assert np.allclose(np.maximum(top, 0), a.maxima(ids, counts), atol=1e-4)
