@@ -90,3 +90,13 @@ def test_cross_run_dedup_prunes_target_partitions(spark, sf_small, written):
     target_scan = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and "record_hash" in ln
                    and "event_id" not in ln][0]
     assert "dynamicpruning" in target_scan
+
+
+def test_failing_records_are_computed_before_the_filter(spark, sf_small):
+    """The filter on failed rules reads their column; pushed further down, it
+    would evaluate parsing and validation again for every rule."""
+    from zonelake.plans.registry import registered
+
+    plan = registered()["quality_failures"](spark, sf_small)._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter " in line]
+    assert any("failed_rules" in f for f in filters) and not any("variant" in f or "regexp" in f for f in filters)

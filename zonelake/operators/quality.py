@@ -216,4 +216,7 @@ def failing_records(records: DataFrame, rules: list[QualityRule]) -> DataFrame:
     """The records that fail a rule, with ``failed_rules``
     (``measure:field`` in rule order)."""
     failed = F.array_compact(F.array(*(F.when(~_passes(r), F.lit(f"{r.measure}:{r.field}")) for r in rules)))
-    return records.withColumn("failed_rules", failed).where(F.size("failed_rules") > 0)
+    # through ``inline``, so that the filter is not pushed into the records'
+    # own expressions, where it would evaluate them again for every rule
+    row = F.struct(*(F.col(c) for c in records.columns), failed.alias("failed_rules"))
+    return records.select(F.inline(F.array(row))).where(F.size("failed_rules") > 0)

@@ -138,10 +138,12 @@ def _quality_records(lake: Lake) -> DataFrame:
     """Landed documents as envelope records with their validation status, the
     date of the folder they lie in, and a processing time that is up to 35
     hours after the landing time in their name."""
-    d = _validation(lake, keep=("text",)).withColumn("_d", strict_json(F.col("text")))
     name = F.regexp_extract("key", r"/([0-9]{8}_[0-9]{6})_[0-9]+_([0-9]+)\.json$", 1)
-    number = F.regexp_extract("key", r"_([0-9]+)\.json$", 1).cast("long")
-    landed = F.to_timestamp_ntz(name, F.lit("yyyyMMdd_HHmmss"))
+    d = _validation(lake, keep=("text",)).select(
+        "key", "source", "status", strict_json(F.col("text")).alias("_d"),
+        F.to_timestamp_ntz(name, F.lit("yyyyMMdd_HHmmss")).alias("_landed"),
+        F.regexp_extract("key", r"_([0-9]+)\.json$", 1).cast("long").alias("_number"))
+    landed, number = F.col("_landed"), F.col("_number")
     return d.select(
         "source", variant_string(field("_d", "ingestion_timestamp")).alias("ingestion_timestamp"),
         field("_d", "metadata").alias("metadata"), field("_d", "data").alias("data"), "status",
