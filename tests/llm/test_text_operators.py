@@ -1,6 +1,7 @@
 """Language ID, toxicity, packing, personal data, licences, decontamination:
 small fixtures against brute force, and the defined edge cases."""
 
+import os
 import zlib
 
 import numpy as np
@@ -446,3 +447,32 @@ def test_toxicity_shards_and_long_texts(spark, monkeypatch):
     ids, counts = toxicity.word_ids(texts[:5], a.bits)
     top, _, _ = toxicity.peaks(a, np.split(ids, np.cumsum(counts)[:-1]))
     assert np.allclose(np.maximum(top, 0), a.maxima(ids, counts), atol=1e-4)
+
+
+def test_toxicity_rounds_leave_no_copies_of_the_network(spark, monkeypatch):
+    # 20,000 words in four texts each: a network of more than 1 MB, beyond which
+    # Spark sends what a function holds as a broadcast of its own and keeps it
+    rng = np.random.default_rng(5)
+    order = np.concatenate([rng.permutation(20_000) for _ in range(4)]).reshape(160, 500)
+    docs = spark.createDataFrame([(k, " ".join(f"w{w}" for w in own) + " awful" * (k % 4 == 0), "en")
+                                  for k, own in enumerate(order)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(160)], "doc_id long, toxic int")
+    sent, plain = [], type(spark.sparkContext).broadcast
+
+    def noted(self, value):
+        sent.append((value, plain(self, value)))
+        return sent[-1][1]
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", noted)
+    net = toxicity.train(docs, labels, rounds=2, more_rounds=2, batch=16, shard_rows=80)
+    assert len(net.embed) > 18_000
+    assert not [len(value) for value, _ in sent if isinstance(value, bytes)]
+    assert len(sent) == 7 and not any(os.path.exists(b._path) for _, b in sent)
+
+
+def test_toxicity_values_by_bytes_come_back():
+    rng = np.random.default_rng(6)
+    for values in (rng.normal(0, 0.1, (50, 17)).astype(np.float16), np.array([0.0, -0.0, np.inf, 1e-7], np.float16),
+                   rng.normal(0, 9, 30).astype(np.float32), np.arange(511, 1000, dtype=np.int32), np.zeros(0, np.int32)):
+        back = toxicity.from_planes(toxicity.planes(values), values.dtype)
+        assert back.tobytes() == values.tobytes() and back.dtype == values.dtype

@@ -24,7 +24,7 @@ count as toxic if one is; labels without a document are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from zlib import compress, crc32, decompress
 
 import numpy as np
@@ -339,7 +339,9 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, bits: int, shard_rows: int
                 names=["shard", "held", "toxic", "lang", "ids"])
             yield out.filter(pa.array(keep, pa.bool_()))
 
-    return cut_lineage(dealt.mapInArrow(labelled, "shard int, held boolean, toxic int, lang string, ids binary"))
+    written = cut_lineage(dealt.mapInArrow(labelled, "shard int, held boolean, toxic int, lang string, ids binary"))
+    shared.destroy()
+    return written
 
 
 def frequent_buckets(rows: DataFrame, least_texts: int) -> np.ndarray:
@@ -356,32 +358,47 @@ def frequent_buckets(rows: DataFrame, least_texts: int) -> np.ndarray:
     return np.sort(counted.select("bucket").toPandas()["bucket"].to_numpy(dtype=np.int64))
 
 
-def one_round(rows: DataFrame, plan, state: np.ndarray, balance: tuple[float, float], number: int,
+def planes(values: np.ndarray) -> bytes:
+    """The values' first bytes, then their second ones and so on, compressed:
+    those that hold signs and exponents are much alike."""
+    return compress(np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T.tobytes(), 1)
+
+
+def from_planes(data: bytes, kind) -> np.ndarray:
+    parts = np.frombuffer(decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(parts.T).view(kind).reshape(-1)
+
+
+def one_round(rows: DataFrame, plan, words: int, state: np.ndarray, balance: tuple[float, float], number: int,
               batch: int, rate: float) -> np.ndarray:
     """The state after every shard went through its rows once from ``state``:
     each row of it by the mean change, weighted by the steps that changed it.
-    ``plan`` is the broadcast network, whose values do not count. Changes of
-    words, and their values in the copy sent to the shards, are half floats."""
-    words = len(plan.value.embed)
+    ``plan`` is the broadcast network without its ``words`` rows, whose other
+    values do not count. Changes of words, and their values in the copy sent to
+    the shards, are half floats. No function that is sent holds ``state``: Spark
+    would keep each round's copy of it on every executor's disk."""
+    wide = state.shape[1]
     shared = rows.sparkSession.sparkContext.broadcast((state[:words].astype(np.float16), state[words:]))
 
     def whole() -> np.ndarray:
         return np.concatenate([shared.value[0].astype(np.float32), shared.value[1]])
 
+    def kind(changed: np.ndarray):
+        return np.float16 if changed[0] < words else np.float32
+
     def changes(shard: int, trainer: Trainer, steps: np.ndarray) -> Iterator[pa.RecordBatch]:
-        n = len(trainer.net.embed)
-        steps[n:] = trainer.step[0] - steps[n:]
+        steps[words:] = trainer.step[0] - steps[words:]
         changed = np.flatnonzero(steps)
         delta = trainer.state()[changed] - whole()[changed]
-        cuts = np.flatnonzero(np.diff(changed // BLOCK_ROWS) | np.diff(changed >= n)) + 1
+        cuts = np.flatnonzero(np.diff(changed // BLOCK_ROWS) | np.diff(changed >= words)) + 1
         groups = list(zip(np.split(changed, cuts), np.split(delta, cuts)))
         if len(changed):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([int(r[0]) // BLOCK_ROWS for r, _ in groups], pa.int32()),
                  pa.array([shard] * len(groups), pa.int32()),
-                 pa.array([r.astype(np.int32).tobytes() for r, _ in groups], pa.binary()),
-                 pa.array([steps[r].astype(np.float32).tobytes() for r, _ in groups], pa.binary()),
-                 pa.array([d.astype(np.float32 if r[0] >= n else np.float16).tobytes() for r, d in groups], pa.binary())],
+                 pa.array([planes(r.astype(np.int32)) for r, _ in groups], pa.binary()),
+                 pa.array([planes(steps[r].astype(np.float32)) for r, _ in groups], pa.binary()),
+                 pa.array([planes(d.astype(kind(r))) for r, d in groups], pa.binary())],
                 names=["block", "shard", "rows", "steps", "delta"])
 
     def learn(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -398,10 +415,10 @@ def one_round(rows: DataFrame, plan, state: np.ndarray, balance: tuple[float, fl
                     if trainer is not None:
                         yield from changes(shard, trainer, steps)
                     shard = int(owner[own[0]])
-                    trainer = Trainer(copy.deepcopy(plan.value))
+                    trainer = Trainer(replace(copy.deepcopy(plan.value), embed=np.zeros((words, wide - 1), np.float32)))
                     trainer.load(whole())
                     steps = np.zeros(sum(map(len, shared.value)))
-                    steps[len(trainer.net.embed):] = trainer.step[0]
+                    steps[words:] = trainer.step[0]
                 own = np.random.default_rng((number, shard)).permutation(own)
                 for at in range(0, len(own), batch):
                     pick = own[at:at + batch]
@@ -412,7 +429,6 @@ def one_round(rows: DataFrame, plan, state: np.ndarray, balance: tuple[float, fl
 
     def mean(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sums a block's rows as they come, in the order of the shards."""
-        wide = state.shape[1]
         block, total = None, None
 
         def done() -> pa.RecordBatch:
@@ -428,10 +444,10 @@ def one_round(rows: DataFrame, plan, state: np.ndarray, balance: tuple[float, fl
                     if block is not None:
                         yield done()
                     block, total = one["block"], np.zeros((BLOCK_ROWS, wide + 1))
-                at = np.frombuffer(one["rows"], np.int32) - block * BLOCK_ROWS
-                weight = np.frombuffer(one["steps"], np.float32).astype(np.float64)[:, None]
-                half = len(one["delta"]) == 2 * wide * len(at)
-                total[at, :-1] += weight * np.frombuffer(one["delta"], np.float16 if half else np.float32).reshape(-1, wide)
+                changed = from_planes(one["rows"], np.int32)
+                at = changed - block * BLOCK_ROWS
+                weight = from_planes(one["steps"], np.float32).astype(np.float64)[:, None]
+                total[at, :-1] += weight * from_planes(one["delta"], kind(changed)).reshape(-1, wide)
                 total[at, -1:] += weight
         if block is not None:
             yield done()
@@ -442,14 +458,14 @@ def one_round(rows: DataFrame, plan, state: np.ndarray, balance: tuple[float, fl
         mean, "rows binary, delta binary").collect()
     after = state.copy()
     for r in means:
-        after[np.frombuffer(r["rows"], np.int32)] += np.frombuffer(r["delta"], np.float32).reshape(-1, state.shape[1])
+        after[np.frombuffer(r["rows"], np.int32)] += np.frombuffer(r["delta"], np.float32).reshape(-1, wide)
     shared.destroy()
     return after
 
 
 def counted_scores(rows: DataFrame, net: Network) -> DataFrame:
     """``lang, bin, toxic, n``: rows and toxic ones by language and raw score,
-    in steps of 1 / STEPS."""
+    in steps of 1 / STEPS, written once."""
     shared = rows.sparkSession.sparkContext.broadcast(net)
     tables: list = []
 
@@ -471,8 +487,10 @@ def counted_scores(rows: DataFrame, net: Network) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(bins), batch.column(0)],
                                              names=["lang", "bin", "toxic"])
 
-    return (rows.select("toxic", "lang", "ids").mapInArrow(run, "lang string, bin int, toxic int")
-            .groupBy("lang", "bin").agg(F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("n")))
+    counts = cut_lineage(rows.select("toxic", "lang", "ids").mapInArrow(run, "lang string, bin int, toxic int")
+                         .groupBy("lang", "bin").agg(F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("n")))
+    shared.destroy()
+    return counts
 
 
 def train(docs: DataFrame, labels: DataFrame, at: float = 0.3, bits: int = 20, rounds: int = 8,
@@ -489,21 +507,21 @@ def train(docs: DataFrame, labels: DataFrame, at: float = 0.3, bits: int = 20, r
     net = start(frequent_buckets(rows, least_texts), bits)
     trainer = Trainer(net)
     state = trainer.state()
-    plan = docs.sparkSession.sparkContext.broadcast(net)
+    plan = docs.sparkSession.sparkContext.broadcast(replace(net, embed=net.embed[:0]))
 
     def learn(part: DataFrame, halves: tuple, numbers: range) -> None:
         nonlocal state
         clean, toxic = (sum(there.get((held, y), 0) for held in halves) for y in (0, 1))
         balance = (0.5 * (clean + toxic) / toxic, 0.5 * (clean + toxic) / clean)
         for number in numbers:
-            state = one_round(part, plan, state, balance, number, batch, rate)
+            state = one_round(part, plan, len(net.embed), state, balance, number, batch, rate)
         trainer.load(state)
 
     if apart:
         learn(rows.where("not held"), (False,), range(rounds))
     else:
         learn(rows, (False, True), range(rounds))
-    counts = cut_lineage(counted_scores(rows.where("held") if apart else rows, net))
+    counts = counted_scores(rows.where("held") if apart else rows, net)
     if apart:
         learn(rows, (False, True), range(rounds, rounds + more_rounds))
     plan.destroy()
